@@ -8,7 +8,6 @@ from catalog import part, query
 from catalog.fixtures import glyphs, view, world
 from glyphledger.operators import conflicts as cf
 from glyphledger.operators import registry as rg
-from glyphledger.sources.records import registry_current
 
 part(
     "fine_fx",
@@ -94,11 +93,6 @@ def registry_outlines(spark, sf):
     return first.select("glyph_hash", (F.size("contours") > 0).alias("has_outline"))
 
 
-@query("S4", "SELECT glyph_hash, code FROM entry_fx")
-def current_registry(spark, sf):
-    return registry_current(world(spark, sf).reg.entries, None).select("glyph_hash", "code")
-
-
 @query("R6", "SELECT glyph_hash, code FROM entry_fx WHERE code IS NOT NULL")
 def code_map(spark, sf):
     return rg.unicode_map(world(spark, sf).reg.entries)

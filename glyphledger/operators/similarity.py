@@ -40,29 +40,26 @@ def outlines_by_asset(glyphs: DataFrame) -> DataFrame:
     )
 
 
-def variant_geometry(sources: DataFrame, by_asset: DataFrame, fallback: bool = True) -> DataFrame:
+def variant_geometry(
+    hashes: DataFrame, sources: DataFrame, by_asset: DataFrame, fallback: bool = True
+) -> DataFrame:
     """(glyph_hash, outline, found_by): the first source that has an outline, else any row."""
     first = (
         sources.select("glyph_hash", "asset_id", "src_ord")
         .join(by_asset, ["glyph_hash", "asset_id"])
         .groupBy("glyph_hash")
         .agg(F.min_by("outline", "src_ord").alias("outline"))
-        .withColumn("found_by", F.lit("source"))
     )
-    if not fallback:
-        return first
     anywhere = by_asset.groupBy("glyph_hash").agg(F.min_by("outline", "first_ord").alias("any"))
-    hashes = sources.select("glyph_hash").distinct()
-    return (
-        hashes.join(first, "glyph_hash", "left")
-        .join(anywhere, "glyph_hash", "left")
-        .select(
-            "glyph_hash",
-            F.coalesce("outline", "any").alias("outline"),
-            F.when(F.col("outline").isNotNull(), "source")
-            .when(F.col("any").isNotNull(), "hash")
-            .alias("found_by"),
-        )
+    found = hashes.select("glyph_hash").join(first, "glyph_hash", "left")
+    if not fallback:
+        anywhere = anywhere.filter(F.lit(False))
+    return found.join(anywhere, "glyph_hash", "left").select(
+        "glyph_hash",
+        F.coalesce("outline", "any").alias("outline"),
+        F.when(F.col("outline").isNotNull(), "source")
+        .when(F.col("any").isNotNull(), "hash")
+        .alias("found_by"),
     )
 
 
