@@ -319,10 +319,12 @@ def apply_code_fallback(
         .select("rid", "pos", "key", "glyph_hash")
         .join(entries.select("glyph_hash", "code", "code_hex"), "glyph_hash")
     )
-    firsts = v.groupBy("rid", "code").agg(F.min("pos").alias("first_pos"))
+    firsts = v.groupBy(F.col("rid").alias("_rid"), F.col("code").alias("_code")).agg(
+        F.min("pos").alias("first_pos")
+    )
     requests = (
-        v.join(firsts, (v["rid"] == firsts["rid"]) & v["code"].eqNullSafe(firsts["code"]))
-        .select(v["rid"], v["pos"], "key", "glyph_hash", v["code"], "code_hex", "first_pos")
+        v.join(firsts, (F.col("rid") == F.col("_rid")) & F.col("code").eqNullSafe(F.col("_code")))
+        .drop("_rid", "_code")
         .filter(F.col("pos") > F.col("first_pos"))
         .join(updated.select("glyph_hash").distinct(), "glyph_hash", "left_anti")
         .withColumn("reason", _reason("fallback "))

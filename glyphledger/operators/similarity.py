@@ -320,10 +320,8 @@ def _occupancy_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
 def occupancy_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
     """Min, max and mean share of equal grid cells over the pairs of each group."""
     total = float(GRID * GRID)
-    drawn = (
-        variants.filter(F.size("contours") > 0)
-        .select("group_id", "variant_id", occupancy(F.col("contours")).alias("cells"))
-        .filter(F.col("cells").isNotNull())
+    drawn = variants.filter(F.size("contours") > 0).select(
+        "group_id", "variant_id", occupancy(F.col("contours")).alias("cells")
     )
     cells = (
         pairs_in_cells(drawn, _occupancy_cell, "lo long, hi long, total long, pairs long", cell)
