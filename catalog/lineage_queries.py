@@ -11,9 +11,16 @@ from catalog.text_queries import ICON_ATTR, ICON_DYN, ICON_TOK, LINK_SQL, STYLE_
 from glyphledger.operators import lineage as ln
 from glyphledger.operators import publish as pb
 from glyphledger.operators import quality as qa
+from glyphledger.operators import styles
 from glyphledger.operators import usage as us
 from glyphledger.operators.similarity import outlines_by_asset
-from glyphledger.sources.files import USAGE_EXCLUDED_DIRS, USAGE_EXTS, wanted_file
+from glyphledger.session import materialize
+from glyphledger.sources.files import (
+    USAGE_EXCLUDED_DIRS,
+    USAGE_EXTS,
+    sniff_assets,
+    wanted_file,
+)
 
 part(
     "code_line_fx",
@@ -50,16 +57,22 @@ def _lines(spark, sf):
 
 
 def _usage(spark, sf):
-    return us.scan_usage(_lines(spark, sf))
+    w = world(spark, sf)
+    if not hasattr(w, "_usage"):
+        w._usage = materialize(us.scan_usage(_lines(spark, sf)))
+    return w._usage
 
 
 def _refs(spark, sf):
-    return us.css_refs(_lines(spark, sf))
+    w = world(spark, sf)
+    if not hasattr(w, "_refs"):
+        w._refs = materialize(us.css_refs(_lines(spark, sf)))
+    return w._refs
 
 
 @query("L1", "SELECT * FROM use_count_fx")
 def usage_by_name(spark, sf):
-    return us.usage_index(_usage(spark, sf))
+    return us.usage_index(us.scan_usage(_lines(spark, sf)))
 
 
 @query(
@@ -169,8 +182,6 @@ part("pub_fx", "SELECT * FROM geo_fx WHERE skip IS NULL")
 
 def _geo(w):
     if not hasattr(w, "_geo"):
-        from glyphledger.session import materialize
-
         w._geo = materialize(pb.with_geometry(_resolution(w), outlines_by_asset(w.glyphs)))
     return w._geo
 
@@ -313,8 +324,6 @@ FROM (SELECT project, file, line, icon_name, count(*) AS hits FROM use_fx WHERE
 def _plan(spark, sf):
     w = world(spark, sf)
     if not hasattr(w, "_plan"):
-        from glyphledger.session import materialize
-
         w._plan = materialize(_fresh_plan(spark, sf))
     return w._plan
 
@@ -392,8 +401,6 @@ FROM (SELECT asset_id, css_path, css_size AS cs, coalesce(css_size, 0) AS css_si
 
 
 def _checked(spark, sf):
-    from glyphledger.sources.files import sniff_assets
-
     rows = view(spark, sf, "binary_fx")
     there = rows.filter(F.col("font_exists") & F.col("ttf_path").isNotNull())
     return qa.validate_assets(
@@ -432,8 +439,6 @@ def asset_mapping_statistics(spark, sf):
 UNION ALL (SELECT 'bottom', asset_id, mapping_count FROM mapping_out WHERE mapping_count = 0 ORDER BY asset_id LIMIT 5)""",
 )
 def asset_mapping_extremes(spark, sf):
-    from glyphledger.operators import styles
-
     sheets = view(spark, sf, "sheet_fx")
     return qa.mapping_extremes(styles.mapping_status(sheets, sheets, styles.css_rules(sheets)))
 

@@ -27,6 +27,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"\A\s+|\s+\z", "")
 
 
+def let(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` computed once, however often ``fn`` names it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def _weave(pieces: Column, between: Column) -> Column:
     """piece0 + between0 + piece1 + ...; there is one piece more than separators."""
     return F.concat_ws(
@@ -35,11 +40,19 @@ def _weave(pieces: Column, between: Column) -> Column:
 
 
 def map_matches(text: Column, pattern: str, fn) -> Column:
-    """Replace every match of ``pattern`` by ``fn(match)``."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.when(
-        text.rlike(pattern), _weave(F.split(text, pattern, -1), F.transform(matches, fn))
-    ).otherwise(text)
+    """Replace every match of ``pattern`` by ``fn(match)``; text without a match is read once."""
+
+    def replaced(t: Column, found: Column) -> Column:
+        return F.when(F.size(found) == 0, t).otherwise(
+            _weave(F.split(t, pattern, -1), F.transform(found, fn))
+        )
+
+    return let(
+        text,
+        lambda t: let(
+            F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda found: replaced(t, found)
+        ),
+    )
 
 
 def blank(text: Column, pattern: str) -> Column:
@@ -49,11 +62,15 @@ def blank(text: Column, pattern: str) -> Column:
 
 def _inside(block: Column, tag_end: str, fn) -> Column:
     """Apply ``fn`` between the opening tag and the closing tag of one block."""
-    opening = F.regexp_extract(block, r"\A(<[\s\S]*?>)", 1)
-    inner_len = F.length(block) - F.length(opening) - len(tag_end)
-    inner = block.substr(F.length(opening) + 1, inner_len)
-    closing = block.substr(F.length(block) - len(tag_end) + 1, F.lit(len(tag_end)))
-    return F.concat(opening, fn(inner), closing)
+    close = len(tag_end)
+    return let(
+        F.length(F.regexp_extract(block, r"\A(<[\s\S]*?>)", 1)),
+        lambda n: F.concat(
+            F.substring(block, F.lit(1), n),
+            fn(F.substring(block, n + 1, F.length(block) - n - close)),
+            F.substring(block, F.length(block) - close + 1, F.lit(close)),
+        ),
+    )
 
 
 def strip_comments(content: Column, ext: Column) -> Column:
@@ -78,9 +95,8 @@ def strip_comments(content: Column, ext: Column) -> Column:
 
 
 def normalize_url(url: Column, host_aliases: Mapping[str, str] | None = None) -> Column:
-    u = strip(url)
-    u = F.when(u.startswith("//"), F.concat(F.lit("https:"), u)).otherwise(u)
-    u = F.when(u.rlike(r"\Ahttps?://"), u).otherwise(F.concat(F.lit("https://"), u))
+    u = F.regexp_replace(strip(url), r"\A//", "https://")
+    u = F.regexp_replace(u, r"\A(?!https?://)", "https://")
     for old, new in (host_aliases or {}).items():
         u = F.replace(u, F.lit(f"https://{old}/"), F.lit(f"https://{new}/"))
     return F.regexp_replace(u, r"([^:]/)/+", "$1")
@@ -88,12 +104,8 @@ def normalize_url(url: Column, host_aliases: Mapping[str, str] | None = None) ->
 
 def resolve_path(path: Column) -> Column:
     """Fold ``.`` and ``..`` out of a slash-separated path."""
-    parts = F.split(path, "/", -1)
-    parts = F.when(
-        F.try_element_at(parts, F.lit(-1)).isin(".", ".."), F.concat(parts, F.array(F.lit("")))
-    ).otherwise(parts)
     folded = F.aggregate(
-        parts,
+        F.split(F.regexp_replace(path, r"(\A|/)(\.\.?)\z", "$1$2/"), "/", -1),
         F.array().cast("array<string>"),
         lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1))))
         .when(s == ".", acc)

@@ -15,6 +15,7 @@ from glyphledger.functions.text import (
     strip,
     strip_comments,
 )
+from glyphledger.operators.ordering import side_by_side
 
 
 def _hosts(hosts: Iterable[str]) -> str:
@@ -211,11 +212,11 @@ def add_seeds(index: DataFrame, seeds: DataFrame, aliases: Mapping[str, str] | N
 def link_stats(projects: DataFrame, index: DataFrame, seeds: DataFrame) -> DataFrame:
     """Totals over a link index."""
     used = index.filter(F.col("project") != "manual")
-    return (
-        projects.agg(F.countDistinct("project").alias("total_projects"))
-        .crossJoin(used.agg(F.countDistinct("project").alias("projects_with_links")))
-        .crossJoin(seeds.agg(F.count(F.lit(1)).alias("manual_links")))
-        .crossJoin(index.agg(F.countDistinct("url").alias("unique_links")))
+    return side_by_side(
+        projects.agg(F.countDistinct("project").alias("total_projects")),
+        used.agg(F.countDistinct("project").alias("projects_with_links")),
+        seeds.agg(F.count(F.lit(1)).alias("manual_links")),
+        index.agg(F.countDistinct("url").alias("unique_links")),
     )
 
 

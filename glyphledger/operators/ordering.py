@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,3 +65,9 @@ def number_rows(df: DataFrame, order: list[str], out: str) -> DataFrame:
 def hash_prefix(column: str, length: int = 2) -> Column:
     """Leading characters of a digest: an order-preserving, even split."""
     return F.substring(F.col(column), 1, length)
+
+
+def side_by_side(*totals: DataFrame) -> DataFrame:
+    """Put one-row results next to each other: their rows are stacked and folded, not joined."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), totals)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphledger.operators.conflicts import code_conflicts, name_conflicts
+from glyphledger.operators.ordering import side_by_side
 
 
 def validate_assets(assets: DataFrame, mappings: DataFrame, sniffed: DataFrame) -> DataFrame:
@@ -102,8 +103,8 @@ def final_invariants(entries: DataFrame, with_geo: DataFrame) -> DataFrame:
         return df.agg(F.count(F.lit(1)).alias(name))
 
     lost = entries.join(with_geo.select("glyph_hash"), "glyph_hash", "left_anti")
-    return (
-        n(code_conflicts(final), "shared_codes")
-        .crossJoin(n(name_conflicts(final), "shared_names"))
-        .crossJoin(n(lost, "unaccounted_entries"))
+    return side_by_side(
+        n(code_conflicts(final), "shared_codes"),
+        n(name_conflicts(final), "shared_names"),
+        n(lost, "unaccounted_entries"),
     )

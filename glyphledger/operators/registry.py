@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphledger.functions.codes import EMPTY_HASH, code_to_hex
+from glyphledger.session import materialize
 
 
 @dataclass(frozen=True)
@@ -34,18 +35,26 @@ def _most(value: Column, n: str, first: str) -> Column:
     return F.min_by(value, F.struct((-F.col(n)).alias("n"), F.col(first).alias("o")))
 
 
-def select_canonical(glyphs: DataFrame) -> DataFrame:
-    """Most frequent code, then its most frequent name, then their most frequent asset.
+def fine_counts(glyphs: DataFrame) -> DataFrame:
+    """Rows per (fingerprint, code, name, asset), when the first was seen and its measures.
 
-    One fine-grained count is rolled up three times: each level keeps the best
-    value of the level below, so nothing is joined back.
+    The one pass over the glyph rows: everything in the registry follows from it.
     """
-    counted = (
-        glyphs.filter(F.col("glyph_hash") != EMPTY_HASH)
-        .withColumn("name", F.coalesce("icon_name", F.lit("")))
+    first = F.min_by(F.struct("advance_width", "glyph_type", "num_contours"), "ord")
+    return (
+        glyphs.withColumn("name", F.coalesce("icon_name", F.lit("")))
         .groupBy("glyph_hash", "code", "name", "asset_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("o"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("o"), first.alias("f"))
     )
+
+
+def canonical_of(fine: DataFrame) -> DataFrame:
+    """Most frequent code, then its most frequent name, then their most frequent asset.
+
+    The counts are rolled up three times: each level keeps the best value of the
+    level below, so nothing is joined back.
+    """
+    counted = fine.filter(F.col("glyph_hash") != EMPTY_HASH)
     names = counted.groupBy("glyph_hash", "code", "name").agg(
         F.sum("n").alias("n2"), F.min("o").alias("o2"), _most(F.col("asset_id"), "n", "o").alias("asset_id")
     )
@@ -61,15 +70,34 @@ def select_canonical(glyphs: DataFrame) -> DataFrame:
     )
 
 
-def aliases(glyphs: DataFrame) -> DataFrame:
+def select_canonical(glyphs: DataFrame) -> DataFrame:
+    return canonical_of(fine_counts(glyphs))
+
+
+def aliases_of(fine: DataFrame) -> DataFrame:
     """Distinct non-empty names per fingerprint."""
+    named = fine.filter((F.col("glyph_hash") != EMPTY_HASH) & (F.col("name") != ""))
+    return named.select("glyph_hash", F.col("name").alias("alias")).distinct()
+
+
+def sources_of(fine: DataFrame) -> DataFrame:
+    """One row per (fingerprint, asset) with the code seen first and when."""
     return (
-        glyphs.filter((F.col("glyph_hash") != EMPTY_HASH) & (F.col("icon_name") != ""))
-        .select("glyph_hash", F.col("icon_name").alias("alias"))
-        .distinct()
+        fine.groupBy("glyph_hash", "asset_id")
+        .agg(F.min(F.struct("o", "code")).alias("_first"))
+        .select(
+            "glyph_hash",
+            "asset_id",
+            F.col("_first.code").alias("original_code"),
+            F.col("_first.o").alias("src_ord"),
+        )
     )
 
 
+def aliases(glyphs: DataFrame) -> DataFrame:
+    return aliases_of(fine_counts(glyphs))
+
+
 def alias_details(glyphs: DataFrame) -> DataFrame:
     """Every named row of a fingerprint in first-seen order (``ord``); duplicates stay."""
     return glyphs.filter(
@@ -80,17 +108,7 @@ def alias_details(glyphs: DataFrame) -> DataFrame:
 
 
 def sources(glyphs: DataFrame) -> DataFrame:
-    """One row per (fingerprint, asset) with the code seen first and when."""
-    return (
-        glyphs.groupBy("glyph_hash", "asset_id")
-        .agg(F.min(F.struct("ord", "code")).alias("_first"))
-        .select(
-            "glyph_hash",
-            "asset_id",
-            F.col("_first.code").alias("original_code"),
-            F.col("_first.ord").alias("src_ord"),
-        )
-    )
+    return sources_of(fine_counts(glyphs))
 
 
 def source_details(sources_df: DataFrame, assets: DataFrame) -> DataFrame:
@@ -115,19 +133,23 @@ def outlines(glyphs: DataFrame) -> DataFrame:
 
 
 def build_registry(glyphs: DataFrame) -> Registry:
-    """Entries in registry order (``ord_major``, ``glyph_hash``) and their row lists."""
-    alias_rows = aliases(glyphs)
-    source_rows = sources(glyphs)
+    """Entries in registry order (``ord_major``, ``glyph_hash``) and their row lists.
+
+    The fine counts are written once, so the glyph rows are read and shuffled once.
+    """
+    fine = materialize(fine_counts(glyphs))
+    alias_rows = aliases_of(fine)
+    source_rows = sources_of(fine)
     first = (
-        glyphs.filter(F.col("glyph_hash") != EMPTY_HASH)
+        fine.filter(F.col("glyph_hash") != EMPTY_HASH)
         .groupBy("glyph_hash")
-        .agg(F.min_by(F.struct("advance_width", "glyph_type", "num_contours"), "ord").alias("f"))
+        .agg(F.min_by("f", "o").alias("f"))
     )
     alias_n = alias_rows.groupBy("glyph_hash").agg(F.count(F.lit(1)).alias("alias_count"))
     source_n = source_rows.groupBy("glyph_hash").agg(F.count(F.lit(1)).alias("source_count"))
     empty = F.col("glyph_hash") == EMPTY_HASH
     entries = (
-        source_n.join(select_canonical(glyphs), "glyph_hash", "left")
+        source_n.join(canonical_of(fine), "glyph_hash", "left")
         .join(first, "glyph_hash", "left")
         .join(alias_n, "glyph_hash", "left")
         .select(

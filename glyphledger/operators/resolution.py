@@ -16,6 +16,7 @@ from glyphledger.functions.codes import PRIVATE_HI, PRIVATE_LO, code_to_hex, key
 from glyphledger.operators.allocation import allocate
 from glyphledger.operators.conflicts import CODE_CONFLICT, NAME_CONFLICT
 from glyphledger.operators.registry import Registry
+from glyphledger.session import materialize
 
 ITEM = ["phase", "k1", "k2"]
 PHASE = {CODE_CONFLICT: 0, NAME_CONFLICT: 1}
@@ -287,10 +288,15 @@ def resolve(
     lo: int = PRIVATE_LO,
     hi: int = PRIVATE_HI,
 ) -> Resolution:
-    """Code conflicts, then name conflicts, then everything else."""
+    """Code conflicts, then name conflicts, then everything else.
+
+    Members and items are written once: the given codes are then fixed for every
+    table that follows from them.
+    """
     open_records = records.filter(F.col("type").isin(CODE_CONFLICT, NAME_CONFLICT))
-    members = item_members(open_records, variants, decisions)
-    return combine(reg, members, resolve_items(members, reg.sources, lo, hi))
+    members = materialize(item_members(open_records, variants, decisions))
+    items = materialize(resolve_items(members, reg.sources, lo, hi))
+    return combine(reg, members, items)
 
 
 def alias_map(res: Resolution) -> DataFrame:

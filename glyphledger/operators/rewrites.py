@@ -20,6 +20,7 @@ from glyphledger.operators.resolution import (
     item_sources,
     merge_variants,
 )
+from glyphledger.session import materialize
 
 # Appended rows sort after every registry row.
 APPENDED = 1 << 40
@@ -45,7 +46,7 @@ def apply_name_resolution(
     A kept group keeps the name; the n-th group that leaves it is called
     ``_v<n+1>`` and gets one new code. Entries outside any group stay.
     """
-    members = name_merges(records, variants, decisions)
+    members = materialize(name_merges(records, variants, decisions))
     items = merge_variants(members)
     leaving = items.filter(F.col("resolution") == "group_pua")
     # One row per reviewer group, so the window is as small as the review was.

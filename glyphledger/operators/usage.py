@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphledger.functions.text import WORD_EDGE, find_all, strip
+from glyphledger.operators.ordering import side_by_side
 
 # Class attributes that hold a token, quoted or templated text that holds one,
 # and the two ways a line refers to a stylesheet. {tok} is the token pattern, {stem} its literal
@@ -31,37 +32,50 @@ def lines(files: DataFrame) -> DataFrame:
     ).select("project", "file", (F.col("_i") + 1).alias("line"), "text")
 
 
-def _token_rows(lines_df: DataFrame, outer: str, group: int, token: str, kind: str, auto: bool) -> DataFrame:
-    tokens = F.flatten(
-        F.transform(
-            find_all(F.col("text"), outer, group),
-            lambda v: F.regexp_extract_all(v, F.lit(token), F.lit(0)),
-        )
+def _hits(outer: str, group: int, token: str, kind: str, auto: bool) -> Column:
+    """Tokens of every outer match on a line, in order."""
+    found = F.transform(
+        find_all(F.col("text"), outer, group),
+        lambda v: F.regexp_extract_all(v, F.lit(token), F.lit(0)),
     )
+    return F.transform(
+        F.flatten(found),
+        lambda t: F.struct(
+            t.alias("icon_name"), F.lit(kind).alias("usage_type"), F.lit(auto).alias("can_auto_replace")
+        ),
+    )
+
+
+def _static_hits(stem: str, tail: str) -> Column:
+    token = token_pattern(stem, tail)
+    return _hits(CLASS_ATTRIBUTE.replace("{tok}", token), 1, token, "static_class", True)
+
+
+def _dynamic_hits(stem: str, tail: str) -> Column:
+    outer = DYNAMIC_TEXT.replace("{stem}", stem)
+    return _hits(outer, 0, token_pattern(stem, tail), "dynamic_class", False)
+
+
+def _usage_rows(lines_df: DataFrame, hits: Column) -> DataFrame:
+    """A row per hit; the column is where the token first appears, so repeats share it."""
     return lines_df.select(
-        "project", "file", "line", "text", F.posexplode(tokens).alias("seq", "icon_name")
+        "project", "file", "line", "text", F.posexplode(hits).alias("seq", "hit")
     ).select(
         "project",
         "file",
         "line",
-        F.instr(F.col("text"), F.col("icon_name")).alias("column"),
+        F.instr(F.col("text"), F.col("hit.icon_name")).alias("column"),
         strip(F.col("text")).alias("context"),
-        "icon_name",
-        F.lit(kind).alias("usage_type"),
-        F.lit(auto).alias("can_auto_replace"),
+        "hit.icon_name",
+        "hit.usage_type",
+        "hit.can_auto_replace",
         "seq",
     )
 
 
 def static_usage(lines_df: DataFrame, stem: str = TOKEN_STEM, tail: str = TOKEN_TAIL) -> DataFrame:
-    """A row per token of every class attribute that holds one.
-
-    The column is where the token first appears on the line, so repeats share it.
-    """
-    token = token_pattern(stem, tail)
-    return _token_rows(
-        lines_df, CLASS_ATTRIBUTE.replace("{tok}", token), 1, token, "static_class", True
-    )
+    """A row per token of every class attribute that holds one."""
+    return _usage_rows(lines_df, _static_hits(stem, tail))
 
 
 def dynamic_usage(
@@ -73,24 +87,18 @@ def dynamic_usage(
     """Tokens inside any quoted or templated text.
 
     A static attribute is quoted text too and is counted again here, unless
-    ``exclude_static`` takes those places out.
+    ``exclude_static`` takes the line's static tokens out.
     """
-    rows = _token_rows(
-        lines_df,
-        DYNAMIC_TEXT.replace("{stem}", stem),
-        0,
-        token_pattern(stem, tail),
-        "dynamic_class",
-        False,
-    )
-    if not exclude_static:
-        return rows
-    place = ["project", "file", "line", "column", "icon_name"]
-    return rows.join(static_usage(lines_df, stem, tail).select(*place), place, "left_anti")
+    hits = _dynamic_hits(stem, tail)
+    if exclude_static:
+        names = F.transform(_static_hits(stem, tail), lambda h: h["icon_name"])
+        hits = F.filter(hits, lambda h: ~F.array_contains(names, h["icon_name"]))
+    return _usage_rows(lines_df, hits)
 
 
 def scan_usage(lines_df: DataFrame, stem: str = TOKEN_STEM, tail: str = TOKEN_TAIL) -> DataFrame:
-    return static_usage(lines_df, stem, tail).unionByName(dynamic_usage(lines_df, stem, tail))
+    """Static and dynamic usages in one pass over the text."""
+    return _usage_rows(lines_df, F.concat(_static_hits(stem, tail), _dynamic_hits(stem, tail)))
 
 
 def css_refs(lines_df: DataFrame, keyword: str = "iconfont") -> DataFrame:
@@ -124,4 +132,4 @@ def usage_totals(files: DataFrame, usage: DataFrame, refs: DataFrame) -> DataFra
         F.count(F.lit(1)).alias("total_files"),
         F.countDistinct("project").alias("total_projects"),
     )
-    return counted.crossJoin(usage.agg(F.count(F.lit(1)).alias("total_usages")))
+    return side_by_side(counted, usage.agg(F.count(F.lit(1)).alias("total_usages")))

@@ -30,8 +30,13 @@ def write_records(df: DataFrame, path: str, order: list[Column | str]) -> None:
 
 
 def write_by_project(df: DataFrame, path: str) -> None:
-    """One folder per project. Rows are spread first so no project is one task's work."""
-    df.write.mode("errorifexists").partitionBy("project").parquet(path)
+    """One folder per project.
+
+    The rebalance hint gathers small projects into few files and lets the
+    runtime split a project that is too large for one task.
+    """
+    out = df.hint("rebalance", "project")
+    out.write.mode("errorifexists").partitionBy("project").parquet(path)
 
 
 def registry_current(base: DataFrame, resolved: DataFrame | None) -> DataFrame:
