@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import part, query
 from catalog.fixtures import view, world
-from catalog.resolution_queries import _resolution
+from catalog.resolution_queries import shared_resolution
 from catalog.text_queries import ICON_ATTR, ICON_DYN, ICON_TOK, LINK_SQL, STYLE_IMPORT_SQL, q
 from glyphledger.operators import lineage as ln
 from glyphledger.operators import publish as pb
@@ -119,7 +119,7 @@ def _lineage(spark, sf):
 def _flags(spark, sf):
     w = world(spark, sf)
     return ln.replacement_flags(
-        w.reg.entries, w.reg.aliases, _resolution(w).glyphs, _lineage(spark, sf)
+        w.reg.entries, w.reg.aliases, shared_resolution(w).glyphs, _lineage(spark, sf)
     )
 
 
@@ -164,7 +164,7 @@ def review_enrichment(spark, sf):
     w = world(spark, sf)
     open_variants = w.variants.filter(F.col("type") != "glyph_duplicate")
     return ln.enrich_review(
-        open_variants, _lineage(spark, sf), _usage(spark, sf), _resolution(w).glyphs
+        open_variants, _lineage(spark, sf), _usage(spark, sf), shared_resolution(w).glyphs
     )
 
 
@@ -182,7 +182,7 @@ part("pub_fx", "SELECT * FROM geo_fx WHERE skip IS NULL")
 
 def _geo(w):
     if not hasattr(w, "_geo"):
-        w._geo = materialize(pb.with_geometry(_resolution(w), outlines_by_asset(w.glyphs)))
+        w._geo = materialize(pb.with_geometry(shared_resolution(w), outlines_by_asset(w.glyphs)))
     return w._geo
 
 
@@ -193,7 +193,7 @@ def _pub(w):
 @query("L6", "SELECT glyph_hash, final_code, final_name, advance_width, skip FROM geo_fx")
 def publish_selection(spark, sf):
     w = world(spark, sf)
-    geo = pb.with_geometry(_resolution(w), outlines_by_asset(w.glyphs))
+    geo = pb.with_geometry(shared_resolution(w), outlines_by_asset(w.glyphs))
     return geo.select("glyph_hash", "final_code", "final_name", "advance_width", "skip")
 
 
@@ -215,13 +215,13 @@ def _css(prefix: str) -> str:
 @query("L7", _css("'icon-' || n"))
 def stylesheet_rows(spark, sf):
     w = world(spark, sf)
-    return pb.css_rows(_pub(w), _resolution(w).aliases)
+    return pb.css_rows(_pub(w), shared_resolution(w).aliases)
 
 
 @query("L7", _css("CASE WHEN n LIKE 'icon-%' THEN n ELSE 'icon-' || n END"))
 def stylesheet_rows_single_prefix(spark, sf):
     w = world(spark, sf)
-    return pb.css_rows(_pub(w), _resolution(w).aliases, "dedupe")
+    return pb.css_rows(_pub(w), shared_resolution(w).aliases, "dedupe")
 
 
 @query(
@@ -231,7 +231,7 @@ FROM pub_fx p LEFT JOIN final_source_fx s ON s.glyph_hash = p.glyph_hash LEFT JO
 )
 def merge_manifest(spark, sf):
     w = world(spark, sf)
-    return pb.merge_manifest(_pub(w), _resolution(w).sources, w.assets)
+    return pb.merge_manifest(_pub(w), shared_resolution(w).sources, w.assets)
 
 
 @query(
@@ -241,7 +241,7 @@ def merge_manifest(spark, sf):
 )
 def manifest_totals(spark, sf):
     w = world(spark, sf)
-    res = _resolution(w)
+    res = shared_resolution(w)
     return pb.manifest_totals(_pub(w), res.aliases, res.sources)
 
 
@@ -254,13 +254,13 @@ WHERE final_name <> '' AND final_hex <> ''""",
 
 
 def _projects(w):
-    return _resolution(w).sources.select("glyph_hash", "asset_id").join(w.asset_projects, "asset_id")
+    return shared_resolution(w).sources.select("glyph_hash", "asset_id").join(w.asset_projects, "asset_id")
 
 
 @query("L10", "SELECT * FROM package_fx")
 def package_rows(spark, sf):
     w = world(spark, sf)
-    return pb.package_rows(_pub(w), _resolution(w).aliases, _projects(w))
+    return pb.package_rows(_pub(w), shared_resolution(w).aliases, _projects(w))
 
 
 @query(
@@ -271,7 +271,7 @@ def package_rows(spark, sf):
 )
 def package_statistics(spark, sf):
     w = world(spark, sf)
-    rows = pb.package_rows(_pub(w), _resolution(w).aliases, _projects(w))
+    rows = pb.package_rows(_pub(w), shared_resolution(w).aliases, _projects(w))
     return pb.package_stats(rows, _projects(w))
 
 
@@ -287,7 +287,7 @@ part(
 )
 def source_breakdown(spark, sf):
     w = world(spark, sf)
-    return pb.source_breakdown(_pub(w), _resolution(w).sources)
+    return pb.source_breakdown(_pub(w), shared_resolution(w).sources)
 
 
 @query(
@@ -297,7 +297,7 @@ def source_breakdown(spark, sf):
 )
 def shared_totals(spark, sf):
     w = world(spark, sf)
-    return pb.shared_totals(_pub(w), _resolution(w).sources)
+    return pb.shared_totals(_pub(w), shared_resolution(w).sources)
 
 
 # ---------------------------------------------------------------- rewrite plan

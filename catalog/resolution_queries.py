@@ -252,7 +252,7 @@ def _members(w):
     )
 
 
-def _resolution(w):
+def shared_resolution(w):
     if not hasattr(w, "_resolution"):
         res = rs.resolve(w.reg, w.records, w.variants, w.decisions, LO, HI)
         w._resolution = rs.Resolution(
@@ -308,17 +308,17 @@ def resolved_rest(spark, sf):
     """SELECT glyph_hash, phase, k1, k2, final_code, final_hex, final_name, resolution, merged_variant_count, conflict_key, conflict_type, merged_source_count FROM final_fx""",
 )
 def combined_resolution(spark, sf):
-    return _resolution(world(spark, sf)).glyphs.drop("advance_width", "glyph_type", "auto")
+    return shared_resolution(world(spark, sf)).glyphs.drop("advance_width", "glyph_type", "auto")
 
 
 @query("N7", "SELECT glyph_hash, asset_id, original_code FROM final_source_fx")
 def combined_sources(spark, sf):
-    return _resolution(world(spark, sf)).sources.drop("src_ord")
+    return shared_resolution(world(spark, sf)).sources.drop("src_ord")
 
 
 @query("N7", "SELECT glyph_hash, alias FROM final_alias_fx")
 def combined_aliases(spark, sf):
-    return _resolution(world(spark, sf)).aliases
+    return shared_resolution(world(spark, sf)).aliases
 
 
 @query(
@@ -327,7 +327,7 @@ def combined_aliases(spark, sf):
   SELECT glyph_hash, final_name AS name FROM final_fx WHERE final_name <> '' UNION ALL SELECT glyph_hash, alias FROM final_alias_fx) c JOIN final_fx f ON f.glyph_hash = c.glyph_hash) WHERE x = 1""",
 )
 def alias_map(spark, sf):
-    return rs.alias_map(_resolution(world(spark, sf)))
+    return rs.alias_map(shared_resolution(world(spark, sf)))
 
 
 @query(
@@ -355,7 +355,7 @@ def assigned_code_range(spark, sf):
 
 @query("N9", "SELECT resolution, count(*) AS glyphs FROM final_fx GROUP BY 1")
 def resolution_histogram(spark, sf):
-    return rs.resolution_histogram(_resolution(world(spark, sf)).glyphs)
+    return rs.resolution_histogram(shared_resolution(world(spark, sf)).glyphs)
 
 
 # ---------------------------------------------------------------- registry rewrites

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -153,24 +154,38 @@ def canonical_text(contours: Column, decimals: int = DECIMALS) -> Column:
     )
 
 
-def _json_digest(contours) -> str | None:
-    if contours is None:
+def _json_digest(xs, ys, on, lens) -> str | None:
+    if lens is None:
         return None
-    rows = [
-        [
-            {"on_curve": bool(p["on_curve"]), "x": float(p["x"]), "y": float(p["y"])}
-            for p in contour
-        ]
-        for contour in contours
+    points = [
+        {"on_curve": bool(o), "x": float(x), "y": float(y)}
+        for x, y, o in zip(xs, ys, on, strict=True)
     ]
+    ends = np.cumsum(lens)
+    rows = [points[e - n : e] for e, n in zip(ends, lens, strict=True)]
     text = json.dumps(rows, sort_keys=True, separators=(",", ":"))
     return hashlib.sha256(text.encode()).hexdigest()[:16]
 
 
 @F.pandas_udf(T.StringType())
-def json_text_hash(contours: pd.Series) -> pd.Series:
+def _json_text_hash(xs: pd.Series, ys: pd.Series, on: pd.Series, lens: pd.Series) -> pd.Series:
+    return pd.Series([_json_digest(*row) for row in zip(xs, ys, on, lens, strict=True)], dtype=object)
+
+
+def flat_arrays(contours: Column) -> list[Column]:
+    """x, y, on_curve and contour lengths as flat arrays, the form Arrow hands over without nesting."""
+    points = F.flatten(contours)
+    return [
+        F.transform(points, lambda p: p["x"]),
+        F.transform(points, lambda p: p["y"]),
+        F.transform(points, lambda p: p["on_curve"]),
+        F.transform(contours, lambda c: F.size(c)),
+    ]
+
+
+def json_text_hash(contours: Column) -> Column:
     """Digest over compact sorted-key JSON with shortest float text, for byte parity."""
-    return contours.map(_json_digest)
+    return _json_text_hash(*flat_arrays(contours))
 
 
 def glyph_hash(contours: Column, compat: bool = False) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from glyphledger.functions import geometry as G
 from glyphledger.operators.conflicts import CODE_CONFLICT, NAME_CONFLICT
 from glyphledger.operators.ordering import hash_prefix, number_within
+from glyphledger.session import materialize
 
 # Limits of the two similarity tests, grid size, score thresholds.
 VISUAL_MIN = 0.90
@@ -158,7 +159,7 @@ def min_geo_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
         F.max_by("contours", "variant_id").alias("last"),
     )
     area_gap = (F.col("area_hi") - F.col("area_lo")) / F.col("area_hi")
-    groups = groups.select(
+    judged = groups.select(
         "group_id",
         "found",
         "first",
@@ -169,6 +170,8 @@ def min_geo_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
         .when(F.col("found") == 2, G.geo_similarity(F.col("first"), F.col("last")))
         .alias("score"),
     )
+    # One row per group, read three times below; the outlines are not read again for it.
+    groups = materialize(judged)
     settled = F.col("found").isin(0, 1) | F.col("score").isNotNull()
 
     # Distance of every other variant to the first one; shapes are equal here.
@@ -178,7 +181,7 @@ def min_geo_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
         lambda p, q: F.greatest(F.abs(p["x"] - q["x"]), F.abs(p["y"] - q["y"])),
     )
     open_groups = groups.filter(~settled).select("group_id", "first")
-    swept = (
+    sweep = (
         feats.select("group_id", "variant_id", "contours")
         .join(open_groups, "group_id")
         .select("group_id", gaps.alias("g"))
@@ -198,6 +201,7 @@ def min_geo_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
             .alias("sweep_score"),
         )
     )
+    swept = materialize(sweep)
     left = swept.filter(F.col("sweep_score").isNull()).select("group_id")
     coords = F.flatten(
         F.transform(F.flatten("contours"), lambda p: F.array(p["x"], p["y"]))
@@ -289,13 +293,7 @@ def _occupancy(xs: pd.Series, ys: pd.Series, on: pd.Series, lens: pd.Series) ->
 
 def occupancy(contours: Column) -> Column:
     """Filled cells of an outline as 512 bytes; null for an empty outline."""
-    flat = F.flatten(contours)
-    return _occupancy(
-        F.transform(flat, lambda p: p["x"]),
-        F.transform(flat, lambda p: p["y"]),
-        F.transform(flat, lambda p: p["on_curve"]),
-        F.transform(contours, lambda c: F.size(c)),
-    )
+    return _occupancy(*G.flat_arrays(contours))
 
 
 def _bits(pdf: pd.DataFrame) -> np.ndarray:

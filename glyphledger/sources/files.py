@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,21 +53,77 @@ def scan_files(spark: SparkSession, root: str, **rules) -> DataFrame:
     """(project, path, ext, content) of every wanted file; project is the first directory.
 
     The path filter only uses file metadata, so Spark drops unwanted files
-    before it opens them.
+    before it opens them. Spark's file listing never shows names that begin
+    with a dot or an underscore, such as ``.env`` files and style partials;
+    these come from ``_hidden_files``.
     """
     tail = root.split("://")[-1].rstrip("/") + "/"
     full = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     rel = F.substring_index(full, tail, -1)
-    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True)
-    return (
-        files.select(
+    shown = (
+        spark.read.text(root, wholetext=True, recursiveFileLookup=True)
+        .select(
             F.substring_index(rel, "/", 1).alias("project"),
             F.regexp_replace(rel, r"\A[^/]*/", "").alias("path"),
             F.col("value").alias("content"),
             rel.contains("/").alias("_nested"),
         )
         .filter(F.col("_nested") & wanted_file(F.col("path"), **rules))
-        .select("project", "path", extension(F.col("path")).alias("ext"), "content")
+        .select("project", "path", "content")
+    )
+    files = shown.unionByName(_hidden_files(spark, root, rules))
+    return files.select("project", "path", extension(F.col("path")).alias("ext"), "content")
+
+
+def _is_hidden(name: str) -> bool:
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
+
+
+def _hidden_files(spark: SparkSession, root: str, rules: dict) -> DataFrame:
+    """Wanted files with a name, or a directory, that the file listing leaves out.
+
+    Projects are listed in parallel tasks; the paths are filtered and spread
+    again before any file is opened, so a large project is read by many tasks.
+    """
+    skip = frozenset(rules.get("exclude", EXCLUDED_DIRS))
+    filesystem, base = fs.FileSystem.from_uri(root)
+    projects = [
+        (i.base_name,) for i in filesystem.get_file_info(fs.FileSelector(base)) if i.type == fs.FileType.Directory
+    ]
+
+    def walk(batches):
+        store, top = fs.FileSystem.from_uri(root)
+        for pdf in batches:
+            for project in pdf["project"]:
+                found, todo = [], [(f"{top}/{project}", "", _is_hidden(project))]
+                while todo:
+                    folder, rel, hidden = todo.pop()
+                    for i in store.get_file_info(fs.FileSelector(folder)):
+                        inside = hidden or _is_hidden(i.base_name)
+                        if i.type == fs.FileType.Directory:
+                            if i.base_name not in skip:
+                                todo.append((i.path, f"{rel}{i.base_name}/", inside))
+                        elif inside:
+                            found.append((project, rel + i.base_name))
+                yield pd.DataFrame(found, columns=["project", "path"])
+
+    def read(batches):
+        store, top = fs.FileSystem.from_uri(root)
+        for pdf in batches:
+            for project, path in zip(pdf["project"], pdf["path"], strict=True):
+                with store.open_input_stream(f"{top}/{project}/{path}", compression=None) as f:
+                    text = f.read().decode("utf-8", "replace")
+                yield pd.DataFrame([(project, path, text)], columns=["project", "path", "content"])
+
+    listed = (
+        spark.createDataFrame(projects, "project string")
+        .repartition("project")
+        .mapInPandas(walk, "project string, path string")
+    )
+    return (
+        listed.filter(wanted_file(F.col("path"), **rules))
+        .repartition("project", "path")
+        .mapInPandas(read, "project string, path string, content string")
     )
 
 
