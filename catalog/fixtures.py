@@ -31,7 +31,7 @@ TABLES = (
 ORD = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice"
 ICON = "concat('icon-', replace(p_name, ' ', '_'), '_', cast(p_partkey % 5 AS string))"
 
-# Views over the tables. {sha} and {ord} differ between the engines.
+# Views over the tables. {sha:...}, {ord} and {settings} differ between the engines.
 VIEWS: dict[str, str] = {
     "glyph_fx": f"""
 SELECT concat('a', cast(l_suppkey AS string)) AS asset_id,
@@ -117,10 +117,7 @@ SELECT concat('cust', cast(c_custkey AS string)) AS project, path,
     WHEN 'dist/iconfont.css' THEN concat('@font-face{src:url( "//static.example/font_', cast(c_custkey % 50 AS string), '_ab.ttf" ), url(a.png), url(https://o.example/IconFont.eot)} @import url("//static.example/iconfont/x.css");')
     ELSE concat('@import ''//static.example/iconfont/', lower(c_mktsegment), '.css''; @import "./local/iconfont.css"; @import url(https://o.example/font_3_c.css?iconfont=1) ; ')
   END AS content
-FROM customer CROSS JOIN (
-  SELECT 'package.json' AS path UNION ALL SELECT 'vue.config.js' UNION ALL SELECT 'config/index.js'
-  UNION ALL SELECT 'index.html' UNION ALL SELECT 'src/app.js' UNION ALL SELECT 'dist/iconfont.css'
-  UNION ALL SELECT 'src/main.css') paths""",
+FROM {settings}""",
     "page_file_fx": """
 SELECT split_part(split_part(url, '://', 2), '/', 1) AS project,
        concat(cast(page_id AS string), '.html') AS path, '.html' AS ext, html AS content, page_id AS ord, url
@@ -166,14 +163,32 @@ SELECT o_orderkey AS file_ord,
 FROM orders""",
 }
 
+SETTING_PATHS = ", ".join(
+    f"'{p}'"
+    for p in (
+        "package.json", "vue.config.js", "config/index.js", "index.html",
+        "src/app.js", "dist/iconfont.css", "src/main.css",
+    )
+)
+
 ENGINE = {
-    "spark": {"sha": "sha2(%s,256)", "ord": f"struct({ORD}) AS ord"},
-    "duckdb": {"sha": "sha256(%s)", "ord": f"row_number() OVER (ORDER BY {ORD}) AS rn"},
+    "spark": {
+        "sha": "sha2(%s,256)",
+        "ord": f"struct({ORD}) AS ord",
+        "settings": f"(SELECT *, explode(array({SETTING_PATHS})) AS path FROM customer)",
+    },
+    "duckdb": {
+        "sha": "sha256(%s)",
+        "ord": f"row_number() OVER (ORDER BY {ORD}) AS rn",
+        "settings": f"(SELECT *, unnest([{SETTING_PATHS}]) AS path FROM customer)",
+    },
 }
 
 
 def view_sql(name: str, engine: str) -> str:
-    text = VIEWS[name].replace("{ord}", ENGINE[engine]["ord"])
+    text = VIEWS[name]
+    for token in ("ord", "settings"):
+        text = text.replace("{" + token + "}", ENGINE[engine][token])
     while "{sha:" in text:
         start = text.index("{sha:")
         end = text.index("}", start)

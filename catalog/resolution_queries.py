@@ -246,12 +246,18 @@ part(
 )
 
 
-def _members(w):
+def _fresh_members(w):
     return rs.item_members(
         w.records.filter(F.col("type") != cf.DUPLICATE), w.variants, w.decisions
     )
 
 
+def _members(w):
+    if not hasattr(w, "_members"):
+        w._members = materialize(_fresh_members(w))
+    return w._members
+
+
 def shared_resolution(w):
     if not hasattr(w, "_resolution"):
         res = rs.resolve(w.reg, w.records, w.variants, w.decisions, LO, HI)
@@ -266,7 +272,7 @@ def shared_resolution(w):
     "SELECT phase, k1, k2, type, key, resolution, merged_variant_count, auto, glyph_hash, name, code_hex, advance_width, pos FROM item_fx",
 )
 def merged_items(spark, sf):
-    return rs.merge_variants(_members(world(spark, sf)))
+    return rs.merge_variants(_fresh_members(world(spark, sf)))
 
 
 @query("N3", "SELECT phase, k1, k2, asset_id, original_code FROM item_source_fx")
