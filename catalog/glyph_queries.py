@@ -186,8 +186,8 @@ def glyph_classification(spark, sf):
 
 @query(
     "G12",
-    """SELECT count(*) AS total, count(*) FILTER (NOT failed AND upm_changed) AS scaled, count(*) FILTER (NOT failed AND NOT upm_changed) AS unchanged,
-  count(*) FILTER (glyph_type = 'empty') AS empty, count(*) FILTER (failed) AS errors, count(DISTINCT glyph_hash) AS distinct_hashes FROM norm_fx""",
+    """SELECT count(*) FILTER (NOT failed) AS total, count(*) FILTER (NOT failed AND upm_changed) AS scaled, count(*) FILTER (NOT failed AND NOT upm_changed) AS unchanged,
+  count(*) FILTER (glyph_type = 'empty') AS empty, count(*) FILTER (failed) AS errors, count(DISTINCT glyph_hash) FILTER (glyph_hash <> 'empty') AS distinct_hashes FROM norm_fx""",
 )
 def normalisation_summary(spark, sf):
     return gl.norm_summary(gl.normalize_glyphs(contours(spark, sf)))
@@ -195,7 +195,7 @@ def normalisation_summary(spark, sf):
 
 @query(
     "G12",
-    """SELECT concat('l', label) AS asset_id, count(*) AS total, count(*) FILTER (upm_changed AND NOT failed) AS scaled FROM norm_fx
+    """SELECT concat('l', label) AS asset_id, count(*) FILTER (NOT failed) AS total, count(*) FILTER (upm_changed AND NOT failed) AS scaled FROM norm_fx
 GROUP BY 1 HAVING count(*) FILTER (upm_changed AND NOT failed) > 0""",
 )
 def normalisation_by_asset(spark, sf):

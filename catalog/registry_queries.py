@@ -8,6 +8,8 @@ from catalog import part, query
 from catalog.fixtures import glyphs, view, world
 from glyphledger.operators import conflicts as cf
 from glyphledger.operators import registry as rg
+from glyphledger.session import scratch_path
+from glyphledger.sources.records import write_records
 
 part(
     "fine_fx",
@@ -248,6 +250,19 @@ def conflict_matrix(spark, sf):
     return cf.conflict_matrix(world(spark, sf).records)
 
 
+@query(
+    "S8 C7",
+    """SELECT count(*) AS total_conflicts, count(*) FILTER (type = 'unicode_conflict') AS unicode_conflict, count(*) FILTER (type = 'name_conflict') AS name_conflict,
+  count(*) FILTER (type = 'glyph_duplicate') AS glyph_duplicate, count(*) FILTER (severity = 'critical') AS critical, count(*) FILTER (severity = 'warning') AS warning,
+  count(*) FILTER (severity = 'info') AS info FROM record_fx""",
+)
+def conflict_run_totals(spark, sf):
+    records = world(spark, sf).records
+    path = scratch_path(spark, "conflicts") + ".parquet"
+    write_records(records, path, cf.RECORD_ORDER, cf.conflict_totals(records))
+    return spark.read.parquet(path.replace(".parquet", ".meta.parquet"))
+
+
 @query("C8", "SELECT code_hex AS value, count(*) AS entries FROM entry_fx WHERE code_hex <> '' GROUP BY 1 HAVING count(*) > 1")
 def code_collisions(spark, sf):
     return cf.entry_collisions(world(spark, sf).reg.entries, "code_hex")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glyphledger.functions.codes import severity, severity_rank
+from glyphledger.functions.codes import SEVERITY_ORDER, severity, severity_rank
 from glyphledger.operators.ordering import hash_prefix, number_rows, number_within
 
 # Conflict types in report order, and the hint each one carries.
@@ -159,6 +159,13 @@ def conflict_matrix(records: DataFrame) -> DataFrame:
     )
 
 
+def conflict_totals(records: DataFrame) -> DataFrame:
+    """One row of run totals: all records, per type and per severity."""
+    per = [F.count_if(F.col("type") == t).alias(t) for t in TYPE_ORDER]
+    per += [F.count_if(F.col("severity") == s).alias(s) for s in SEVERITY_ORDER]
+    return records.agg(F.count(F.lit(1)).alias("total_conflicts"), *per)
+
+
 def entry_collisions(entries: DataFrame, column: str) -> DataFrame:
     """Values of a column shared by more than one entry, whatever their fingerprints."""
     return (

@@ -83,25 +83,26 @@ def normalize_glyphs(
 
 
 def norm_summary(norm: DataFrame) -> DataFrame:
-    """Totals of a normalisation run."""
+    """Totals of a normalisation run; rows with an error only count as errors."""
     ok = F.col("error").isNull()
     return norm.agg(
-        F.count(F.lit(1)).alias("total"),
+        F.count_if(ok).alias("total"),
         F.count_if(ok & F.col("upm_changed")).alias("scaled"),
         F.count_if(ok & ~F.col("upm_changed")).alias("unchanged"),
         F.count_if(F.col("glyph_type") == "empty").alias("empty"),
         F.count_if(~ok).alias("errors"),
-        F.countDistinct("glyph_hash").alias("distinct_hashes"),
+        F.countDistinct(F.nullif("glyph_hash", F.lit(EMPTY_HASH))).alias("distinct_hashes"),
     )
 
 
 def norm_summary_by_asset(norm: DataFrame) -> DataFrame:
     """(asset_id, total, scaled), only for assets with scaled rows."""
     return (
-        norm.groupBy("asset_id")
+        norm.filter(F.col("error").isNull())
+        .groupBy("asset_id")
         .agg(
             F.count(F.lit(1)).alias("total"),
-            F.count_if(F.col("upm_changed") & F.col("error").isNull()).alias("scaled"),
+            F.count_if(F.col("upm_changed")).alias("scaled"),
         )
         .filter(F.col("scaled") > 0)
     )

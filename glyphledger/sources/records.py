@@ -20,9 +20,21 @@ def _is_array(path: str) -> bool:
     return not path.rstrip("/").endswith(".jsonl")
 
 
-def write_records(df: DataFrame, path: str, order: list[Column | str]) -> None:
-    """Write sorted records; the sort is a range shuffle, so the files follow the order."""
-    out = df.orderBy(*order).write.mode("errorifexists")
+def write_records(
+    df: DataFrame, path: str, order: list[Column | str], meta: DataFrame | None = None
+) -> None:
+    """Write sorted records, and beside them the one-row totals of the run.
+
+    The sort is a range shuffle, so the files follow the order.
+    """
+    _write(df.orderBy(*order), path)
+    if meta is not None:
+        stem, dot, kind = path.rstrip("/").rpartition(".")
+        _write(meta, f"{stem}.meta{dot}{kind}" if dot else f"{path}.meta")
+
+
+def _write(df: DataFrame, path: str) -> None:
+    out = df.write.mode("errorifexists")
     if path.rstrip("/").endswith(".parquet"):
         out.parquet(path)
     else:
