@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from catalog import part, query
 from catalog.fixtures import view, world
-from catalog.resolution_queries import shared_resolution
+from catalog.resolution_queries import shared_members, shared_resolution
 from catalog.text_queries import ICON_ATTR, ICON_DYN, ICON_TOK, LINK_SQL, STYLE_IMPORT_SQL, q
 from glyphledger.operators import lineage as ln
 from glyphledger.operators import publish as pb
 from glyphledger.operators import quality as qa
+from glyphledger.operators import resolution as rs
 from glyphledger.operators import styles
 from glyphledger.operators import usage as us
 from glyphledger.operators.similarity import outlines_by_asset
@@ -245,16 +246,23 @@ def manifest_totals(spark, sf):
     return pb.manifest_totals(_pub(w), res.aliases, res.sources)
 
 
+part(
+    "touched_fx",
+    """SELECT DISTINCT f.glyph_hash, p.project FROM final_fx f JOIN item_source_fx s ON s.phase = f.phase AND s.k1 = f.k1 AND s.k2 = f.k2
+JOIN asset_project_fx p ON p.asset_id = s.asset_id WHERE f.phase < 2""",
+)
 part(
     "package_fx",
     """SELECT p.glyph_hash, p.final_name AS name, p.final_hex AS code_hex, (SELECT count(*) FROM final_alias_fx a WHERE a.glyph_hash = p.glyph_hash) AS aliases, coalesce(j.n, 0) AS projects, p.resolution
-FROM pub_fx p LEFT JOIN (SELECT s.glyph_hash, count(DISTINCT project) AS n FROM final_source_fx s JOIN asset_project_fx USING (asset_id) GROUP BY 1) j ON j.glyph_hash = p.glyph_hash
+FROM pub_fx p LEFT JOIN (SELECT glyph_hash, count(*) AS n FROM touched_fx GROUP BY 1) j ON j.glyph_hash = p.glyph_hash
 WHERE final_name <> '' AND final_hex <> ''""",
 )
 
 
 def _projects(w):
-    return shared_resolution(w).sources.select("glyph_hash", "asset_id").join(w.asset_projects, "asset_id")
+    return rs.affected_projects(
+        shared_resolution(w).glyphs, shared_members(w), w.reg.sources, w.asset_projects
+    )
 
 
 @query("L10", "SELECT * FROM package_fx")
@@ -267,7 +275,7 @@ def package_rows(spark, sf):
     "L10",
     """SELECT count(*) AS total, count(*) FILTER (('0x' || code_hex)::BIGINT >= 57344 AND ('0x' || code_hex)::BIGINT < 58880) AS newly_assigned,
   count(*) FILTER (NOT (('0x' || code_hex)::BIGINT >= 57344 AND ('0x' || code_hex)::BIGINT < 58880)) AS original, sum(aliases)::BIGINT AS aliases,
-  (SELECT count(DISTINCT project) FROM final_source_fx s JOIN asset_project_fx USING (asset_id) WHERE s.glyph_hash IN (SELECT glyph_hash FROM package_fx)) AS projects FROM package_fx""",
+  (SELECT count(DISTINCT project) FROM touched_fx WHERE glyph_hash IN (SELECT glyph_hash FROM package_fx)) AS projects FROM package_fx""",
 )
 def package_statistics(spark, sf):
     w = world(spark, sf)

@@ -252,7 +252,7 @@ def _fresh_members(w):
     )
 
 
-def _members(w):
+def shared_members(w):
     if not hasattr(w, "_members"):
         w._members = materialize(_fresh_members(w))
     return w._members
@@ -278,17 +278,27 @@ def merged_items(spark, sf):
 @query("N3", "SELECT phase, k1, k2, asset_id, original_code FROM item_source_fx")
 def merged_item_sources(spark, sf):
     w = world(spark, sf)
-    return rs.item_sources(_members(w), w.reg.sources).drop("src_at")
+    return rs.item_sources(shared_members(w), w.reg.sources).drop("src_at")
 
 
 @query("N3", "SELECT phase, k1, k2, alias FROM item_alias_fx")
 def merged_item_aliases(spark, sf):
-    return rs.item_aliases(_members(world(spark, sf)))
+    return rs.item_aliases(shared_members(world(spark, sf)))
+
+
+@query(
+    "N3",
+    """SELECT DISTINCT s.phase, s.k1, s.k2, p.project FROM item_source_fx s JOIN asset_project_fx p ON p.asset_id = s.asset_id""",
+)
+def merged_item_projects(spark, sf):
+    w = world(spark, sf)
+    mine = rs.item_sources(_fresh_members(w), w.reg.sources).join(w.asset_projects, "asset_id")
+    return mine.select("phase", "k1", "k2", "project").distinct()
 
 
 def _resolved(spark, sf, kind):
     w = world(spark, sf)
-    items = rs.resolve_items(_members(w), w.reg.sources, LO, HI)
+    items = rs.resolve_items(shared_members(w), w.reg.sources, LO, HI)
     return items.filter(F.col("conflict_type") == kind)
 
 
@@ -345,7 +355,7 @@ def alias_map(spark, sf):
 )
 def resolution_statistics(spark, sf):
     w = world(spark, sf)
-    items = rs.resolve_items(_members(w), w.reg.sources, LO, HI)
+    items = rs.resolve_items(shared_members(w), w.reg.sources, LO, HI)
     return rs.resolution_stats(items, w.records.filter(F.col("type") != cf.DUPLICATE), w.decisions)
 
 
@@ -356,7 +366,7 @@ FROM resolved_item_fx WHERE resolution IN ('group_pua', 'pua_assigned')""",
 )
 def assigned_code_range(spark, sf):
     w = world(spark, sf)
-    return rs.code_range_used(rs.resolve_items(_members(w), w.reg.sources, LO, HI))
+    return rs.code_range_used(rs.resolve_items(shared_members(w), w.reg.sources, LO, HI))
 
 
 @query("N9", "SELECT resolution, count(*) AS glyphs FROM final_fx GROUP BY 1")

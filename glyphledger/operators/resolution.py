@@ -159,6 +159,21 @@ def item_aliases(members: DataFrame) -> DataFrame:
     )
 
 
+def affected_projects(
+    glyphs: DataFrame, members: DataFrame, sources: DataFrame, asset_projects: DataFrame
+) -> DataFrame:
+    """(glyph_hash, project) of the conflict each glyph came from; plain entries have none."""
+    decided = glyphs.filter(F.col("phase") < 2).select(*ITEM, "glyph_hash")
+    return (
+        item_sources(members, sources)
+        .select(*ITEM, "asset_id")
+        .join(decided, ITEM)
+        .join(asset_projects, "asset_id")
+        .select("glyph_hash", "project")
+        .distinct()
+    )
+
+
 def first_codes(sources: DataFrame) -> DataFrame:
     """Code of the first source of each fingerprint."""
     return sources.groupBy("glyph_hash").agg(F.min_by("original_code", "src_ord").alias("first_code"))
