@@ -123,14 +123,18 @@ def follow_local(
     keyword: str = KEYWORD,
     aliases: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Links of local stylesheets one hop away that the scan itself did not read."""
+    """Links of local stylesheets one hop away that the scan itself did not read.
+
+    A target always ends in ``.css``, so only such files take part in the join.
+    """
     targets = (
         local_refs(files, keyword)
         .select("project", F.col("target").alias("path"))
         .distinct()
         .join(files.select("project", "path"), ["project", "path"], "left_anti")
     )
-    reached = all_files.join(targets, ["project", "path"], "left_semi").withColumn(
+    sheets = all_files.filter(F.col("path").endswith(".css"))
+    reached = sheets.join(targets, ["project", "path"], "left_semi").withColumn(
         "ext", extension(F.col("path"))
     )
     called = (

@@ -208,20 +208,25 @@ def public_paths(
 
 
 def expand_templates(files: DataFrame, paths: DataFrame) -> DataFrame:
-    """Fill the two template placeholders of a page with its project's paths."""
+    """Fill the two template placeholders of a page with its project's paths.
+
+    Only pages with a placeholder are joined, so the text of all other files is
+    never shuffled, however many projects there are.
+    """
 
     def fill(content: Column, option: str, value: Column) -> Column:
         pattern = rf"<%=\s*htmlWebpackPlugin\.options\.{option}\s*%>"
         literal = F.regexp_replace(value, r"([\\$])", r"\\$1")
         return F.when(
-            value.isNotNull() & content.contains("htmlWebpackPlugin"),
-            F.regexp_replace(content, F.lit(pattern), literal),
+            value.isNotNull(), F.regexp_replace(content, F.lit(pattern), literal)
         ).otherwise(content)
 
-    joined = files.join(paths, "project", "left")
+    marked = F.coalesce(F.col("content").contains("htmlWebpackPlugin"), F.lit(False))
+    joined = files.filter(marked).join(paths, "project", "left")
     content = fill(F.col("content"), "path", F.col("public_path"))
     content = fill(content, "assetsPublicPath", F.col("assets_path"))
-    return joined.withColumn("content", content).drop("public_path", "assets_path")
+    filled = joined.withColumn("content", content).select(*files.columns)
+    return files.filter(~marked).unionByName(filled)
 
 
 EXPORT_SCHEMA = T.ArrayType(
