@@ -46,7 +46,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """Write a stage table to the shared folder and read it back.
 
     The lineage ends at the files, so the loss of an executor only repeats reads,
@@ -54,5 +54,5 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
