@@ -42,3 +42,63 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), language(profiles, F.col("text")).alias("p")).select(
         "doc_id", "held_out", "p.lang_pred", "p.score"
     )
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query()
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op02_packing import pack_documents
+
+    return pack_documents(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+
+
+@query(
+    # Every window as a list of words, counted; covered words go.
+    """
+    WITH words AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+    ), windows AS (
+      SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words)
+    ), repeated AS (
+      SELECT s FROM windows GROUP BY s HAVING count(*) > 1
+    ), covered AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM windows JOIN repeated USING (s)
+    ), gone AS (
+      SELECT doc_id, list(i) AS g FROM covered GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
+      sha256(array_to_string(list_filter(w, (x, i) -> g IS NULL OR NOT list_contains(g, i)), ' ')) AS kept_sha256
+    FROM words LEFT JOIN gone USING (doc_id)
+    """
+)
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op03_substrings import digest_kept
+
+    return digest_kept(documents(spark, sf_dir))
+
+
+@query()
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op05_personal import personal_data
+
+    return personal_data(documents(spark, sf_dir))
+
+
+@query()
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op08_fingerprints import fingerprint_neighbours
+
+    return fingerprint_neighbours(documents(spark, sf_dir))
+
+
+@query()
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op10_licenses import license_scan
+
+    return documents(spark, sf_dir).select("doc_id", license_scan(F.col("text")).alias("s")).select("doc_id", "s.*")
