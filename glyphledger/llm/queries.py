@@ -102,3 +102,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glyphledger.llm.op10_licenses import license_scan
 
     return documents(spark, sf_dir).select("doc_id", license_scan(F.col("text")).alias("s")).select("doc_id", "s.*")
+
+
+@query()
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op06_language_model import score_documents
+
+    return score_documents(documents(spark, sf_dir))
