@@ -44,7 +44,7 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind in brackets."""
     model = train(candidates(docs))
-    return _counted(docs.withColumn("text", mask(model, F.col("text"))))
+    return _counted(mask(docs.select(*COLUMNS), model))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from glyphledger.llm.words import roll, slide, text_bytes, word_hashes
+from glyphledger.llm.columns import fresh
+from glyphledger.llm.words import SPACES, roll, slide, text_bytes, word_hashes
 from glyphledger.session import materialize
 
 WINDOW = 35
@@ -172,10 +173,9 @@ class Automaton:
                 matched = length[state]
             if word in go[state]:
                 state, matched = go[state][word], matched + 1
-            while length[link[state]] >= window:
+            while state and length[link[state]] >= window:
                 state = link[state]
-                matched = length[state]
-            matched = min(matched, window) if length[link[state]] < window else matched
+            matched = min(matched, length[state])
             if at >= window - 1:
                 out.append(matched >= window and count[state] >= 2)
         return out
@@ -311,13 +311,14 @@ def repeated_spans(docs: DataFrame, text: Column, window: int = WINDOW) -> DataF
     return again.join(verdict, ["anchor", "body"]).groupBy("k", "nb").agg(F.collect_set(span).alias("spans"))
 
 
-def _with_spans(docs: DataFrame, text: str, window: int) -> DataFrame:
+def _with_spans(docs: DataFrame, text: str, window: int) -> tuple[DataFrame, str]:
+    """``docs`` with the spans of each text, and the name of their column."""
     body = F.coalesce(F.col(text), F.lit(""))
-    found = repeated_spans(docs, body, window).withColumnsRenamed({"k": "_k", "nb": "_nb", "spans": "_spans"})
-    k, nb = _key(body)
-    return docs.withColumns({"_key": k, "_size": nb}).join(
-        found, (F.col("_key") == F.col("_k")) & (F.col("_size") == F.col("_nb")), "left"
-    )
+    k, nb, own_k, own_nb, spans = fresh(docs, "k", "nb", "own_k", "own_nb", "spans")
+    found = repeated_spans(docs, body, window).withColumnsRenamed({"k": k, "nb": nb, "spans": spans})
+    mark, size = _key(body)
+    rows = docs.withColumns({own_k: mark, own_nb: size})
+    return rows.join(found, (F.col(own_k) == F.col(k)) & (F.col(own_nb) == F.col(nb)), "left"), spans
 
 
 def _removed(n: int, spans: list | None) -> np.ndarray:
@@ -339,7 +340,7 @@ def digest_kept(docs: DataFrame, text: str = "text", key: str = "doc_id", window
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for value, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+            for value, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 words = (value or "").encode().split()
                 if spans:
                     gone = _removed(len(words), spans)
@@ -353,8 +354,9 @@ def digest_kept(docs: DataFrame, text: str = "text", key: str = "doc_id", window
                 ["key", "n_words", "n_removed", "kept_sha256"],
             )
 
-    rows = _with_spans(docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")), "text", window)
-    return rows.select("key", "text", "_spans").mapInArrow(
+    slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    rows, spans = _with_spans(slim, "text", window)
+    return rows.select("key", "text", F.col(spans).alias("spans")).mapInArrow(
         digest, "key long, n_words long, n_removed long, kept_sha256 string"
     ).withColumnRenamed("key", key)
 
@@ -364,8 +366,6 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
 
     A cut takes the words and the white space after them.
     """
-    from glyphledger.llm.words import SPACES
-
     @pandas_udf("string")
     def cut(texts, spans):
         import pandas as pd
@@ -387,5 +387,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
             out.append(raw[keep].tobytes().decode())
         return pd.Series(out, dtype=object)
 
-    rows = _with_spans(docs, text, window)
-    return rows.select(*[cut(docs[text], F.col("_spans")).alias(text) if c == text else docs[c] for c in docs.columns])
+    rows, name = _with_spans(docs, text, window)
+    return rows.select(*[cut(docs[text], F.col(name)).alias(text) if c == text else docs[c] for c in docs.columns])

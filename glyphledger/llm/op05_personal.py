@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from glyphledger.llm.columns import fresh
 from glyphledger.session import materialize
 
 BASE = ("email", "ip", "card", "phone")
@@ -295,23 +296,31 @@ def personal_data(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     return summarise(find_spans(cands, train(cands)), key)
 
 
-def mask(model: Classifier, text: Column) -> Column:
-    """The text with every base span and every added span replaced by its kind in brackets; null stays null.
+def mask(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
+    """``docs`` with every base span and every added span of ``text`` replaced by its kind in brackets.
 
-    Kinds are replaced one after the other, so of overlapping spans the first kind wins.
+    Kinds are replaced one after the other, so of overlapping spans the first kind
+    wins. Null texts stay null; all other columns and all rows stay.
     """
+    columns = docs.columns
+    h, g = fresh(docs, "hits", "gaps")
+    hits, gaps = F.col(h), F.col(g)
     for kind in KINDS:
-        gaps = _gaps(text, kind)
-        hits = _hits(text, kind)
 
-        def put(hit: Column, i: Column, kind: str = kind, gaps: Column = gaps) -> Column:
-            if kind in BASE:
-                found = is_valid(kind, hit)
+        def put(hit: Column, i: Column) -> Column:
+            if kind in BASE:  # noqa: B023
+                found = is_valid(kind, hit)  # noqa: B023
             else:
-                feature = votes(kind, hit, F.substring(F.get(gaps, i), -_BEFORE, _BEFORE), F.substring(F.get(gaps, i + 1), 1, _AFTER))
-                found = _accepted(model, F.lit(kind), feature.__getitem__)
-            return F.concat(F.get(gaps, i), F.when(found, F.lit(f"[{kind.upper()}]")).otherwise(hit))
+                before, after = F.substring(F.get(gaps, i), -_BEFORE, _BEFORE), F.substring(F.get(gaps, i + 1), 1, _AFTER)
+                found = _accepted(model, F.lit(kind), votes(kind, hit, before, after).__getitem__)  # noqa: B023
+            return F.concat(F.get(gaps, i), F.when(found, F.lit(f"[{kind.upper()}]")).otherwise(hit))  # noqa: B023
 
         joined = F.concat(F.array_join(F.transform(hits, put), ""), F.element_at(gaps, -1))
-        text = F.when(_NEEDS[kind](text) & (F.size(hits) > 0), joined).otherwise(text)
-    return text
+        # A step a kind: each works on the text that the one before left.
+        docs = (
+            docs.withColumn(h, _hits(F.col(text), kind))
+            .withColumn(g, F.when(F.size(hits) > 0, _gaps(F.col(text), kind)))
+            .withColumn(text, F.when(F.size(hits) > 0, joined).otherwise(F.col(text)))
+            .select(*columns)
+        )
+    return docs

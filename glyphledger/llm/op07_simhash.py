@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
+from glyphledger.llm.columns import fresh
 from glyphledger.llm.components import components
 from glyphledger.session import materialize
 
@@ -211,12 +212,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     Rows with a null key cannot be told apart and all stay. Of repeated rows with
     the same key, one stays.
     """
-    keep = (
-        near_groups(docs, text, key)
-        .filter(F.col(key) == F.col("component_id"))
-        .select(F.col(key).alias("_keep"))
-        .distinct()
-    )
+    (kept,) = fresh(docs, "kept")
+    groups = near_groups(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", "key")
+    keep = groups.filter("key = component_id").select(F.col("key").alias(kept)).distinct()
     named = docs.filter(F.col(key).isNotNull())
-    stay = named.join(keep, named[key] == F.col("_keep"), "left_semi").dropDuplicates([key])
+    stay = named.join(keep, named[key] == F.col(kept), "left_semi").dropDuplicates([key])
     return stay.unionByName(docs.filter(F.col(key).isNull()))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from glyphledger.llm.columns import fresh
 from glyphledger.session import materialize
 
 UNDETERMINED = "und"
@@ -171,6 +172,7 @@ def held_out(key: Column, folds: int = 4, held: int = 2) -> Column:
 
 def accept(docs: DataFrame, profiles: Profiles, text: str = "text", least: float = REJECT_BELOW) -> DataFrame:
     """Rows in a learned language. Rejected: no letter, null, or too far from every profile."""
-    seen = docs.withColumn("_lang", language(profiles, F.col(text)))
-    good = (F.col("_lang.lang_pred") != UNDETERMINED) & (F.col("_lang.score") >= least)
+    (found,) = fresh(docs, "found")
+    seen = docs.withColumn(found, language(profiles, F.col(text)))
+    good = (F.col(found)["lang_pred"] != UNDETERMINED) & (F.col(found)["score"] >= least)
     return seen.filter(good).select(*[docs[c] for c in docs.columns])
