@@ -109,3 +109,39 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glyphledger.llm.op06_language_model import score_documents
 
     return score_documents(documents(spark, sf_dir))
+
+
+@query()
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op04_sentencepiece import checked
+
+    return checked(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query(
+    # Every pair, then the least vector reachable over links.
+    """
+    WITH RECURSIVE good AS (
+      SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, x -> x <> 0)) > 0
+    ), links AS (
+      SELECT a.vec_id AS u, b.vec_id AS w FROM good a JOIN good b
+      ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+    ), reach AS (
+      SELECT vec_id AS u, vec_id AS w FROM embeddings
+      UNION
+      SELECT reach.u, links.w FROM reach JOIN links ON reach.w = links.u
+    ), least AS (
+      SELECT u, min(w) AS component_id FROM reach GROUP BY u
+    ), degree AS (
+      SELECT u, count(*) AS n FROM links GROUP BY u
+    )
+    SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings JOIN least ON vec_id = least.u LEFT JOIN degree ON vec_id = degree.u
+    """
+)
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op01_embeddings import near_vectors
+
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
