@@ -27,7 +27,7 @@ COSINE = 0.9
 ALPHA = 0.5  # cosine with a filter's direction that a vector must reach
 FILTERS = 32  # filters that a vector passes on average, over all codes
 CODES = 4  # independent codes: a vector far from one's directions is near another's
-NEAREST = 4  # a vector that passes fewer filters of a code takes that many nearest ones
+NEAREST = 6  # a vector that passes fewer filters of a code takes that many nearest ones
 BLOCKS = 4
 CHUNK = 1024  # vectors of one filter that one task compares; a filter with more is split
 
