@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from glyphledger.llm.columns import fresh
-from glyphledger.llm.words import SPACES, roll, slide, text_bytes, word_hashes
+from glyphledger.llm.words import SPACES, roll, slices, slide, text_bytes, word_hashes
 from glyphledger.session import materialize
 
 WINDOW = 35
@@ -44,7 +44,7 @@ def _passages(window: int, gram: int):
     inverse = np.uint64(pow(int(powers), -1, 1 << 64))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             data, places = text_bytes(batch.column("text"))
             h, at = word_hashes(data, places)
             del data

@@ -6,8 +6,11 @@ depend on how a batch was cut. Null texts have no words.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _RANDOM = np.random.default_rng(0x5EED)
 _BYTE = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
@@ -22,6 +25,16 @@ _POWER = np.multiply.accumulate(_POWER)
 _CHUNK = 1 << 20
 
 
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows whose texts have about ``limit`` bytes, so scratch arrays stay small."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(size) // limit
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    for lo, hi in zip(np.append(0, cuts), np.append(cuts, batch.num_rows), strict=True):
+        if lo < hi:
+            yield batch.slice(int(lo), int(hi - lo))
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers; one to one."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -51,7 +64,7 @@ def word_hashes(data: np.ndarray, places: np.ndarray, lower: bool = False) -> tu
     while lo < len(data):
         hi = min(lo + _CHUNK, len(data))
         while hi < len(data) and not (cuts[hi] or SPACES[data[hi]]):
-            near = np.flatnonzero(SPACES[data[hi : hi + 4096]] | cuts[hi : hi + 4096])
+            near = np.flatnonzero(SPACES[data[hi : hi + 4096]] | cuts[hi : min(hi + 4096, len(data))])
             hi = hi + int(near[0]) if len(near) else min(hi + 4096, len(data))
         piece = data[lo:hi]
         gap = SPACES[piece]
