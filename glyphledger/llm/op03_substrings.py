@@ -29,7 +29,7 @@ from glyphledger.session import materialize
 WINDOW = 35
 GRAM = 5
 SHARD_WORDS = 20_000  # words of the passages in one automaton, unless one anchor alone has more
-HOT_PASSAGES = 256  # distinct passages of an anchor beyond which its windows are counted one by one
+HOT_PASSAGES = 32  # distinct passages of an anchor beyond which its windows are counted one by one
 
 
 def _key(text: Column) -> list[Column]:
