@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glyphledger.llm.words import mix, text_bytes, word_hashes
+from glyphledger.llm.words import mix, slices, text_bytes, word_hashes
 from glyphledger.session import materialize
 
 ORDER = 2  # longest n-gram
@@ -113,7 +113,7 @@ def count_grams(docs: DataFrame, text: str = "text", order: int = ORDER) -> Data
                         ["n", "h", "c"],
                     )
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, limit=16 << 20)):
             token, at = tokens(batch.column("text"))
             for n in range(1, order + 1):
                 held[n - 1].append(grams(token, at, n))
@@ -220,9 +220,7 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
         bits = np.frombuffer(filtered.value, np.uint8)
         known_words, known_counts = head.value
         row = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in slices(whole, limit=16 << 20)):
             token, at = tokens(batch.column("text"))
             kinds, which = np.unique(token, return_inverse=True)
             seen = probe(bits, kinds, width)
