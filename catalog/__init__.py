@@ -46,7 +46,8 @@ def with_parts(body: str) -> str:
     if not order:
         return body
     ctes = ",\n".join(
-        f"{n} AS ({view_sql(n, 'duckdb') if n in VIEWS else PARTS[n]})" for n in order
+        # Evaluated once each: a part is used by many others.
+        f"{n} AS MATERIALIZED ({view_sql(n, 'duckdb') if n in VIEWS else PARTS[n]})" for n in order
     )
     if body.lstrip().startswith("WITH "):
         return f"WITH {ctes},\n{body.lstrip()[5:]}"

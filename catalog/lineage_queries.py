@@ -134,6 +134,15 @@ def replacement_flags(spark, sf):
     return _flags(spark, sf)
 
 
+@query(
+    "L3",
+    """SELECT glyph_hash, name AS old_name FROM entry_fx WHERE name <> '' UNION SELECT glyph_hash, alias FROM alias_fx WHERE alias <> ''""",
+)
+def old_names(spark, sf):
+    w = world(spark, sf)
+    return ln.old_names(w.reg.entries, w.reg.aliases)
+
+
 @query(
     "L3",
     "SELECT project, icon_name AS name, file, line::INT AS line FROM use_fx WHERE NOT auto AND (project, icon_name) IN (SELECT (project, name) FROM lineage_fx WHERE manual_usages > 0)",
@@ -227,7 +236,7 @@ def stylesheet_rows_single_prefix(spark, sf):
 
 @query(
     "L8",
-    """SELECT p.glyph_hash, p.final_hex, p.final_name, p.resolution, s.asset_id, printf('%04X', s.original_code) AS original_hex, coalesce(a.css_url, '') AS css_url, coalesce(a.ttf_path, '') AS ttf_path
+    """SELECT p.glyph_hash, p.final_hex, p.final_name, p.resolution, s.asset_id, printf('%04X', coalesce(s.original_code, 0)) AS original_hex, coalesce(a.css_url, '') AS css_url, coalesce(a.ttf_path, '') AS ttf_path
 FROM pub_fx p LEFT JOIN final_source_fx s ON s.glyph_hash = p.glyph_hash LEFT JOIN asset_fx a ON a.asset_id = s.asset_id""",
 )
 def merge_manifest(spark, sf):
@@ -378,7 +387,7 @@ part(
 
 @query("L14", "SELECT * FROM patched_fx")
 def plan_dry_run(spark, sf):
-    return ln.apply_plan(_lines(spark, sf), _plan(spark, sf))
+    return ln.apply_plan(_files(spark, sf), _plan(spark, sf))
 
 
 @query(
@@ -388,8 +397,7 @@ LEFT JOIN patched_fx p ON p.project = l.project AND p.file = l.file AND p.line =
 WHERE (l.project, l.file) IN (SELECT (project, file) FROM patched_fx) GROUP BY 1, 2""",
 )
 def patched_files(spark, sf):
-    lines = _lines(spark, sf)
-    done = ln.patched_files(lines, ln.apply_plan(lines, _plan(spark, sf)))
+    done = ln.patched_files(_files(spark, sf), _plan(spark, sf))
     return done.select("project", "file", F.sha2("content", 256).alias("digest"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import part, query
-from catalog.fixtures import variants_by_label, world
+from catalog.fixtures import table, variants_by_label, world
 from catalog.glyph_queries import area_of
 from glyphledger.functions import geometry as G
 from glyphledger.operators import allocation as al
@@ -13,7 +13,7 @@ from glyphledger.operators import conflicts as cf
 from glyphledger.operators import resolution as rs
 from glyphledger.operators import rewrites as rw
 from glyphledger.operators import similarity as sim
-from glyphledger.session import materialize
+from glyphledger.session import materialize, scratch_path
 from glyphledger.sources.records import registry_current
 
 # A range that is large enough for the largest test folder.
@@ -127,13 +127,69 @@ def false_positives_by_both(spark, sf):
     return sim.flag_false_positives(records, geometric, visual)
 
 
+# Axis-parallel boxes off the cell centres: their filled cells, and so all scores, have closed forms.
+part(
+    "box_fx",
+    """SELECT group_id, variant_id, c0, c1, r0, r1, (c1 - c0) * (r1 - r0) AS filled FROM (
+  SELECT 'b' || label || '-' || (vec_id % 4) AS group_id, vec_id AS variant_id,
+    ceil((x0 - 8) / 16)::BIGINT AS c0, ceil((x0 + w - 8) / 16)::BIGINT AS c1, ceil((y0 - 8) / 16)::BIGINT AS r0, ceil((y0 + h - 8) / 16)::BIGINT AS r1
+  FROM (SELECT label, vec_id, vec_id * 7919 % jit + 0.3 AS x0, 500 + vec_id * 104729 % jit AS w, vec_id * 1299709 % jit + 0.3 AS y0, 400 + vec_id * 15485863 % jit AS h
+    FROM (SELECT label, vec_id, CASE label % 4 WHEN 0 THEN 20 WHEN 1 THEN 60 WHEN 2 THEN 150 ELSE 250 END AS jit FROM embeddings)))""",
+)
+part(
+    "box_score_fx",
+    """SELECT g.group_id, coalesce(round(lo / 4096.0::DOUBLE, 4), 0) AS min_score, coalesce(round(hi / 4096.0::DOUBLE, 4), 0) AS max_score,
+  coalesce(round(mean / 4096.0::DOUBLE, 4), 0) AS avg_score, coalesce(n, 0) AS pair_count
+FROM (SELECT DISTINCT group_id FROM box_fx) g LEFT JOIN (
+  SELECT group_id, min(same) AS lo, max(same) AS hi, sum(same)::DOUBLE / count(*) AS mean, count(*) AS n FROM (
+    SELECT a.group_id, 4096 - a.filled - b.filled + 2 * greatest(0, least(a.c1, b.c1) - greatest(a.c0, b.c0)) * greatest(0, least(a.r1, b.r1) - greatest(a.r0, b.r0)) AS same
+    FROM box_fx a JOIN box_fx b ON a.group_id = b.group_id AND a.variant_id < b.variant_id) GROUP BY 1) s ON s.group_id = g.group_id""",
+)
+
+
+def boxes_by_label(spark, sf):
+    """The boxes of the check as outlines of four points."""
+    jit = "CASE label % 4 WHEN 0 THEN 20 WHEN 1 THEN 60 WHEN 2 THEN 150 ELSE 250 END"
+    sides = table(spark, sf, "embeddings").selectExpr(
+        "concat('b', cast(label AS string), '-', cast(vec_id % 4 AS string)) AS group_id",
+        "lpad(cast(vec_id AS string), 12, '0') AS variant_id",
+        f"cast(vec_id * 7919 % ({jit}) AS double) + 0.3 AS x0",
+        f"cast(500 + vec_id * 104729 % ({jit}) AS double) AS w",
+        f"cast(vec_id * 1299709 % ({jit}) AS double) + 0.3 AS y0",
+        f"cast(400 + vec_id * 15485863 % ({jit}) AS double) AS h",
+    )
+    point = "named_struct('x', {x}, 'y', {y}, 'on_curve', true)"
+    corners = ", ".join(point.format(x=x, y=y) for x, y in (("x0", "y0"), ("x0 + w", "y0"), ("x0 + w", "y0 + h"), ("x0", "y0 + h")))
+    return sides.selectExpr("group_id", "variant_id", f"array(array({corners})) AS contours")
+
+
+@query("F4", "SELECT * FROM box_score_fx")
+def occupancy_of_boxes(spark, sf):
+    return sim.occupancy_similarity(boxes_by_label(spark, sf))
+
+
+@query(
+    "F5",
+    """SELECT group_id, min_score >= 0.9 AS is_false_positive, round(min_score, 4) AS similarity_score, 'visual' AS similarity_type,
+  CASE WHEN min_score >= 0.9 THEN 'merge_as_same_glyph' END AS recommendation FROM box_score_fx WHERE min_score >= 0.9""",
+)
+def boxes_alike_by_sight(spark, sf):
+    v = boxes_by_label(spark, sf)
+    records = sim.pair_counts(v).select(
+        F.lit(cf.CODE_CONFLICT).alias("type"), "group_id", F.col("variants").alias("variant_count")
+    )
+    visual = sim.occupancy_similarity(v)
+    undecided = sim.needs_geometry(records, visual)
+    flagged = sim.flag_false_positives(records, sim.min_geo_similarity(v.join(undecided, "group_id", "left_semi")), visual)
+    return flagged.filter("is_false_positive and similarity_type = 'visual'").drop("type", "variant_count")
+
+
 @query(
     "F6",
-    "SELECT t AS threshold, (SELECT count(*) FROM least_fx WHERE least >= t) AS groups FROM (SELECT unnest([0.99::DOUBLE, 0.95, 0.9, 0.85, 0.8, 0.7, 0.5]) AS t)",
+    "SELECT t AS threshold, (SELECT count(*) FROM box_score_fx WHERE max_score >= t) AS groups FROM (SELECT unnest([0.99::DOUBLE, 0.95, 0.9, 0.85, 0.8, 0.7, 0.5]) AS t)",
 )
 def score_distribution(spark, sf):
-    least = sim.min_geo_similarity(variants_by_label(spark, sf))
-    return sim.score_distribution(least.withColumnRenamed("min_similarity", "max_score"))
+    return sim.score_distribution(sim.occupancy_similarity(boxes_by_label(spark, sf)))
 
 
 # ---------------------------------------------------------------- decisions and allocation
@@ -538,6 +594,17 @@ def code_change_log(spark, sf):
     return rw.lineage_log(_user(w)).unionByName(rw.lineage_log(_auto(w)))
 
 
+@query(
+    "N14",
+    """SELECT glyph_hash, 'assign_pua' AS action, old_code, old_hex, new_code, new_hex, reason, TIMESTAMP '2024-01-02 03:04:05' AS run_at FROM user_fx
+UNION ALL SELECT glyph_hash, 'assign_pua', old_code, old_hex, new_code, new_hex, reason, TIMESTAMP '2024-01-03 03:04:05' FROM auto_fx""",
+)
+def appended_change_log(spark, sf):
+    w, path = world(spark, sf), scratch_path(spark, "lineage")
+    rw.append_lineage(_user(w), path, "2024-01-02 03:04:05")
+    return rw.append_lineage(_auto(w), path, "2024-01-03 03:04:05")
+
+
 part(
     "effect_fx",
     """SELECT group_id, key, count(DISTINCT now) AS hashes_left, CASE WHEN count(DISTINCT now) <= 1 THEN 'eliminated' WHEN bool_or(now <> glyph_hash) THEN 'modified' ELSE 'remaining' END AS outcome FROM (

@@ -224,13 +224,16 @@ def link_extraction(spark, sf):
 @query(
     "X4",
     f"""SELECT DISTINCT project, {norm_sql('u', False)} AS url FROM (
-  SELECT project, unnest(regexp_extract_all(s, 'href="([^"]*)"', 1)) AS u FROM stripped_fx WHERE ext = '.html')""",
+  SELECT project, unnest(regexp_extract_all(s, 'href="([^"]*)"', 1)) AS u FROM stripped_fx)""",
 )
 def project_link_sets(spark, sf):
-    pages = _comment_files(spark, sf).filter(F.col("ext") == ".html")
-    return links.project_links(links.extract_links(pages, HREF, group=1))
+    return links.project_links(links.extract_links(_comment_files(spark, sf), HREF, group=1))
 
 
+# Settings without comments: only script files hold any, and those only line comments after a quote or colon.
+BARE_SETTINGS = r"""SELECT project, path, CASE WHEN path LIKE '%.js' THEN
+  regexp_replace(regexp_replace(content, '/\*[\s\S]*?\*/', '', 'g'), '(^|[^:''"`])//[^\n]*', '\1', 'g') ELSE content END AS content FROM setting_fx"""
+
 IMPORT_SQL = r"""@import\s+(?:url\(\s*)?['"]?([^'")\s;]+iconfont[^'")\s;]*)['"]?\s*\)?\s*;"""
 REMOTE_SQL = r"(u LIKE '//%' OR u LIKE 'http%') AND (lower(u) LIKE '%iconfont%' OR regexp_matches(u, 'font_\d+'))"
 
@@ -238,12 +241,30 @@ REMOTE_SQL = r"(u LIKE '//%' OR u LIKE 'http%') AND (lower(u) LIKE '%iconfont%'
 @query(
     "X5",
     f"""SELECT DISTINCT project, path, {norm_sql('u')} AS url FROM (
-  SELECT project, path, unnest(regexp_extract_all(content, {q(IMPORT_SQL)}, 1)) AS u FROM setting_fx
-  WHERE path LIKE '%.css' OR path LIKE '%.html') WHERE {REMOTE_SQL}""",
+  SELECT project, path, unnest(regexp_extract_all(content, {q(IMPORT_SQL)}, 1)) AS u FROM ({BARE_SETTINGS})) WHERE {REMOTE_SQL}""",
 )
 def import_extraction(spark, sf):
     sheets = view(spark, sf, "setting_fx").withColumn("ext", text.extension(F.col("path")))
-    return links.extract_imports(sheets.filter(F.col("ext").isin(".css", ".html")), aliases=ALIASES)
+    return links.extract_imports(sheets, aliases=ALIASES)
+
+
+FILLED_SETTINGS = r"""SELECT project, path, CASE WHEN content NOT LIKE '%htmlWebpackPlugin%' THEN content ELSE
+  regexp_replace(CASE WHEN public_path IS NULL THEN content ELSE regexp_replace(content, '<%=\s*htmlWebpackPlugin\.options\.path\s*%>', public_path, 'g') END,
+    '<%=\s*htmlWebpackPlugin\.options\.assetsPublicPath\s*%>', coalesce(assets_path, '<%=htmlWebpackPlugin.options.assetsPublicPath%>'), 'g') END AS content
+FROM (BARE) s LEFT JOIN paths_out USING (project)""".replace("BARE", BARE_SETTINGS)
+
+
+@query(
+    "X3 X4 X5",
+    f"""SELECT DISTINCT project, path, {norm_sql('u')} AS url FROM (
+  SELECT project, path, unnest(list_concat({', '.join(f'regexp_extract_all(content, {q(p)})' for p in P_SQL)})) AS u FROM ({FILLED_SETTINGS}))
+UNION SELECT DISTINCT project, path, {norm_sql('u')} FROM (
+  SELECT project, path, unnest(regexp_extract_all(content, {q(IMPORT_SQL)}, 1)) AS u FROM ({FILLED_SETTINGS})) WHERE {REMOTE_SQL}""",
+)
+def templated_links(spark, sf):
+    every = view(spark, sf, "setting_fx").withColumn("ext", text.extension(F.col("path")))
+    hits = links.scan_links(every, PATTERNS)
+    return links.hit_links(links.fill_links(hits, _paths(spark, sf), PATTERNS), aliases=ALIASES)
 
 
 @query(

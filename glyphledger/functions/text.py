@@ -132,7 +132,8 @@ def resolve_url(rel: Column, base: Column) -> Column:
 def extension(path: Column) -> Column:
     """Lower-case extension with its dot, as a file name carries it; empty if there is none."""
     name = F.regexp_extract(path, r"([^/]*)\z", 1)
-    return F.lower(F.regexp_extract(name, r"[^.](\.[^.]*)\z", 1))
+    # A name that is all leading dots up to its last dot, such as ``.env``, has none.
+    return F.lower(F.regexp_extract(name, r"\A(?!\.+[^.]*\z).*(\.[^.]*)\z", 1))
 
 
 def find_all(text: Column, pattern: str, group: int = 0) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glyphledger.functions.codes import PRIVATE_HI, PRIVATE_LO, code_to_hex
+from glyphledger.operators.ordering import number_rows
 
 
 def allocate(
@@ -18,30 +19,20 @@ def allocate(
 ) -> DataFrame:
     """Give each request the next free code in ``order``; fail when the range runs out.
 
-    A code is given once, so more requests than codes must fail. That bounds the
-    one ranked partition: it takes one row more than the range holds, which is
-    enough to see that the range is exhausted. Code points end at 10FFFF, so it
-    never exceeds 1.1 million slim rows.
+    Requests and free codes are numbered by range sorts, in many tasks, and joined
+    on the number. The numbered requests are written, so their count is known before
+    anything is returned: more of them than free codes is an error whatever
+    columns are read later.
     """
-    capacity = hi - lo + 1
-    bounded = requests.limit(capacity + 1)
-    ranked = bounded.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
-    exhausted = F.raise_error(F.lit(f"code range exhausted at U+{hi + 1:04X}")).cast("int")
-    if used is None:
-        code = F.when(F.col("_rank") <= capacity, F.col("_rank") + (lo - 1)).otherwise(exhausted)
-        return ranked.withColumn(out, code.cast("int")).drop("_rank")
-    taken = used.filter(F.col("code").between(lo, hi)).select(F.col("code").cast("long")).distinct()
-    free = (
-        requests.sparkSession.range(lo, hi + 1)
-        .select(F.col("id").alias("code"))
-        .join(taken, "code", "left_anti")
-        .select(
-            F.col("code").alias("_free"),
-            F.row_number().over(Window.orderBy("code")).alias("_rank"),
-        )
-    )
-    code = F.when(F.col("_free").isNotNull(), F.col("_free").cast("int")).otherwise(exhausted)
-    return ranked.join(free, "_rank", "left").withColumn(out, code).drop("_rank", "_free")
+    codes = requests.sparkSession.range(lo, hi + 1).select(F.col("id").alias("_code"))
+    if used is not None:
+        taken = used.filter(F.col("code").between(lo, hi)).select(F.col("code").cast("long").alias("_code")).distinct()
+        codes = codes.join(taken, "_code", "left_anti")
+    free = number_rows(codes, ["_code"], "_rank")
+    ranked = number_rows(requests, order, "_rank")
+    if ranked.count() > free.count():
+        raise ValueError(f"code range exhausted at U+{hi + 1:04X}")
+    return ranked.join(free, "_rank").withColumn(out, F.col("_code").cast("int")).drop("_rank", "_code")
 
 
 def allocation_log(allocated: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphledger.functions import geometry as G
-from glyphledger.functions.codes import EMPTY_HASH, code_to_hex, hex_to_code
+from glyphledger.functions.codes import EMPTY_HASH, hex_to_code
 
 # Usual units per em.
 USUAL_UPM = (512, 1000, 1024, 2048, 4096)
@@ -143,7 +143,3 @@ def check_units(units: DataFrame) -> DataFrame:
 def units_seen(units: DataFrame) -> DataFrame:
     """Distinct units per em with the number of assets."""
     return units.groupBy("units_per_em").agg(F.count(F.lit(1)).alias("assets"))
-
-
-def with_hex(df: DataFrame) -> DataFrame:
-    return df.withColumn("code_hex", code_to_hex(F.col("code")))

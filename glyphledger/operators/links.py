@@ -34,11 +34,13 @@ def link_patterns(cdn_hosts: Sequence[str], static_hosts: Sequence[str]) -> list
     ]
 
 
-# Import statements, quoted local stylesheets, url(...) and numbered fonts.
+# Import statements, quoted local stylesheets, url(...), numbered fonts and
+# the two template placeholders.
 IMPORT_PATTERN = r"""@import\s+(?:url\(\s*)?['"]?([^'")\s;]+{kw}[^'")\s;]*)['"]?\s*\)?\s*;"""
 LOCAL_PATTERN = r"""['"]([\w./-]*{kw}[\w./-]*\.css)['"]"""
 URL_CALL = r"""url\(\s*['"]?([^'")\s]+)['"]?\s*\)"""
 NUMBERED_FONT = r"font_\d+"
+PLACEHOLDER_LINE = r"[^\n]*<%=\s*htmlWebpackPlugin\.options\.(?:path|assetsPublicPath)\s*%>[^\n]*"
 KEYWORD = "iconfont"
 
 
@@ -62,6 +64,89 @@ def extract_links(
     )
 
 
+def scan_links(
+    files: DataFrame, patterns: Sequence[str], keyword: str = KEYWORD, calls: bool = False
+) -> DataFrame:
+    """(project, path, kind, raw): everything link-like of each file, from one reading of its text.
+
+    Kinds: link, import, local (quoted local stylesheets, comments included), page
+    (a line with a template placeholder, which ``fill_links`` fills and reads) and,
+    with ``calls``, call (targets of ``url(...)``, comments included). Comments are
+    stripped before placeholders are filled, since a filled path may look like one.
+    """
+    shown = F.coalesce(F.col("content").contains("htmlWebpackPlugin"), F.lit(False))
+    texts = files.select(
+        "project",
+        "path",
+        F.col("content").alias("_all"),
+        shown.alias("_marked"),
+        strip_comments(F.col("content"), F.col("ext")).alias("_text"),
+    ).withColumn("_plain", F.when(F.col("_marked"), F.regexp_replace("_text", PLACEHOLDER_LINE, "")).otherwise(F.col("_text")))
+
+    def of(kind: str, found: Column) -> Column:
+        return F.transform(found, lambda raw: F.struct(F.lit(kind).alias("kind"), raw.alias("raw")))
+
+    none = F.array().cast("array<string>")
+    groups = [
+        *[of("link", find_all(F.col("_plain"), p)) for p in patterns],
+        of("import", find_all(F.col("_plain"), IMPORT_PATTERN.replace("{kw}", keyword), 1)),
+        of("local", find_all(F.col("_all"), LOCAL_PATTERN.replace("{kw}", keyword), 1)),
+        of("page", F.when(F.col("_marked"), find_all(F.col("_text"), PLACEHOLDER_LINE)).otherwise(none)),
+    ]
+    if calls:
+        groups.append(of("call", find_all(F.col("_all"), URL_CALL, 1)))
+    hits = F.array_distinct(F.concat(*groups))
+    return texts.select("project", "path", F.explode(hits).alias("_hit")).select("project", "path", "_hit.*")
+
+
+def fill_placeholders(text: Column) -> Column:
+    """Put the project's ``public_path`` and ``assets_path`` into the placeholders of a text.
+
+    A placeholder whose path is unknown stays.
+    """
+    for option, value in (("path", F.col("public_path")), ("assetsPublicPath", F.col("assets_path"))):
+        pattern = rf"<%=\s*htmlWebpackPlugin\.options\.{option}\s*%>"
+        literal = F.regexp_replace(value, r"([\\$])", r"\\$1")
+        text = F.when(value.isNotNull(), F.regexp_replace(text, F.lit(pattern), literal)).otherwise(text)
+    return text
+
+
+def fill_links(hits: DataFrame, paths: DataFrame, patterns: Sequence[str], keyword: str = KEYWORD) -> DataFrame:
+    """Turn page hits into link and import hits: only lines with a placeholder are joined and filled."""
+    line = fill_placeholders(F.col("raw"))
+    pages = hits.filter(F.col("kind") == "page").join(paths, "project", "left").select("project", "path", line.alias("_line"))
+    links = F.flatten(F.array(*[find_all(F.col("_line"), p) for p in patterns]))
+    imports = find_all(F.col("_line"), IMPORT_PATTERN.replace("{kw}", keyword), 1)
+    both = F.concat(
+        F.transform(links, lambda raw: F.struct(F.lit("link").alias("kind"), raw.alias("raw"))),
+        F.transform(imports, lambda raw: F.struct(F.lit("import").alias("kind"), raw.alias("raw"))),
+    )
+    filled = pages.select("project", "path", F.explode(both).alias("_hit")).select("project", "path", "_hit.*")
+    return hits.filter(F.col("kind") != "page").unionByName(filled)
+
+
+def hit_links(hits: DataFrame, keyword: str = KEYWORD, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Distinct (project, path, url) of link, import and call hits."""
+    raw = strip(F.col("raw"))
+    named = F.when(F.col("kind") == "link", True).when(F.col("kind").isin("import", "call"), _remote(raw, keyword))
+    return (
+        hits.filter(F.coalesce(named, F.lit(False)))
+        .select("project", "path", normalize_url(raw, aliases).alias("url"))
+        .distinct()
+    )
+
+
+def local_targets(hits: DataFrame) -> DataFrame:
+    """Distinct (project, path, target) of local hits, resolved against the file's folder."""
+    ref, folder = F.col("raw"), F.regexp_replace(F.col("path"), r"[^/]*\z", "")
+    whole = F.concat(F.lit("/"), F.when(ref.startswith("/"), "").otherwise(folder), ref)
+    return (
+        hits.filter((F.col("kind") == "local") & ~ref.startswith("http") & ~ref.startswith("//"))
+        .select("project", "path", F.regexp_replace(resolve_path(whole), r"\A/+", "").alias("target"))
+        .distinct()
+    )
+
+
 def project_links(links: DataFrame) -> DataFrame:
     """Set semantics per project."""
     return links.select("project", "url").distinct()
@@ -90,29 +175,9 @@ def extract_imports(
 
 def local_refs(files: DataFrame, keyword: str = KEYWORD) -> DataFrame:
     """(project, path, target): quoted local stylesheets resolved against the file's folder."""
-    pattern = LOCAL_PATTERN.replace("{kw}", keyword)
-    folder = F.regexp_replace(F.col("path"), r"[^/]*\z", "")
-    return (
-        files.select(
-            "project", "path", F.explode(find_all(F.col("content"), pattern, 1)).alias("_ref")
-        )
-        .filter(~F.col("_ref").startswith("http") & ~F.col("_ref").startswith("//"))
-        .select(
-            "project",
-            "path",
-            F.regexp_replace(
-                resolve_path(
-                    F.concat(
-                        F.lit("/"),
-                        F.when(F.col("_ref").startswith("/"), "").otherwise(folder),
-                        F.col("_ref"),
-                    )
-                ),
-                r"\A/+",
-                "",
-            ).alias("target"),
-        )
-        .distinct()
+    found = find_all(F.col("content"), LOCAL_PATTERN.replace("{kw}", keyword), 1)
+    return local_targets(
+        files.select("project", "path", F.lit("local").alias("kind"), F.explode(found).alias("raw"))
     )
 
 
@@ -123,33 +188,33 @@ def follow_local(
     keyword: str = KEYWORD,
     aliases: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Links of local stylesheets one hop away that the scan itself did not read.
+    """Links of local stylesheets one hop away that the scan itself did not read."""
+    return follow_targets(local_refs(files, keyword), files, all_files, patterns, keyword, aliases)
+
+
+def follow_targets(
+    targets: DataFrame,
+    files: DataFrame,
+    all_files: DataFrame,
+    patterns: Sequence[str],
+    keyword: str = KEYWORD,
+    aliases: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Links of the target stylesheets outside ``files``; their text is read once.
 
     A target always ends in ``.css``, so only such files take part in the join.
     """
-    targets = (
-        local_refs(files, keyword)
-        .select("project", F.col("target").alias("path"))
+    wanted = (
+        targets.select("project", F.col("target").alias("path"))
         .distinct()
         .join(files.select("project", "path"), ["project", "path"], "left_anti")
     )
-    sheets = all_files.filter(F.col("path").endswith(".css"))
-    reached = sheets.join(targets, ["project", "path"], "left_semi").withColumn(
-        "ext", extension(F.col("path"))
-    )
-    called = (
-        reached.select(
-            "project", "path", F.explode(find_all(F.col("content"), URL_CALL, 1)).alias("_raw")
-        )
-        .select("project", "path", strip(F.col("_raw")).alias("_raw"))
-        .filter(_remote(F.col("_raw"), keyword))
-        .select("project", "path", normalize_url(F.col("_raw"), aliases).alias("url"))
-    )
-    return (
-        called.unionByName(extract_links(reached, patterns, aliases))
-        .unionByName(extract_imports(reached, keyword, aliases))
-        .distinct()
+    reached = (
+        all_files.filter(F.col("path").endswith(".css"))
+        .join(wanted, ["project", "path"], "left_semi")
+        .withColumn("ext", extension(F.col("path")))
     )
+    return hit_links(scan_links(reached, patterns, keyword, calls=True), keyword, aliases)
 
 
 def _with_dedup_key(links: DataFrame) -> DataFrame:

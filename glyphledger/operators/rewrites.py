@@ -12,6 +12,7 @@ from glyphledger.operators.conflicts import (
     DUPLICATE,
     NAME_CONFLICT,
 )
+from glyphledger.operators.ordering import number_rows
 from glyphledger.operators.registry import Registry
 from glyphledger.operators.resolution import (
     ITEM,
@@ -47,7 +48,8 @@ def apply_name_resolution(
     ``_v<n+1>`` and gets one new code. Entries outside any group stay.
     """
     members = materialize(name_merges(records, variants, decisions))
-    items = merge_variants(members)
+    # Appended rows keep the order of their records and groups, however many a record has.
+    items = number_rows(merge_variants(members), ITEM, "_place")
     leaving = items.filter(F.col("resolution") == "group_pua")
     # One row per reviewer group, so the window is as small as the review was.
     nth = Window.partitionBy("k1").orderBy("k2")
@@ -85,7 +87,7 @@ def apply_name_resolution(
             "advance_width",
             "alias_count",
             F.coalesce("source_count", F.lit(0)).alias("source_count"),
-            (F.lit(APPENDED) + F.col("k1") * 4096 + F.least(F.col("k2"), F.lit(4095))).alias("ord_major"),
+            (F.lit(APPENDED) + F.col("_place")).alias("ord_major"),
         )
     )
     entries = reg.entries.join(consumed, "glyph_hash", "left_anti").unionByName(added)
@@ -334,12 +336,24 @@ def apply_code_fallback(
 
 
 def lineage_log(changes: DataFrame) -> DataFrame:
-    """Log rows of code changes; writers add the time of the run."""
+    """Log rows of code changes; ``append_lineage`` adds the time of the run."""
     return changes.select(
         "glyph_hash", F.lit("assign_pua").alias("action"), "old_code", "old_hex", "new_code", "new_hex", "reason"
     )
 
 
+def append_lineage(changes: DataFrame, path: str, at: str | None = None) -> DataFrame:
+    """Append the log rows of one run to the lineage log at ``path`` and return the whole log.
+
+    Every row carries the time of its run: ``at`` in ISO form, or the moment the run
+    was planned. Earlier rows stay as they are.
+    """
+    moment = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    rows = lineage_log(changes).withColumn("run_at", moment)
+    rows.write.mode("append").parquet(path)
+    return changes.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def name_first_effect(records: DataFrame, variants: DataFrame) -> DataFrame:
     """Code conflicts after merging falsely different names: one row per record.
 

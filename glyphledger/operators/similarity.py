@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from glyphledger.functions import geometry as G
 from glyphledger.operators.conflicts import CODE_CONFLICT, NAME_CONFLICT
-from glyphledger.operators.ordering import hash_prefix, number_within
 from glyphledger.session import materialize
 
 # Limits of the two similarity tests, grid size, score thresholds.
@@ -30,7 +29,8 @@ GRID = 64
 CURVE_STEPS = 8
 SCORE_STEPS = (0.99, 0.95, 0.9, 0.85, 0.8, 0.7, 0.5)
 
-CELL = 512
+CELL = 4096  # variants in a strip: a cell takes two of them, 4 MB of grids or outlines
+_ROWS = 256  # rows of a cell compared at once
 
 
 def outlines_by_asset(glyphs: DataFrame) -> DataFrame:
@@ -82,21 +82,18 @@ def pairs_in_cells(
 ) -> DataFrame:
     """Reduce over all unordered pairs of each group, one output row per cell.
 
-    Variants are numbered and cut into strips of ``cell`` rows. A variant goes
-    to one cell per strip of its group, so a cell holds two strips at most and
-    every pair meets exactly once. ``compare`` gets two strips, or one strip
-    and None for the pairs inside it. Work on a group is quadratic in its size,
-    but spread over all cells.
+    Variants are dealt to strips of about ``cell`` rows by a hash of their id; the
+    order is of no matter to what is reduced. A variant goes to one cell per strip
+    of its group, so a cell holds two strips and every pair meets exactly once.
+    ``compare`` gets two strips, or one strip and None for the pairs inside it.
+    Comparisons in a group are quadratic in its distinct variants, but spread over
+    all cells; copies move once per ``cell`` of them.
     """
-    numbered = number_within(
-        variants, ["group_id"], ["variant_id"], [hash_prefix("variant_id")], "_pos"
-    )
     sizes = variants.groupBy("group_id").agg(F.count(F.lit(1)).alias("_n"))
-    strip = F.floor(F.col("_pos") / cell).cast("int")
     strips = F.ceil(F.col("_n") / cell).cast("int")
     spread = (
-        numbered.join(sizes, "group_id")
-        .withColumn("_strip", strip)
+        variants.join(sizes, "group_id")
+        .withColumn("_strip", F.pmod(F.xxhash64("variant_id"), strips).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), strips - 1)))
         .withColumn("_lo", F.least("_strip", "_other"))
         .withColumn("_hi", F.greatest("_strip", "_other"))
@@ -117,6 +114,8 @@ def _coords(pdf: pd.DataFrame) -> np.ndarray:
 
 def _geo_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
     """Least similarity over the pairs of a cell; rows have equal shapes."""
+    if left.empty or (right is not None and right.empty):
+        return (None,)
     a = _coords(left)
     b = a if right is None else _coords(right)
     least = None
@@ -208,9 +207,10 @@ def min_geo_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
     )
     cells = (
         pairs_in_cells(
-            feats.join(left, "group_id", "left_semi").select(
-                "group_id", "variant_id", coords.alias("coords")
-            ),
+            # Equal outlines fold: a pair of them never scores least in a group left here.
+            feats.join(left, "group_id", "left_semi")
+            .groupBy("group_id", coords.alias("coords"))
+            .agg(F.min("variant_id").alias("variant_id")),
             _geo_cell,
             "least double",
             cell,
@@ -302,40 +302,62 @@ def _bits(pdf: pd.DataFrame) -> np.ndarray:
 
 
 def _occupancy_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
-    """Least, largest and summed number of equal cells, and the pairs, of one cell."""
-    a = _bits(left)
-    b = a if right is None else _bits(right)
-    both = a @ b.T
-    equal = a.shape[1] - a.sum(axis=1)[:, None] - b.sum(axis=1)[None, :] + 2 * both
-    if right is None:
-        equal = equal[np.triu_indices(len(a), 1)]
-    equal = equal.astype(np.int64).ravel()
-    if not len(equal):
-        return None, None, 0, 0
-    return int(equal.min()), int(equal.max()), int(equal.sum()), len(equal)
+    """Least and largest number of equal grid cells in one cell, and their sum over all copies."""
+    same = right is None
+    if left.empty or (not same and right.empty):
+        return None, None, 0
+    a, n = _bits(left), left["n"].to_numpy()
+    b, m = (a, n) if same else (_bits(right), right["n"].to_numpy())
+    filled_a, filled_b = a.sum(axis=1), b.sum(axis=1)
+    lo = hi = None
+    total = 0
+    for at in range(0, len(a), _ROWS):
+        rows = slice(at, at + _ROWS)
+        equal = a.shape[1] - filled_a[rows, None] - filled_b[None, :] + 2 * (a[rows] @ b.T)
+        equal = equal.astype(np.int64)
+        wanted = np.ones(equal.shape, bool)
+        if same:
+            wanted = np.arange(len(b))[None, :] > np.arange(at, at + len(equal))[:, None]
+        if wanted.any():
+            seen = equal[wanted]
+            lo = int(seen.min()) if lo is None else min(lo, int(seen.min()))
+            hi = int(seen.max()) if hi is None else max(hi, int(seen.max()))
+            total += int(n[rows] @ np.where(wanted, equal, 0) @ m)
+    return lo, hi, total
 
 
 def occupancy_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
-    """Min, max and mean share of equal grid cells over the pairs of each group."""
-    total = float(GRID * GRID)
-    drawn = variants.filter(F.size("contours") > 0).select(
-        "group_id", "variant_id", occupancy(F.col("contours")).alias("cells")
+    """Min, max and mean share of equal grid cells over the pairs of each group.
+
+    Variants with the same grid fold into one row with a count before any pair is formed.
+    """
+    grid = GRID * GRID
+    folded = materialize(
+        variants.filter(F.size("contours") > 0)
+        .select("group_id", "variant_id", occupancy(F.col("contours")).alias("cells"))
+        .groupBy("group_id", "cells")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("variant_id").alias("variant_id"))
     )
     cells = (
-        pairs_in_cells(drawn, _occupancy_cell, "lo long, hi long, total long, pairs long", cell)
+        pairs_in_cells(folded, _occupancy_cell, "lo long, hi long, total long", cell)
         .groupBy("group_id")
-        .agg(
-            F.min("lo").alias("lo"),
-            F.max("hi").alias("hi"),
-            F.sum("total").alias("total"),
-            F.sum("pairs").alias("pairs"),
-        )
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("total").alias("total"))
+    )
+    pair_n = lambda c: F.floor(c * (c - 1) / 2).cast("long")
+    sizes = folded.groupBy("group_id").agg(pair_n(F.sum("n")).alias("pairs"), F.sum(pair_n(F.col("n"))).alias("twins"))
+    twins = F.col("twins") > 0
+    known = sizes.join(cells, "group_id", "left").select(
+        "group_id",
+        "pairs",
+        F.coalesce("lo", F.when(twins, grid)).alias("lo"),
+        F.when(twins, grid).otherwise(F.col("hi")).alias("hi"),
+        (F.coalesce("total", F.lit(0)) + F.col("twins") * grid).alias("total"),
     )
-    share = lambda c: F.coalesce(F.round(c / F.lit(total), 4), F.lit(0.0))
+    share = lambda c: F.coalesce(F.round(c / F.lit(float(grid)), 4), F.lit(0.0))
     return (
         variants.select("group_id")
         .distinct()
-        .join(cells, "group_id", "left")
+        .join(known, "group_id", "left")
         .select(
             "group_id",
             share(F.col("lo")).alias("min_score"),

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from glyphledger.operators import links, registry
 from glyphledger.operators.glyphs import name_glyphs, normalize_glyphs, with_units
 from glyphledger.session import materialize
-from glyphledger.sources.files import expand_templates, wanted_file
+from glyphledger.sources.files import wanted_file
+
+
+def _no_paths(hits: DataFrame) -> DataFrame:
+    """No project has paths: placeholders stay, and the rest of their lines is read all the same."""
+    none = F.lit(None).cast("string")
+    return hits.limit(0).select("project", none.alias("public_path"), none.alias("assets_path"))
 
 
 @dataclass(frozen=True)
@@ -30,17 +36,18 @@ def collect_links(
 ) -> LinkTables:
     """Every link of every project, one spelling per dedup key, and who uses it.
 
-    The text is read once for the three kinds of links; what is found is small
-    and written before dedup.
+    The text of the scanned files is read once, that of the local stylesheets they
+    name once more. Comments are stripped first; template placeholders are filled
+    in the lines that hold one.
     """
     wanted = all_files.filter(wanted_file(F.col("path")))
-    expanded = wanted if paths is None else expand_templates(wanted, paths)
-    found = materialize(
-        links.extract_links(expanded, patterns, aliases)
-        .unionByName(links.extract_imports(expanded, keyword, aliases))
-        .unionByName(links.follow_local(wanted, all_files, patterns, keyword, aliases))
-        .distinct()
-    )
+    hits = materialize(links.scan_links(wanted, patterns, keyword))
+    if paths is not None:
+        filled = links.fill_links(hits, paths, patterns, keyword)
+    else:
+        filled = links.fill_links(hits, _no_paths(hits), patterns, keyword)
+    followed = links.follow_targets(links.local_targets(hits), wanted, all_files, patterns, keyword, aliases)
+    found = materialize(links.hit_links(filled, keyword, aliases).unionByName(followed).distinct())
     ordered = found.select("project", "url", F.struct("project", "path").alias("ord"))
     index = links.add_seeds(links.link_index(ordered), seeds, aliases)
     return LinkTables(found, index)

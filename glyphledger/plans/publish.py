@@ -29,8 +29,8 @@ def plan_rewrites(
 ) -> dict[str, DataFrame]:
     """Lineage with usages, the rules per project and what they would change.
 
-    The files are read once for usages and references and once more, joined to
-    the few lines with rules, for the dry run.
+    The files are read for usages, for references, and, joined to the rules of the
+    files that have some, for the dry run.
     """
     lines = us.lines(files)
     usage = materialize(us.scan_usage(lines))
@@ -45,5 +45,5 @@ def plan_rewrites(
         "history": ln.version_history(reg.entries, flags),
         "plan": plan,
         "summary": ln.plan_summary(plan),
-        "diff": ln.apply_plan(lines, plan),
+        "diff": ln.apply_plan(files, plan),
     }

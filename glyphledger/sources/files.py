@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glyphledger.functions.text import extension
+from glyphledger.operators.links import fill_placeholders
 
 # Directories never entered, extensions read as source, config file names.
 EXCLUDED_DIRS = (
@@ -214,18 +215,9 @@ def expand_templates(files: DataFrame, paths: DataFrame) -> DataFrame:
     never shuffled, however many projects there are.
     """
 
-    def fill(content: Column, option: str, value: Column) -> Column:
-        pattern = rf"<%=\s*htmlWebpackPlugin\.options\.{option}\s*%>"
-        literal = F.regexp_replace(value, r"([\\$])", r"\\$1")
-        return F.when(
-            value.isNotNull(), F.regexp_replace(content, F.lit(pattern), literal)
-        ).otherwise(content)
-
     marked = F.coalesce(F.col("content").contains("htmlWebpackPlugin"), F.lit(False))
     joined = files.filter(marked).join(paths, "project", "left")
-    content = fill(F.col("content"), "path", F.col("public_path"))
-    content = fill(content, "assetsPublicPath", F.col("assets_path"))
-    filled = joined.withColumn("content", content).select(*files.columns)
+    filled = joined.withColumn("content", fill_placeholders(F.col("content"))).select(*files.columns)
     return files.filter(~marked).unionByName(filled)
 
 

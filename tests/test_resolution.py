@@ -36,6 +36,15 @@ def test_full_range_is_enough_and_one_more_fails(spark):
         al.allocate(asks(spark, 5), ["place"], used, 10, 14).collect()
 
 
+@pytest.mark.parametrize("used", [False, True])
+def test_too_many_requests_fail_whatever_is_read(spark, used):
+    taken = spark.createDataFrame([(12,)], "code int") if used else None
+    with pytest.raises(ValueError, match="code range exhausted"):
+        al.allocate(asks(spark, 50), ["place"], taken, 10, 14).count()
+    with pytest.raises(ValueError, match="code range exhausted"):
+        al.allocate(asks(spark, 50), ["place"], taken, 10, 14).select("glyph_hash").collect()
+
+
 class Case:
     """Four fingerprints on one code, two of them under one name, and a lone one."""
 
