@@ -10,6 +10,8 @@ result is the one that packing piece by piece would give.
 
 from __future__ import annotations
 
+import itertools
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -23,46 +25,74 @@ from glyphledger.session import materialize
 
 SIZE = 2048
 END = 0  # the id that ends every document
-CACHE = 300_000  # words whose ids a worker keeps
-_SPACE = b" \t\n\v\f\r"
-_CACHES: dict[str, tuple] = {}
+CACHE = 600_000  # pieces of words whose ids a worker keeps
+_CACHES: dict[str, WordIds] = {}
+
+# How the tokenizer cuts lower-cased text, written for what ``_PLAIN`` admits.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t-\ra-z0-9ß-öø-ÿ]+")
+_PLAIN = re.compile(r"[ \t-\r!-~À-ÖØ-öø-ÿ]*")
+
+
+def _byte_letters() -> str:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next unused."""
+    prints = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = itertools.count(0x100)
+    return "".join(chr(b) if b in prints else chr(next(spare)) for b in range(256))
+
+
+class Kept(dict):
+    """A bounded dictionary of what was used lately: two halves, the older one dropped when the newer is full."""
+
+    def __init__(self, room: int, make) -> None:
+        super().__init__()
+        self.half, self.make, self.old = max(1, room // 2), make, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
 
 
 class WordIds:
     """Ids of whole texts from a tokenizer that drops white space and never joins across it.
 
-    Ids of words are kept, so the tokenizer sees a word once while it is kept.
+    Ids of the pieces that the tokenizer cuts words into are kept, so its merges run
+    once for a piece while that is kept. Words with anything but ASCII and Latin-1
+    letters, and words that could hold a special token, go through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str, room: int = CACHE) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.room, self.known = room, {}
-
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > self.room:
-            self.known = {}
-        new = list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for word, got in zip(
-                part,
-                self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False),
-                strict=True,
-            ):
-                self.known[word] = np.array(got.ids, "<u4").tobytes()
+        self.letters = _byte_letters()
+        self.pieces = Kept(room, self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
 
     def ids(self, text: bytes) -> bytes:
         """Little-endian 32-bit ids of a text, in order."""
+        whole = text.decode()
+        if "<|" not in whole and _PLAIN.fullmatch(whole):
+            return self._plain(whole)
         out = []
-        words = text.split()
-        for at in range(0, len(words), self.room // 4):
-            part = words[at : at + self.room // 4]
-            missing = {w for w in part if w not in self.known}
-            if missing:
-                self.learn(missing | {w for w in part if w in self.known} if len(self.known) + len(missing) > self.room else missing)
-            out.append(b"".join(map(self.known.__getitem__, part)))
+        for word in text.split():
+            word = word.decode()
+            if "<|" not in word and _PLAIN.fullmatch(word):
+                out.append(self._plain(word))
+            else:
+                out.append(np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes())
         return b"".join(out)
 
 
