@@ -1,0 +1,321 @@
+import hashlib
+import math
+import re
+import struct
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from glyphledger.llm import op04_sentencepiece as o4
+from glyphledger.llm import op05_personal as o5
+from glyphledger.llm import op06_language_model as o6
+from glyphledger.llm import op08_fingerprints as o8
+from glyphledger.llm import op09_language as o9
+from glyphledger.llm import op10_licenses as o10
+from glyphledger.llm.queries import tokenizer_path
+from tests.llm import cases
+
+SF = "/root/testdata/sf0.001"
+MODEL = tokenizer_path("piece_bpe_32k.model")
+
+# ------------------------------------------------------------ SentencePiece
+
+
+def ragged(n=400):
+    import random
+
+    r = random.Random(4)
+    some = [*" abcdefghthe.,!?\n\t▁éß漢字😀\x00", "  ", "   ", " the", "in", "ing", "<s>", "</s>", "<unk>", "<0x41>"]
+    return ["", " ", "a", " a ", *(" " * i for i in range(2, 40, 7)), *("".join(r.choice(some) for _ in range(r.randrange(1, 40))) for _ in range(n))]
+
+
+def test_ids_and_texts_equal_the_library():
+    own = o4.Codec(MODEL, room=50)
+    for text in ragged():
+        ids = own.reference.encode(text)
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == ids
+        assert own.decode(own.encode(text)) == own.reference.decode(ids)
+
+
+def _varint(n):
+    out = b""
+    while True:
+        out += bytes([n & 0x7F | (0x80 if n > 0x7F else 0)])
+        n >>= 7
+        if not n:
+            return out
+
+
+def _entry(number, data):
+    return _varint(number << 3 | 2) + _varint(len(data)) + data
+
+
+def unigram_model():
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256))]
+    pieces += [("▁", -2.0, 1), ("▁the", -3.0, 1), ("t", -4.0, 1), ("h", -4.1, 1), ("e", -4.2, 1), ("he", -5.0, 1), ("re", -5.5, 1), ("r", -6.0, 1), ("▁there", -9.9, 1)]
+    out = b""
+    for piece, score, kind in pieces:
+        out += _entry(1, _entry(1, piece.encode()) + b"\x15" + struct.pack("<f", score) + b"\x18" + _varint(kind))
+    trainer = _varint(3 << 3) + _varint(1) + _varint(35 << 3) + _varint(1)
+    normaliser = _entry(1, b"identity") + _varint(3 << 3) + _varint(1) + _varint(4 << 3) + _varint(0) + _varint(5 << 3) + _varint(1)
+    return out + _entry(2, trainer) + _entry(3, normaliser)
+
+
+def test_unigram_scores_give_the_librarys_ids(tmp_path):
+    path = tmp_path / "small.model"
+    path.write_bytes(unigram_model())
+    own = o4.Codec(str(path))
+    for text in ["the", "there", "the there", "hehe rethe", "other", "é the", "there  there", *ragged(60)]:
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == own.reference.encode(text)
+
+
+def test_encodes_and_decodes_the_awkward_table(spark):
+    docs = cases.table(spark)
+    got = o4.checked(docs, MODEL).collect()
+    assert len(got) == len(cases.rows()) and all(r["parity"] and r["round_trip"] for r in got)
+    assert {r["n_tokens"] for r in got if r["doc_id"] in (2, 3)} == {0}
+    back = {r["doc_id"]: r["text"] for r in o4.decode_ids(o4.encode_texts(docs, MODEL), MODEL).collect()}
+    assert all(back[r[0]] == (r[1] or "") for r in cases.rows() if r[0] is not None)
+    assert o4.checked(docs.limit(0), MODEL).count() == 0
+
+
+# ------------------------------------------------------------ personal data
+
+HARD = [
+    "a@b.c_x@d.e.f", "x@y", "a@b..c", "me+you%1@-a-.b-c.d", "@a.b", "a.b@c.d@e.f",
+    "1.2.3.4.5.6.7.8", "256.1.1.1", "001.002.003.0255", "99999999999999999999.1.1.1", "1.2.3", "12.34.56.78.",
+    "4111 1111 1111 1111", "4111-1111-1111-1112", "41111111111111114111111111111111", "+1 (017) 555-7713", "+44.20.7946.0958 x",
+    "+1 2", "++1 (614) 555-8001", "+123456789012345678", "5 " * 40, "tel +1 614 555 8001-", "é😀 a@b.co 漢 10.0.0.1",
+]
+
+
+def test_base_spans_equal_plain_matching(spark):
+    texts = [*HARD, " ".join(HARD), "9" * 6000, "a" * 6000, ("1 " * 4000).strip(), *[r[1] for r in cases.rows()]]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, kind string")
+    got = {r["doc_id"]: r for r in o5.personal_data(docs).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        want = cases.base_spans(t)
+        assert got[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), (t, want, got[i])
+        kinds = Counter(s.split(":")[0] for s in want.split(",") if s)
+        assert [got[i][f"n_{k}"] for k in o5.BASE] == [kinds[k] for k in o5.BASE]
+        assert set(filter(None, want.split(","))) <= set(got[i]["spans"].split(","))
+
+
+def test_no_personal_data_and_no_rows(spark):
+    assert o5.personal_data(cases.table(spark, [])).count() == 0
+    got = o5.personal_data(cases.table(spark)).collect()
+    assert len(got) == len(cases.rows())
+
+
+def test_labelers_that_agree_with_the_rest_weigh_more(spark):
+    good = [("phone_local", f"call tel ({200 + i}) 555-{1000 + i} now") for i in range(30)]
+    bad = [("order", f"order {100 + i}-555-{1000 + i} now") for i in range(30)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(good + bad)], "doc_id long, text string")
+    model = o5.train(o5.candidates(docs))
+    assert model.weight["near", 1] > 0 > model.weight["far", -1]
+    spans = {r["doc_id"]: r["spans"] for r in o5.personal_data(docs).collect()}
+    assert all(spans[i].startswith("phone_local:") for i in range(30))
+    assert not any(spans[i] for i in range(30, 60))
+
+
+def test_masks_what_it_finds(spark):
+    docs = cases.table(spark)
+    model = o5.train(o5.candidates(docs))
+    done = o5.mask(docs, model)
+    assert done.columns == docs.columns
+    after = {r["doc_id"]: r["text"] for r in done.collect()}
+    assert after[11] == "write to [EMAIL] or [PHONE], card [CARD], host [IP]"
+    for r in cases.rows():
+        if r[0] not in (11, None):
+            assert after[r[0]] == r[1]
+    assert o5.mask(docs.limit(0), model).count() == 0
+
+
+# ------------------------------------------------------------ language model
+
+
+def test_base_scores_are_exact_whatever_the_head(spark, monkeypatch):
+    docs = cases.table(spark)
+    rows = cases.rows()
+    token = lambda t: [x.encode().lower() for x in cases.words(t)] + [None]
+    held = [zlib.crc32(str(r[0] if r[0] is not None else "").encode()) % 7 == 2 for r in rows]
+    counts = Counter(x for r, h in zip(rows, held, strict=True) if not h for x in token(r[1]))
+    n, v = sum(counts.values()), len(counts)
+    want = sorted(
+        ((r[0], h, len(token(r[1])), sum(counts[x] > 0 for x in token(r[1])), n) for r, h in zip(rows, held, strict=True)),
+        key=str,
+    )
+    scores = {r[0]: sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in token(r[1])) for r in rows if r[0] is not None}
+    for head in (0, 20, 1 << 20):
+        monkeypatch.setattr(o6, "HEAD_WORDS", head)
+        got = o6.score_documents(docs).collect()
+        assert sorted((tuple(r)[:5] for r in got), key=str) == want
+        for r in got:
+            assert r["score"] < 0
+            if r["doc_id"] is not None:
+                assert math.isclose(r["base_score"], scores[r["doc_id"]], rel_tol=1e-9)
+
+
+def test_filter_holds_every_count_and_few_others(spark):
+    r = np.random.default_rng(1)
+    h = r.integers(0, 2**64, 3000, dtype=np.uint64)
+    c = r.integers(1, 400, 3000)
+    table = spark.createDataFrame([(int(a), int(b)) for a, b in zip(h.view(np.int64), c, strict=True)], "h long, c long")
+    raw, width = o6.build_filter(table)
+    bits = np.frombuffer(raw, np.uint8)
+    found = o6.probe(bits, h, width)
+    assert (found >= o6.COUNT_OF[o6.quantise(c)]).all()  # errors are one-sided
+    assert (found == o6.COUNT_OF[o6.quantise(c)]).mean() > 0.8
+    assert (o6.probe(bits, r.integers(0, 2**64, 5000, dtype=np.uint64), width) > 0).mean() < 0.15
+
+
+def test_model_beats_the_base_on_held_out_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = o6.score_documents(docs).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
+    assert o6.score_documents(docs.limit(0)).count() == 0
+
+
+# ------------------------------------------------------------ fingerprints
+
+
+def test_edits_and_next_texts(spark):
+    rows = [(r[0], r[1]) for r in cases.rows() if r[0] is not None]
+    rows = list(dict(rows).items())
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, tail int")
+    got = {r["doc_id"]: r for r in o8.fingerprint_neighbours(docs).collect()}
+    texts = [(k, t or "") for k, t in sorted(rows)]
+    assert len(got) == len(texts)
+    for i, (key, text) in enumerate(texts):
+        following = texts[(i + 1) % len(texts)][1]
+        half = len(text) // 2
+        changed = text[: len(text) - half] + following[:half]
+        r = got[key]
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256(changed.encode()).hexdigest()
+        assert (r["fingerprint"] == r["edited_fingerprint"]) == (changed == text)
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        if len(text) > 400 and following and key != 10:
+            assert r["near_edited"] > 0.3
+    assert got[8]["fingerprint"] == got[9]["fingerprint"] and got[8]["near_next"] == 1.0
+
+
+def test_awkward_rows_have_fingerprints(spark):
+    docs = cases.table(spark)
+    assert o8.fingerprint_neighbours(docs).count() == len(cases.rows())
+    assert o8.fingerprint_neighbours(docs.limit(0)).count() == 0
+    lone = o8.fingerprint_neighbours(docs.filter("doc_id = 1")).collect()
+    assert len(lone) == 1 and lone[0]["near_next"] == 1.0
+
+
+def test_tree_locates_an_edit():
+    text = "\n".join(cases.sentence(i, 40) + "." for i in range(12))
+    at = text.index("\n", len(text) // 2) + 10
+    other = text[:at] + "CHANGED" + text[at:]
+    a, b = o8.Tree(other), o8.Tree(text)
+    spans = a.differing(b)
+    assert len(spans) == 1 and spans[0][0] <= at < spans[0][1] and spans[0][1] - spans[0][0] < 300
+    assert o8.Tree(text).differing(b) == [] and o8.likeness(b, o8.Tree(text)) == 1.0
+    assert o8.likeness(a, b) > 0.9
+    joined = "".join("".join(o8._leaves(p)) for p in text.splitlines(keepends=True))
+    assert joined == text
+
+
+# ------------------------------------------------------------ language
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    profiles = o9.Profiles.collect(o9.learn_profiles(o9.training_rows(docs)))
+    seen = docs.filter(o9.held_out(F.col("doc_id"))).withColumn("p", o9.language(profiles, F.col("text"))).collect()
+    assert len(seen) > 20 and sum(r["p"]["lang_pred"] == r["lang"] for r in seen) >= 0.97 * len(seen)
+    assert o9.accept(docs, profiles).count() == docs.count()
+
+
+def test_language_of_awkward_rows(spark):
+    docs = cases.table(spark)
+    profiles = o9.Profiles.collect(o9.learn_profiles(o9.training_rows(docs)))
+    seen = docs.withColumn("p", o9.language(profiles, F.col("text"))).collect()
+    for r in seen:
+        letters = any(c.isalpha() for c in r["text"] or "")
+        assert (r["p"]["lang_pred"] == "und") == (not letters) and 0 <= r["p"]["score"] <= 1
+    kept = o9.accept(docs, profiles)
+    assert kept.columns == docs.columns and kept.filter("doc_id in (2, 3, 4, 13)").count() == 0
+    nothing = o9.Profiles.collect(o9.learn_profiles(docs.limit(0)))
+    assert nothing.predict("some text") == ("und", 0.0)
+    assert o9.accept(docs.limit(0), profiles).count() == 0
+
+
+def test_grams_do_not_depend_on_pieces(monkeypatch):
+    text = "Ab, cd-EF  gh. " * 30 + "é漢字 x1y2z " * 20
+    whole = o9.gram_counts(text)
+    for piece in (1, 2, 7, 50):
+        monkeypatch.setattr(o9, "_PIECE", piece)
+        cut = o9.gram_counts(text)
+        assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
+    monkeypatch.undo()
+    plain = " " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " "
+    want = Counter(g for n in (1, 2, 3) for g in (plain[i : i + n] for i in range(len(plain) - n + 1)) if g != " ")
+    assert sorted(want.values()) == sorted(whole[1].tolist())
+
+
+# ------------------------------------------------------------ licences
+
+
+def plain_scan(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    hits = [
+        (i, label)
+        for phrase, label in o10.BASE_PHRASES.items()
+        for i in range(len(w))
+        if w[i : i + len(phrase.split())] == phrase.split()
+    ]
+    starts = [i for i, _ in hits]
+    return len(w), len(hits), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in hits}))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        None, "", "MIT License", "the mit\nlicense, MIT-LICENSE mit license", "cc by by cc cc by", "CC-BY 4.0 é",
+        "GNU General Public License gnu general public licensed", "mit license apache license", "xmit license",
+        "émit license", "apache  (license)", "\x00mit\x7flicense\x00", "cc by cc by cc by", "a " * 5000 + "mit license",
+    ],
+)
+def test_base_places_equal_plain_matching(text):
+    assert o10.scan(text)[:5] == plain_scan(text)
+
+
+@pytest.mark.parametrize(
+    ("text", "names", "free"),
+    [
+        ("MIT", {"mit"}, True),
+        ("GPL-2.0-only WITH Classpath-exception-2.0", {"gpl-2.0-only-with-classpath-exception-2.0"}, False),
+        ("(MIT OR Apache-2.0) AND GPL-3.0-or-later", {"mit", "apache-2.0", "gpl-3.0-or-later"}, False),
+        ("MIT OR GPL-2.0 AND LGPL-2.1", {"mit", "gpl-2.0", "lgpl-2.1"}, True),
+        ("MIT */", {"mit"}, True),
+    ],
+)
+def test_expressions(text, names, free):
+    assert o10.evaluate(o10.to_postfix(text)) == (names, free)
+
+
+@pytest.mark.parametrize("text", ["", "AND MIT", "MIT OR", "(MIT", "MIT)", "()", "MIT AND OR GPL"])
+def test_malformed_expressions(text):
+    assert o10.to_postfix(text) is None
+
+
+def test_scans_the_awkward_table(spark):
+    rows = [*cases.rows(), (20, "// SPDX-License-Identifier: MIT OR GPL-2.0\ncode", *cases.rows()[0][2:])]
+    docs = cases.table(spark, rows)
+    got = docs.withColumn("s", o10.license_scan(F.col("text"))).collect()
+    assert len(got) == len(rows)
+    by = {r["doc_id"]: r["s"] for r in got}
+    assert by[20]["labels"] == "spdx-tag,spdx:gpl-2.0,spdx:mit,terms:free-choice" and by[20]["score"] > 0.5
+    assert by[2]["labels"] == "" and by[2]["n_words"] == 0 and by[2]["first_word"] is None
+    assert docs.limit(0).withColumn("s", o10.license_scan(F.col("text"))).count() == 0
