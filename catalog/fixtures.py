@@ -19,6 +19,7 @@ from glyphledger.operators.conflicts import (
     conflict_variants,
     number_records,
 )
+from glyphledger.operators.ordering import number_rows
 from glyphledger.operators.registry import Registry, build_registry
 from glyphledger.operators.resolution import load_decisions
 from glyphledger.session import materialize
@@ -210,7 +211,7 @@ def view(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def glyphs(spark: SparkSession, sf: str) -> DataFrame:
-    """Glyph rows with a small outline per part."""
+    """Glyph rows, numbered once in table order, with a small outline per part."""
     box = F.array(
         *[
             F.struct(
@@ -221,7 +222,7 @@ def glyphs(spark: SparkSession, sf: str) -> DataFrame:
             for dx, dy in ((0, 0), (10, 0), (10, 10))
         ]
     )
-    return view(spark, sf, "glyph_fx").withColumn(
+    return world(spark, sf).numbered.withColumn(
         "contours", F.when(F.col("has_outline"), F.array(box))
     )
 
@@ -268,6 +269,11 @@ class World:
     def view(self, name: str) -> DataFrame:
         return view(self.spark, self.sf, name)
 
+    @cached_property
+    def numbered(self) -> DataFrame:
+        """Glyph rows with ``ord`` as one number, as a loader gives it."""
+        return number_rows(self.view("glyph_fx"), ["ord"], "_n").drop("ord").withColumnRenamed("_n", "ord")
+
     @cached_property
     def glyphs(self) -> DataFrame:
         return glyphs(self.spark, self.sf)

@@ -55,23 +55,19 @@ def alias_sets(spark, sf):
 
 @query(
     "R3",
-    """SELECT glyph_hash, asset_id, icon_name, code, printf('%04X', code) AS code_hex, count(*) AS rows FROM glyph_fx
-WHERE glyph_hash <> 'empty' AND icon_name <> '' GROUP BY ALL""",
+    """SELECT glyph_hash, rn - 1 AS ord, asset_id, icon_name, code, printf('%04X', code) AS code_hex FROM glyph_fx
+WHERE glyph_hash <> 'empty' AND icon_name <> ''""",
 )
-def alias_detail_counts(spark, sf):
-    detail = rg.alias_details(glyphs(spark, sf))
-    return detail.groupBy("glyph_hash", "asset_id", "icon_name", "code", "code_hex").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+def alias_detail_rows(spark, sf):
+    return rg.alias_details(glyphs(spark, sf))
 
 
 @query(
     "R4",
-    "SELECT glyph_hash, asset_id, original_code, css_url FROM source_fx LEFT JOIN (SELECT asset_id, css_url FROM asset_fx) USING (asset_id)",
+    "SELECT glyph_hash, asset_id, original_code, css_url, src_rn - 1 AS src_ord FROM source_fx LEFT JOIN (SELECT asset_id, css_url FROM asset_fx) USING (asset_id)",
 )
 def source_rows(spark, sf):
-    rows = rg.source_details(rg.sources(glyphs(spark, sf)), view(spark, sf, "asset_fx"))
-    return rows.drop("src_ord")
+    return rg.source_details(rg.sources(glyphs(spark, sf)), view(spark, sf, "asset_fx"))
 
 
 @query("R4", "SELECT glyph_hash, asset_id, project FROM source_fx JOIN asset_project_fx USING (asset_id)")

@@ -331,10 +331,14 @@ def merged_items(spark, sf):
     return rs.merge_variants(_fresh_members(world(spark, sf)))
 
 
-@query("N3", "SELECT phase, k1, k2, asset_id, original_code FROM item_source_fx")
+@query(
+    "N3",
+    "SELECT phase, k1, k2, asset_id, original_code, lp::BIGINT AS list_pos, pos::BIGINT AS pos, src_rn - 1 AS src_ord FROM item_source_fx",
+)
 def merged_item_sources(spark, sf):
     w = world(spark, sf)
-    return rs.item_sources(shared_members(w), w.reg.sources).drop("src_at")
+    rows = rs.item_sources(shared_members(w), w.reg.sources)
+    return rows.withColumns({c: F.col(f"src_at.{c}").cast("long") for c in ("list_pos", "pos", "src_ord")}).drop("src_at")
 
 
 @query("N3", "SELECT phase, k1, k2, alias FROM item_alias_fx")

@@ -39,15 +39,27 @@ def fine_counts(glyphs: DataFrame) -> DataFrame:
     """Rows per (fingerprint, code, name, asset), when the first was seen and its measures.
 
     The one pass over the glyph rows: everything in the registry follows from it.
+    With a numeric ``ord`` all values are plain numbers (the type stands as a hash,
+    see ``type_names``), so Spark sums in hash tables and sorts no glyph row.
     """
-    first = F.min_by(F.struct("advance_width", "glyph_type", "num_contours"), "ord")
     return (
         glyphs.withColumn("name", F.coalesce("icon_name", F.lit("")))
         .groupBy("glyph_hash", "code", "name", "asset_id")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("o"), first.alias("f"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("ord").alias("o"),
+            F.min_by("advance_width", "ord").alias("advance_width"),
+            F.min_by("num_contours", "ord").alias("num_contours"),
+            F.min_by(F.xxhash64("glyph_type"), "ord").alias("type_mark"),
+        )
     )
 
 
+def type_names(glyphs: DataFrame) -> DataFrame:
+    """(type_mark, glyph_type): the few glyph types by their hash."""
+    return glyphs.select(F.xxhash64("glyph_type").alias("type_mark"), "glyph_type").distinct()
+
+
 def canonical_of(fine: DataFrame) -> DataFrame:
     """Most frequent code, then its most frequent name, then their most frequent asset.
 
@@ -143,7 +155,12 @@ def build_registry(glyphs: DataFrame) -> Registry:
     first = (
         fine.filter(F.col("glyph_hash") != EMPTY_HASH)
         .groupBy("glyph_hash")
-        .agg(F.min_by("f", "o").alias("f"))
+        .agg(
+            F.min_by("advance_width", "o").alias("advance_width"),
+            F.min_by("num_contours", "o").alias("num_contours"),
+            F.min_by("type_mark", "o").alias("type_mark"),
+        )
+        .join(type_names(glyphs), "type_mark")
     )
     alias_n = alias_rows.groupBy("glyph_hash").agg(F.count(F.lit(1)).alias("alias_count"))
     source_n = source_rows.groupBy("glyph_hash").agg(F.count(F.lit(1)).alias("source_count"))
@@ -158,9 +175,9 @@ def build_registry(glyphs: DataFrame) -> Registry:
             code_to_hex(F.col("code")).alias("code_hex"),
             "name",
             "asset_id",
-            F.when(empty, EMPTY_HASH).otherwise(F.col("f.glyph_type")).alias("glyph_type"),
-            F.when(empty, 0).otherwise(F.col("f.num_contours")).alias("num_contours"),
-            F.col("f.advance_width").alias("advance_width"),
+            F.when(empty, EMPTY_HASH).otherwise(F.col("glyph_type")).alias("glyph_type"),
+            F.when(empty, 0).otherwise(F.col("num_contours")).alias("num_contours"),
+            "advance_width",
             F.coalesce("alias_count", F.lit(0)).alias("alias_count"),
             "source_count",
             F.coalesce("code", F.lit(0)).cast("long").alias("ord_major"),
