@@ -73,7 +73,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT doc_id, list(i) AS g FROM covered GROUP BY doc_id
     )
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(g), 0) AS BIGINT) AS n_removed,
-      sha256(array_to_string(list_filter(w, (x, i) -> g IS NULL OR NOT list_contains(g, i)), ' ')) AS kept_sha256
+      sha256(array_to_string(list_filter(w, lambda x, i: g IS NULL OR NOT list_contains(g, i)), ' ')) AS kept_sha256
     FROM words LEFT JOIN gone USING (doc_id)
     """
 )
@@ -122,9 +122,9 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every pair, then the least vector reachable over links.
     """
     WITH RECURSIVE good AS (
-      SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS v FROM embeddings
-      WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-        AND len(list_filter(embedding, x -> x <> 0)) > 0
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
     ), links AS (
       SELECT a.vec_id AS u, b.vec_id AS w FROM good a JOIN good b
       ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
