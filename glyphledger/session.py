@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,13 +39,24 @@ def _checkpoint_root(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="glyphledger-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir()
 
 
+def _stage_root(spark: SparkSession) -> str:
+    return f"{_checkpoint_root(spark).rstrip('/')}/stages-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a table that is written and read back."""
-    return f"{_checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the stage tables of this application; call it when no result is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, compression: str = "zstd") -> DataFrame:
