@@ -113,12 +113,12 @@ def count_grams(docs: DataFrame, text: str = "text", order: int = ORDER) -> Data
                         ["n", "h", "c"],
                     )
 
-        for batch in (part for whole in batches for part in slices(whole, limit=16 << 20)):
+        for batch in (part for whole in batches for part in slices(whole)):
             token, at = tokens(batch.column("text"))
             for n in range(1, order + 1):
                 held[n - 1].append(grams(token, at, n))
             size += len(token)
-            if size > 1 << 22:
+            if size > 1 << 21:
                 yield from out()
                 held, size = [[] for _ in range(order)], 0
         if size:
@@ -220,7 +220,7 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
         bits = np.frombuffer(filtered.value, np.uint8)
         known_words, known_counts = head.value
         row = TaskContext.get().partitionId() << 36
-        for batch in (part for whole in batches for part in slices(whole, limit=16 << 20)):
+        for batch in (part for whole in batches for part in slices(whole)):
             token, at = tokens(batch.column("text"))
             kinds, which = np.unique(token, return_inverse=True)
             seen = probe(bits, kinds, width)
