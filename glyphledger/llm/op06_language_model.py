@@ -181,7 +181,7 @@ def _head(words: DataFrame) -> DataFrame:
         if total > HEAD_WORDS:
             break
         least = at
-    return words.filter(F.col("c") >= 2**least)
+    return words.filter(F.col("c") >= float(2**least))
 
 
 FIELDS = (
