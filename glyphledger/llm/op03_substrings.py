@@ -186,17 +186,18 @@ def _texts_of(window: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            anchors, bodies, times, words = [], [], [], []
+            anchors, bodies, times, hot, words = [], [], [], [], []
             for value, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
                 split = value.encode().split()
                 for w in wanted:
                     anchors.append(w["anchor"])
                     bodies.append(w["body"])
                     times.append(w["n"])
+                    hot.append(w["hot"])
                     words.append(b" ".join(split[w["first"] : w["last"] + window]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchors, pa.int64()), pa.array(bodies, pa.int64()), pa.array(times, pa.int64()), pa.array(words, pa.binary())],
-                ["anchor", "body", "n", "words"],
+                [*(pa.array(c, pa.int64()) for c in (anchors, bodies, times)), pa.array(hot, pa.bool_()), pa.array(words, pa.binary())],
+                ["anchor", "body", "n", "hot", "words"],
             )
 
     return cut
@@ -287,18 +288,17 @@ def repeated_spans(docs: DataFrame, text: Column, window: int = WINDOW) -> DataF
             ).alias("wanted")
         )
     )
-    hot = split.filter(f"bodies > {HOT_PASSAGES}").select("anchor").distinct()
     source = docs.select(*_key(text), text.alias("text")).join(asked, ["k", "nb"])
     words = materialize(
         source.select("text", "wanted")
-        .mapInArrow(_texts_of(window), "anchor long, body long, n long, words binary")
+        .mapInArrow(_texts_of(window), "anchor long, body long, n long, hot boolean, words binary")
         # Copies of a text give the same passage again.
         .groupBy("anchor", "body")
-        .agg(F.max("n").alias("n"), F.max("words").alias("words"))
+        .agg(F.max("n").alias("n"), F.max("hot").alias("hot"), F.max("words").alias("words"))
     )
-    cool = words.join(hot, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor", "body")
+    cool = words.filter("not hot").drop("hot").repartition("anchor").sortWithinPartitions("anchor", "body")
     judged = cool.mapInArrow(_judge(window), "anchor long, body long, a int, b int")
-    one = words.join(hot, "anchor").mapInArrow(_windows(window), "anchor long, body long, n long, at int, mark binary")
+    one = words.filter("hot").drop("hot").mapInArrow(_windows(window), "anchor long, body long, n long, at int, mark binary")
     marks = one.groupBy("anchor", "mark").agg(F.sum("n").alias("times")).filter("times > 1").select("anchor", "mark")
     counted = one.join(marks, ["anchor", "mark"]).select("anchor", "body", F.col("at").alias("a"), F.col("at").alias("b"))
     copies = split.filter("whole").select(
