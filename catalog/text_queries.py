@@ -53,6 +53,33 @@ def records_round_trip(spark, sf):
     )
 
 
+@query("S1", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def array_records(spark, sf):
+    """JSON arrays of a hundred records at most, as record tables are kept, read back as one table."""
+    path = scratch_path(spark, "arrays") + ".json"
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+    arrays = rows.groupBy((F.col("s_suppkey") / 100).cast("int").alias("batch")).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    arrays.write.partitionBy("batch").text(path)
+    return records.load_records(spark, f"{path}/*", "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double")
+
+
+ASSET_TEXT = "concat(CASE s_suppkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'OTTO' ELSE 'wOFF' END, repeat('x', cast(s_suppkey * 37 % 1500 AS int)))"
+
+
+@query(
+    "S3",
+    """SELECT s_suppkey, size, valid, reason FROM (SELECT *, reason IS NULL AS valid FROM (
+  SELECT s_suppkey, 4 + s_suppkey * 37 % 1500 + 1 AS size, CASE WHEN 4 + s_suppkey * 37 % 1500 + 1 < 1024 THEN 'file_too_small' WHEN s_suppkey % 3 = 2 THEN 'wrong_format_is_woff' END AS reason FROM supplier))""",
+)
+def asset_files(spark, sf):
+    """A binary file a supplier, written from the table; size and header are read from the files."""
+    path = scratch_path(spark, "assets")
+    table(spark, sf, "supplier").selectExpr("s_suppkey", f"{ASSET_TEXT} AS value").write.partitionBy("s_suppkey").text(path)
+    found = files.sniff_assets(files.read_assets(spark, path))
+    key = F.regexp_extract("path", r"s_suppkey=(\d+)/", 1).cast("long")
+    return found.select(key.alias("s_suppkey"), "size", "valid", "reason")
+
+
 @query(
     "S2",
     r"""SELECT project, path FROM path_fx

@@ -129,15 +129,20 @@ def _hidden_files(spark: SparkSession, root: str, rules: dict) -> DataFrame:
 
 
 def read_assets(spark: SparkSession, root: str) -> DataFrame:
-    """Length and first bytes of every binary file below a folder."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select(
-            "path", F.col("length").alias("size"), F.hex(F.substring("content", 1, 4)).alias("header")
-        )
+    """(path, size, header): length and first bytes of every binary file below a folder.
+
+    The length comes from the listing. Files too small to be valid are not opened:
+    their header is null. Others are read whole, one at a time, so a file must fit
+    in a task, and no larger than Spark's limit for binary files.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    small = found.filter(F.col("length") < MIN_ASSET_BYTES).select(
+        "path", F.col("length").alias("size"), F.lit(None).cast("string").alias("header")
+    )
+    large = found.filter(F.col("length") >= MIN_ASSET_BYTES).select(
+        "path", F.col("length").alias("size"), F.hex(F.substring("content", 1, 4)).alias("header")
     )
+    return small.unionByName(large)
 
 
 # Smallest valid file, accepted and rejected leading bytes (hexadecimal).

@@ -9,7 +9,9 @@ from pyspark.sql import types as T
 def load_records(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Read a table of records with a given schema; parquet if the path says so, else JSON.
 
-    A JSON file may hold one array of records or one record per line.
+    A JSON file may hold one array of records or one record per line. An array is
+    one task per file, so it suits tables of many small files; large tables should
+    have a record per line.
     """
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.schema(schema).parquet(path)
