@@ -8,6 +8,7 @@ kept, and every text's ids are compared with those of the SentencePiece library.
 
 from __future__ import annotations
 
+import itertools
 import re
 import struct
 import zlib
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 MARK = "▁"  # stands for a space
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of piece in the format
 UNIGRAM, BPE = 1, 2
-CACHE = 300_000  # parts whose ids a worker keeps
+CACHE = 600_000  # parts whose ids a worker keeps
+RUN = 4 << 20  # characters encoded together
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -130,7 +132,7 @@ class Codec:
         if self.model.squeeze:
             steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()]
         self.normaliser = normalizers.Sequence(steps) if steps else None
-        self.room, self.known = room, {}
+        self.room, self.known, self.older = room, {}, {}
         self.parts = re.compile(self._cuts())
         self.table = [self._surface(p, kind) for p, _, kind in self.model.pieces]
         self.bytes = {i for i, p in enumerate(self.model.pieces) if p[2] == BYTE}
@@ -161,26 +163,48 @@ class Codec:
         return text.replace(" ", MARK) if self.model.escape else text
 
     def _learn(self, parts: set[str]) -> None:
-        new = list(parts)
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for part, got in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                self.known[part] = np.array(got.ids, "<u4").tobytes()
+        """Have the ids of all ``parts`` at hand: new ones go through the library as one batch, on its threads.
+
+        Two generations are kept; what the newer one lacks is moved over from the older.
+        """
+        if len(self.known) + len(parts) > self.room // 2:
+            self.known, self.older = {}, self.known
+        wanted = parts - self.known.keys()
+        old = wanted & self.older.keys()
+        self.known.update({p: self.older[p] for p in old})
+        new = list(wanted - old)
+        for part, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+            self.known[part] = np.array(got.ids, "<u4").tobytes()
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts as little-endian 32-bit numbers, texts of about ``RUN`` characters at a time."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(texts):
+            end, size = at + 1, len(texts[at])
+            while end < len(texts) and size + len(texts[end]) <= RUN:
+                size += len(texts[end])
+                end += 1
+            if size > RUN:
+                out.append(self._encode_long(texts[at]))
+            else:
+                cut = [self.parts.findall(self.normalise(t)) for t in texts[at:end]]
+                self._learn(set().union(*cut))
+                out += [b"".join(map(self.known.__getitem__, c)) for c in cut]
+            at = end
+        return out
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian 32-bit numbers."""
-        parts = self.parts.findall(self.normalise(text))
+    def _encode_long(self, text: str) -> bytes:
+        found = (m[0] for m in self.parts.finditer(self.normalise(text)))
         out = []
-        for at in range(0, len(parts), self.room // 4):
-            some = parts[at : at + self.room // 4]
-            missing = {p for p in some if p not in self.known}
-            if missing:
-                if len(self.known) + len(missing) > self.room:
-                    self.known, missing = {}, set(some)
-                self._learn(missing)
+        while some := list(itertools.islice(found, self.room // 4)):
+            self._learn(set(some))
             out.append(b"".join(map(self.known.__getitem__, some)))
         return b"".join(out)
 
+    def encode(self, text: str) -> bytes:
+        return self.encode_many([text])[0]
+
     def decode(self, ids: bytes) -> str:
         """Text of ids; one space of the marker that normalising puts in goes again."""
         text = b"".join(map(self.table.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -208,7 +232,8 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text", key: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model)
         for batch in batches:
-            ids = [np.frombuffer(own.encode(t or ""), "<u4").astype(np.int32) for t in batch.column("text").to_pylist()]
+            found = own.encode_many([t or "" for t in batch.column("text").to_pylist()])
+            ids = [np.frombuffer(x, "<u4").astype(np.int32) for x in found]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(ids, pa.list_(pa.int32()))], ["key", "ids"])
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
@@ -244,9 +269,8 @@ def checked(docs: DataFrame, model: str, text: str = "text", key: str = "doc_id"
         kinds[list(own.bytes)] = True
         for batch in batches:
             out = []
-            for value in batch.column("text").to_pylist():
-                value = value or ""
-                ids = own.encode(value)
+            values = [t or "" for t in batch.column("text").to_pylist()]
+            for value, ids in zip(values, own.encode_many(values), strict=True):
                 theirs = np.array(own.reference.encode(value), "<u4").tobytes()
                 numbers = np.frombuffer(ids, "<u4")
                 out.append((len(numbers), int(kinds[numbers].sum()), zlib.crc32(ids), ids == theirs, own.decode(ids) == value))
