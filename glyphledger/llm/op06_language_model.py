@@ -4,17 +4,20 @@ N-grams are hashed and counted over all training texts. A count is quantised to
 a level on a log scale, and the filter holds the pairs (n-gram, 1) to (n-gram,
 level). A reader probes level after level until one is missing, and takes the
 count of the last level found; errors are one-sided and fall off with each
-level. The filter is cut into segments by hash: a task fills one segment, and
-the whole has a size that is a parameter, so it may be broadcast.
+level. The filter grows with its entries, so the share of false probes does not.
+It is cut into buckets by hash and filled bucket by bucket. While the whole is small
+it is broadcast; a larger one stays in its buckets, and the distinct n-grams of each
+run of texts go there and come back as levels.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,13 +28,14 @@ ORDER = 2  # longest n-gram
 BASE = 2.0  # a level covers counts up to this factor apart
 LEVELS = 24  # highest level: counts of BASE ** 23 and more are alike
 PROBES = 3  # bits of one (n-gram, level)
-BITS_EACH = 6  # bits of the filter for one entry, as long as it stays under the bound
-LARGEST_BITS = 1 << 29  # bound of the filter: 64 MB, whatever the corpus
+BITS_EACH = 6  # bits of the filter for one entry, whatever the corpus
+LARGEST_BITS = 1 << 29  # a filter up to this size, 64 MB, is broadcast; a larger one is probed by buckets
 SHARE = 0.7  # weight of the bigram estimate in the mixture
 BUCKETS = 1024  # parts of the filter; an n-gram's leading hash bits name its part
 HEAD_WORDS = 1 << 20  # most frequent words whose exact counts are broadcast; the others are joined
 END = np.uint64(0x0E0D0F0E0D0F0E0D)  # stands for the end of a text; also its beginning as context
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_HELD = 1 << 27  # bytes of unpacked buckets that a filling task holds
 _LEVEL = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -74,10 +78,9 @@ def _bits(h: np.ndarray, level: int, width: int) -> Iterator[np.ndarray]:
         yield ((x + np.uint64(i) * step) % np.uint64(width)).astype(np.int64)
 
 
-def probe(bits: np.ndarray, h: np.ndarray, width: int) -> np.ndarray:
-    """Estimated counts: probes level after level until one is missing."""
-    base = bucket_of(h) * width
-    level = np.zeros(len(h), np.int64)
+def levels_of(bits: np.ndarray, h: np.ndarray, width: int, base: np.ndarray) -> np.ndarray:
+    """Levels of n-grams whose buckets begin at ``base``: goes up until one is missing."""
+    level = np.zeros(len(h), np.uint8)
     alive = np.arange(len(h))
     for j in range(1, LEVELS + 1):
         if not len(alive):
@@ -88,7 +91,12 @@ def probe(bits: np.ndarray, h: np.ndarray, width: int) -> np.ndarray:
             found &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         alive = alive[found]
         level[alive] = j
-    return COUNT_OF[level]
+    return level
+
+
+def probe(bits: np.ndarray, h: np.ndarray, width: int) -> np.ndarray:
+    """Estimated counts from a whole filter."""
+    return COUNT_OF[levels_of(bits, h, width, bucket_of(h) * width)]
 
 
 def trained(key: str = "doc_id", folds: int = 7, held: int = 2) -> F.Column:
@@ -132,18 +140,29 @@ def count_grams(docs: DataFrame, text: str = "text", order: int = ORDER) -> Data
     return materialize(dealt.repartition("bucket").groupBy("bucket", "n", "h").agg(F.sum("c").alias("c")))
 
 
-def build_filter(counts: DataFrame) -> tuple[bytes, int]:
-    """The filter of all counted n-grams, and the width of a bucket in bits.
-
-    Its size follows the number of entries up to ``LARGEST_BITS``; beyond that only
-    the share of false probes grows. Every n-gram is in it.
-    """
+def filter_width(counts: DataFrame) -> int:
+    """Bits of a bucket: ``BITS_EACH`` for each entry."""
     level = F.least(F.floor(F.log(BASE, F.col("c")) + 1e-9) + 1, F.lit(LEVELS))
     entries = counts.agg(F.sum(level)).first()[0] or 0
-    width = max(64, min(LARGEST_BITS, entries * BITS_EACH) // BUCKETS // 8 * 8)
+    return max(64, entries * BITS_EACH // BUCKETS // 8 * 8)
+
+
+def filter_parts(counts: DataFrame, width: int) -> DataFrame:
+    """(bucket, bits): the filter of all counted n-grams; a bucket is the union of its rows."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, np.ndarray] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for bucket, bits in parts.items():
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bucket], pa.int32()),
+                        pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
+                    ],
+                    ["bucket", "bits"],
+                )
+
         for batch in batches:
             h, c = batch.column("h").to_numpy().view(np.uint64), batch.column("c").to_numpy()
             order = np.argsort(bucket_of(h), kind="stable")
@@ -153,24 +172,114 @@ def build_filter(counts: DataFrame) -> tuple[bytes, int]:
             for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(h)), strict=True):
                 if lo == hi:
                     continue
+                if int(owner[lo]) not in parts and (len(parts) + 1) * width > _HELD:
+                    yield from out()
+                    parts.clear()
                 bits = parts.setdefault(int(owner[lo]), np.zeros(width, bool))
                 for j in range(1, int(top[lo:hi].max()) + 1):
                     for at in _bits(h[lo:hi][top[lo:hi] >= j], j, width):
                         bits[at] = True
-        for bucket, bits in parts.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())],
-                ["bucket", "bits"],
-            )
+        yield from out()
+
+    return counts.select("h", "c").mapInArrow(fill, "bucket int, bits binary")
 
-    # A bucket lies in few files, so this is the filter and little more: bounded by LARGEST_BITS.
+
+def build_filter(counts: DataFrame, width: int | None = None) -> tuple[bytes, int]:
+    """The whole filter on the driver, and the width of a bucket in bits; for filters up to ``LARGEST_BITS``."""
+    width = width or filter_width(counts)
     whole = np.zeros(BUCKETS * width // 8, np.uint8)
-    for row in counts.select("h", "c").mapInArrow(fill, "bucket int, bits binary").collect():
+    # A bucket lies in few files, so this is the filter and little more.
+    for row in filter_parts(counts, width).collect():
         at = row["bucket"] * width // 8
         whole[at : at + width // 8] |= np.frombuffer(row["bits"], np.uint8)
     return whole.tobytes(), width
 
 
+RUNS = "run long, keys array<long>, held array<boolean>, texts array<string>"
+
+
+def text_runs(rows: DataFrame) -> DataFrame:
+    """One row for every run of texts of about 4 MB, written once: its number names the same texts ever after."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        run = TaskContext.get().partitionId() << 36
+        for batch in (part for whole in batches for part in slices(whole)):
+            ends = pa.array([0, batch.num_rows], pa.int32())
+            lists = [
+                pa.ListArray.from_arrays(ends, pa.concat_arrays([batch.column(c)])) for c in ("key", "held_out", "text")
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array([run]), *lists], ["run", "keys", "held", "texts"])
+            run += 1
+
+    return materialize(rows.mapInArrow(gather, RUNS))
+
+
+def asked(texts: pa.Array) -> np.ndarray:
+    """Distinct n-grams of a run of texts, sorted, hence in the order of their buckets."""
+    token, at = tokens(texts)
+    return np.unique(np.concatenate([token, grams(token, at, 2)]))
+
+
+def run_levels(runs: DataFrame, parts: DataFrame, width: int) -> DataFrame:
+    """(run, found): the levels of the n-grams that each run asks for, as one piece per bucket.
+
+    N-grams are dealt by bucket. A task holds one bucket of the filter at a time:
+    its parts come first in the sort, then what the runs ask of it.
+    """
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                h = asked(batch.column("texts").slice(i, 1).flatten())
+                ends = np.searchsorted(bucket_of(h), np.arange(BUCKETS + 1))
+                some = np.flatnonzero(np.diff(ends))
+                offsets = np.append(ends[some], len(h)).astype(np.int32) * 8
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(some.astype(np.int32)),
+                        pa.array(np.full(len(some), batch.column("run")[i].as_py())),
+                        pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets), pa.py_buffer(h)]),
+                    ],
+                    ["bucket", "run", "data"],
+                )
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, bits = -1, np.zeros(0, np.uint8)
+        for batch in batches:
+            bucket, run = batch.column("bucket").to_numpy(), batch.column("run").to_numpy()
+            data = batch.column("data")
+            cuts = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(run < 0) != 0)) + 1
+            for lo, hi in zip(np.append(0, cuts), np.append(cuts, len(run)), strict=True):
+                if lo == hi:
+                    continue
+                if bucket[lo] != held:
+                    held, bits = int(bucket[lo]), np.zeros(width // 8, np.uint8)
+                if run[lo] < 0:
+                    for i in range(lo, hi):
+                        bits |= np.frombuffer(data[i].as_buffer(), np.uint8)
+                    continue
+                size = pc.binary_length(data.slice(lo, hi - lo)).to_numpy() // 8
+                h = np.frombuffer(b"".join(data.slice(lo, hi - lo).to_pylist()), np.uint64)
+                level = levels_of(bits, h, width, np.zeros(len(h), np.int64))
+                offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(run[lo:hi]),
+                        pa.array(bucket[lo:hi]),
+                        pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(offsets), pa.py_buffer(level)]),
+                    ],
+                    ["run", "bucket", "level"],
+                )
+
+    dealt = parts.select("bucket", F.lit(-1).cast("long").alias("run"), F.col("bits").alias("data")).unionByName(
+        runs.select("run", "texts").mapInArrow(ask, "bucket int, run long, data binary")
+    )
+    seen = dealt.repartition("bucket").sortWithinPartitions("bucket", "run").mapInArrow(look, "run long, bucket int, level binary")
+    return seen.groupBy("run").agg(F.collect_list(F.struct("bucket", "level")).alias("found"))
+
+
 def _head(words: DataFrame) -> DataFrame:
     """The most frequent words, at most ``HEAD_WORDS``: those from some power of two on."""
     level = F.floor(F.log2("c")).cast("int")
@@ -196,7 +305,8 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     The base score uses exact counts: those of the most frequent words come with
     a broadcast of fixed size, those of all others by a join on the word. The
     model mixes the bigram estimate with the add-one unigram one, both from filter
-    counts; an unseen context leaves its share to the unigram. Null and empty
+    counts, which are the same whether the filter is broadcast or probed by buckets;
+    an unseen context leaves its share to the unigram. Null and empty
     texts are one end token. Rows with null or repeated keys are scored like any
     other; without training rows every token is unknown.
     """
@@ -205,30 +315,47 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
     counts = count_grams(rows.filter(trained("key")))
     words = counts.filter("n = 1").select("h", "c")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    raw, width = build_filter(counts)
-    filtered = sc.broadcast(raw)
+    width = filter_width(counts)
+    small = BUCKETS * width <= LARGEST_BITS
+    filtered = sc.broadcast(build_filter(counts, width)[0]) if small else None
     table = _head(words).toArrow()
     h = table["h"].to_numpy().view(np.uint64)
     order = np.argsort(h)
     head = sc.broadcast((h[order], table["c"].to_numpy()[order]))
     norm = math.log10(n + v + 1)
-    del raw, table, h, order
+    del table, h, order
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Callable]]:
+        bits = np.frombuffer(filtered.value, np.uint8)
+        for batch in (part for every in batches for part in slices(every)):
+            yield batch, lambda h: probe(bits, h, width)
+
+    def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Callable]]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = [batch.column(c).slice(i, 1).flatten() for c in ("keys", "held", "texts")]
+                kinds = asked(one[2])
+                pieces = sorted((f["bucket"], f["level"]) for f in batch.column("found")[i].as_py())
+                count = COUNT_OF[np.frombuffer(b"".join(p for _, p in pieces), np.uint8)]
+                yield (
+                    pa.RecordBatch.from_arrays(one, ["key", "held_out", "text"]),
+                    lambda h, kinds=kinds, count=count: count[np.searchsorted(kinds, h)],
+                )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        bits = np.frombuffer(filtered.value, np.uint8)
         known_words, known_counts = head.value
         row = TaskContext.get().partitionId() << 36
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch, estimate in (whole if small else by_bucket)(batches):
             token, at = tokens(batch.column("text"))
             kinds, which = np.unique(token, return_inverse=True)
-            seen = probe(bits, kinds, width)
+            seen = estimate(kinds)
             # The context of a first token is the end token, whose count is that of all texts.
             context = np.concatenate([which[-1:], which[:-1]])
             context[at[:-1]] = np.searchsorted(kinds, END)
             pair, where = np.unique(grams(token, at, 2), return_inverse=True)
-            both = probe(bits, pair, width)[where]
+            both = estimate(pair)[where]
             del pair, where
             uni = (seen[which] + 1) / (n + v + 1)
             ctx = np.maximum(seen[context], both)
@@ -261,7 +388,11 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", sh
             )
             row += batch.num_rows
 
-    scored = materialize(rows.select("key", "text", (~trained("key")).alias("held_out")).mapInArrow(score, FIELDS))
+    texts = rows.select("key", "text", (~trained("key")).alias("held_out"))
+    if not small:
+        runs = text_runs(texts)
+        texts = runs.join(run_levels(runs, filter_parts(counts, width), width), "run")
+    scored = materialize(texts.mapInArrow(score, FIELDS))
     odd = scored.select("row", F.explode("rare").alias("r")).select("row", "r.h", "r.times")
     rest = (
         odd.join(words, "h")

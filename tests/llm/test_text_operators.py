@@ -173,6 +173,18 @@ def test_filter_holds_every_count_and_few_others(spark):
     assert (o6.probe(bits, r.integers(0, 2**64, 5000, dtype=np.uint64), width) > 0).mean() < 0.15
 
 
+def test_filter_grows_with_its_entries(spark, monkeypatch):
+    """A filter over the broadcast bound keeps its bits for each entry, and gives the same scores."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(cases.table(spark), allowMissingColumns=True)
+    wide = o6.filter_width(o6.count_grams(docs))
+    place = lambda r: str((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], round(r["score"], 6)))
+    want = sorted(map(place, o6.score_documents(docs).collect()))
+    monkeypatch.setattr(o6, "LARGEST_BITS", o6.BUCKETS * 64)
+    monkeypatch.setattr(o6, "_HELD", 3 * wide)  # a task that fills the filter lets buckets go
+    assert o6.build_filter(o6.count_grams(docs))[1] == wide > 64
+    assert sorted(map(place, o6.score_documents(docs).collect())) == want
+
+
 def test_model_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = o6.score_documents(docs).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
