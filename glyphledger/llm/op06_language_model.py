@@ -26,7 +26,7 @@ from glyphledger.session import materialize
 
 ORDER = 2  # longest n-gram
 BASE = 2.0  # a level covers counts up to this factor apart
-LEVELS = 24  # highest level: counts of BASE ** 23 and more are alike
+LEVELS = 64  # highest level, that of the largest 64-bit count; a reader stops at the first level missing
 PROBES = 3  # bits of one (n-gram, level)
 BITS_EACH = 6  # bits of the filter for one entry, whatever the corpus
 LARGEST_BITS = 1 << 29  # a filter up to this size, 64 MB, is broadcast; a larger one is probed by buckets

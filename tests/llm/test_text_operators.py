@@ -173,6 +173,16 @@ def test_filter_holds_every_count_and_few_others(spark):
     assert (o6.probe(bits, r.integers(0, 2**64, 5000, dtype=np.uint64), width) > 0).mean() < 0.15
 
 
+def test_large_counts_stay_apart(spark):
+    c = np.array([1, 2**22, 2**24, 126_000_000, 2**40, 2**62], np.int64)
+    h = np.random.default_rng(2).integers(0, 2**64, len(c), dtype=np.uint64)
+    table = spark.createDataFrame([(int(a), int(b)) for a, b in zip(h.view(np.int64), c, strict=True)], "h long, c long")
+    raw, width = o6.build_filter(table)
+    found = o6.probe(np.frombuffer(raw, np.uint8), h, width)
+    assert (found >= 0.7 * c).all() and (np.diff(o6.COUNT_OF[o6.quantise(c)]) > 0).all()
+    assert (o6.COUNT_OF[o6.quantise(c)] <= 1.5 * c).all()
+
+
 def test_filter_grows_with_its_entries(spark, monkeypatch):
     """A filter over the broadcast bound keeps its bits for each entry, and gives the same scores."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").unionByName(cases.table(spark), allowMissingColumns=True)
