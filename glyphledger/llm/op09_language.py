@@ -19,7 +19,9 @@ UNDETERMINED = "und"
 ORDER = 3  # longest n-gram, in letters and word gaps
 TOP = 400  # ranks in a profile; also the penalty of an n-gram outside it
 LANGUAGES = 4096  # more learned languages than this are refused: bounds the profile table
-REJECT_BELOW = 0.15  # least score of an accepted document
+REJECT_BELOW = 0.30  # least score of an accepted document: learned languages score more, unlearned ones and random letters less
+SHORT = 64  # texts of fewer distinct n-grams, about 30 letters, are too short for that
+REJECT_SHORT_BELOW = 0.15  # least score of an accepted short text
 _PIECE = 1 << 18  # characters worked on at once
 _FLUSH = 1 << 20  # distinct n-grams a training task holds
 
@@ -132,7 +134,15 @@ class Profiles:
         return cls(profiles.collect())
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self._nearest(_ranked(text))
+
+    def accepts(self, text: str | None, least: float = REJECT_BELOW) -> bool:
+        """Whether a text is in a learned language; short texts only have to be near one."""
         mine = _ranked(text)
+        lang, score = self._nearest(mine)
+        return lang != UNDETERMINED and score >= (min(least, REJECT_SHORT_BELOW) if len(mine) < SHORT else least)
+
+    def _nearest(self, mine: np.ndarray) -> tuple[str, float]:
         if not len(mine) or not self.langs:
             return UNDETERMINED, 0.0
         at = np.searchsorted(self.grams, mine)
@@ -172,7 +182,12 @@ def held_out(key: Column, folds: int = 4, held: int = 2) -> Column:
 
 def accept(docs: DataFrame, profiles: Profiles, text: str = "text", least: float = REJECT_BELOW) -> DataFrame:
     """Rows in a learned language. Rejected: no letter, null, or too far from every profile."""
-    (found,) = fresh(docs, "found")
-    seen = docs.withColumn(found, language(profiles, F.col(text)))
-    good = (F.col(found)["lang_pred"] != UNDETERMINED) & (F.col(found)["score"] >= least)
-    return seen.filter(good).select(*[docs[c] for c in docs.columns])
+    shared = profiles
+
+    @pandas_udf("boolean")
+    def good(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.accepts(t, least) for t in texts], dtype=bool)
+
+    (kept,) = fresh(docs, "kept")
+    seen = docs.withColumn(kept, good(F.col(text)))
+    return seen.filter(F.col(kept)).select(*[docs[c] for c in docs.columns])

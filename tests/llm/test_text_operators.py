@@ -258,6 +258,26 @@ def test_held_out_accuracy(spark):
     assert o9.accept(docs, profiles).count() == docs.count()
 
 
+def test_unlearned_languages_and_random_letters_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    profiles = o9.Profiles.collect(o9.learn_profiles(o9.training_rows(docs)))
+    r = np.random.default_rng(4)
+    letters = lambda n: " ".join("".join(map(chr, r.integers(97, 123, r.integers(2, 10)))) for _ in range(n))
+    go = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler",
+        "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.",
+        letters(20),
+        letters(200),
+        letters(2000),
+    ]
+    stay = ["hi", "the house", "We go home.", *[x["text"][:n] for x in docs.collect() for n in (20, 80, 400) if len(x["text"]) > n]]
+    rows = [(i, t) for i, t in enumerate(go + stay)]
+    kept = {x["i"] for x in o9.accept(spark.createDataFrame(rows, "i long, text string"), profiles).collect()}
+    assert kept == set(range(len(go), len(rows)))
+
+
 def test_language_of_awkward_rows(spark):
     docs = cases.table(spark)
     profiles = o9.Profiles.collect(o9.learn_profiles(o9.training_rows(docs)))
