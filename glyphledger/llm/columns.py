@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import from_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def fresh(docs: DataFrame, *stems: str) -> tuple[str, ...]:
@@ -16,3 +19,8 @@ def fresh(docs: DataFrame, *stems: str) -> tuple[str, ...]:
         taken.add(name.lower())
         out.append(name)
     return tuple(out)
+
+
+def spark_schema(schema: pa.Schema) -> StructType:
+    """The Spark schema of a result whose batches are built in tasks by the Arrow schema."""
+    return from_arrow_schema(schema)

@@ -145,3 +145,69 @@ def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from glyphledger.llm.op01_embeddings import near_vectors
 
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def _quality_sql() -> str:
+    """The same measures over word and line lists, and the threshold table as conditions."""
+    from glyphledger.llm import op11_quality as q
+
+    conditions = []
+    for r in q.RULES:
+        value = f"{r.measure}::DOUBLE" if r.per is None else f"CASE WHEN {r.per} > 0 THEN {r.measure}::DOUBLE / {r.per} ELSE 0 END"
+        low = [] if r.low is None else [f"({value}) >= {r.low}"]
+        high = [] if r.high is None else [f"({value}) <= {r.high}"]
+        conditions.append((r.name, " AND ".join(low + high)))
+    stops = ", ".join(f"'{w}'" for w in q.STOP_WORDS)
+    names = ", ".join(f"CASE WHEN NOT ({c}) THEN '{n}' END" for n, c in conditions)
+    return f"""
+    WITH read AS (
+      SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+    ), cut AS (
+      SELECT r, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
+      FROM read
+    ), windows AS (
+      SELECT r, i, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM cut)
+    ), again AS (
+      SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, s) > 1
+    ), covered AS (
+      SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY r
+    ), measured AS (
+      SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+        CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+        coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word,
+        len(regexp_extract_all(t, '[!?]')) AS n_shouts,
+        len(list_filter(w, lambda x: upper(x) = x AND lower(x) <> x)) AS n_loud_words,
+        len(list_filter(w, lambda x: lower(x) IN ({stops}))) AS n_stop_words,
+        len(ls) AS n_lines, len(list_filter(ls, lambda x: regexp_matches(x, '^ *[-*•]'))) AS n_bullet_lines,
+        len(list_filter(ls, lambda x: regexp_matches(x, '(\\.\\.\\.|…) *$'))) AS n_ellipsis_lines
+      FROM cut LEFT JOIN covered USING (r)
+    ), judged AS (
+      SELECT *, n_words < {q.LEAST_WORDS} OR 100 * n_repeat_words > {q.MOST_REPEATED} * n_words AS base_failed,
+        array_to_string(list_filter([{names}], lambda x: x IS NOT NULL), ',') AS failed_rules
+      FROM measured
+    )
+    SELECT doc_id, {", ".join(q.BASE)}, base_failed, NOT base_failed AND failed_rules = '' AS kept, failed_rules FROM judged
+    """
+
+
+@query(_quality_sql())
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op11_quality import quality_report
+
+    return quality_report(documents(spark, sf_dir))
+
+
+@query()
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op12_alignment import link_report
+
+    return link_report(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from glyphledger.llm.op13_runs import run_digests
+
+    return run_digests(documents(spark, sf_dir))
