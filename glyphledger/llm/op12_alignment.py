@@ -25,8 +25,8 @@ from glyphledger.llm.columns import spark_schema
 from glyphledger.llm.words import slices
 from glyphledger.session import materialize
 
-RUN = 8 << 20  # bytes of text aligned together; a longer text is a run of its own
-ROOM = 16 << 20  # characters of parts whose ids a worker keeps
+RUN = 2 << 20  # bytes of text aligned together; a longer text is a run of its own
+ROOM = 2 << 20  # characters of parts whose ids a worker keeps
 MARK = "▁"
 JOINED = 1 << 16  # characters of new parts encoded as one text
 _BORDER = re.compile(rf"^[\s{MARK}]|[\s{MARK}]$")
