@@ -4,11 +4,16 @@ One automaton of the whole corpus fits nowhere, and streaming every document
 through every shard is quadratic. So the windows of all texts are first routed:
 a window goes by its anchor, the least hash among its runs of ``GRAM`` words,
 which equal windows share. Windows in a row with the same anchor travel together
-as a passage. An anchor met once needs no more work. The distinct passages of
-the other anchors are dealt to shards; a task builds the suffix automaton of its
-shard with occurrence counts and streams the passages through it for matching
-statistics: where the longest match ending at a word reaches the window length
-and the matched state was met twice, the window repeats.
+as a passage. An anchor met once needs no more work, and a passage alone under its
+anchor repeats as a whole if it was met twice. The distinct passages of the other
+anchors are dealt to shards; a task builds the suffix automaton of its shard with
+occurrence counts and streams the passages through it for matching statistics:
+where the longest match ending at a word reaches the window length and the matched
+state was met twice, the window repeats.
+
+A shard is bounded: the passages of an anchor with more words than that are routed
+again by a second anchor over longer runs of words, and so on up to runs as long
+as a window, where equal windows alone are left together.
 """
 
 from __future__ import annotations
@@ -28,8 +33,7 @@ from glyphledger.session import materialize
 
 WINDOW = 35
 GRAM = 5
-SHARD_WORDS = 20_000  # words of the passages in one automaton, unless one anchor alone has more
-HOT_PASSAGES = 32  # distinct passages of an anchor beyond which its windows are counted one by one
+SHARD_WORDS = 20_000  # words of one anchor's passages in an automaton; it may hold as many of other anchors
 
 
 def _key(text: Column) -> list[Column]:
@@ -37,57 +41,75 @@ def _key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k"), F.octet_length(text).alias("nb")]
 
 
-def _passages(window: int, gram: int):
-    """Passages of whole texts: windows first..last with one anchor, and the hash of their words."""
+def _longer(window: int, gram: int) -> list[int]:
+    """Lengths of the runs that anchors of ever finer routing come from; the last is the window itself."""
+    out, spread = [], window - gram + 1
+    while spread > 1:
+        spread = -(-spread // 2)
+        out.append(window - spread + 1)
+    return out
+
+
+def _cut_passages(column: pa.Array, window: int, gram: int) -> dict[str, np.ndarray | list]:
+    """Passages of whole texts: row, windows first..last with one anchor, and a digest of their words.
+
+    ``twice``: the anchor stands there again, so the passage may repeat within itself.
+    """
     spread = window - gram + 1
-    powers = np.uint64(0xD6E8FEB86659FD93)
-    inverse = np.uint64(pow(int(powers), -1, 1 << 64))
+    data, places = text_bytes(column)
+    h, at = word_hashes(data, places)
+    del data
+    empty = {k: np.zeros(0, np.int64) for k in ("row", "first", "last", "anchor", "twice")} | {"body": []}
+    if len(h) < window:
+        return empty
+    grams = roll(h, gram) | np.uint64(1)
+    least = slide(grams, spread, np.minimum)
+    # A window lies in one text if the texts of its first and last word are the same.
+    text_of = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    valid = text_of[: len(least)] == text_of[window - 1 :]
+    least[~valid] = 0
+    begins = valid.copy()
+    begins[1:] &= (least[1:] != least[:-1]) | (text_of[1 : len(least)] != text_of[: len(least) - 1])
+    first = np.flatnonzero(begins)
+    if not len(first):
+        return empty
+    stops = np.flatnonzero(valid & np.append(~valid[1:] | begins[1:], True))
+    # Where a gram is the least of some window it stands as an anchor there.
+    padded = np.concatenate([np.zeros(spread - 1, np.uint64), least, np.zeros(spread - 1, np.uint64)])
+    stands = np.flatnonzero(slide(padded, spread, np.maximum)[: len(grams)] == grams)
+    again = np.zeros(len(stands) + 1, np.int64)
+    again[2:] = np.cumsum(
+        (grams[stands[1:]] == grams[stands[:-1]]) & (np.diff(stands) <= spread)
+    ) if len(stands) > 1 else 0
+    lo = np.searchsorted(stands, first)
+    hi = np.searchsorted(stands, stops + spread)
+    raw = memoryview(h).cast("B")
+    spans = zip((first * 8).tolist(), ((stops + window) * 8).tolist(), strict=True)
+    row = text_of[first]
+    return {
+        "row": row,
+        "first": first - at[row],
+        "last": stops - at[row],
+        "anchor": least[first].view(np.int64),
+        "twice": again[hi] - again[np.minimum(lo + 1, hi)] > 0,
+        "body": [hashlib.md5(raw[a:b], usedforsecurity=False).digest() for a, b in spans],
+    }
 
+
+def _passages(window: int, gram: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole)):
-            data, places = text_bytes(batch.column("text"))
-            h, at = word_hashes(data, places)
-            del data
-            if len(h) < window:
-                continue
-            grams = roll(h, gram) | np.uint64(1)
-            least = slide(grams, spread, np.minimum)
-            # A window lies in one text if the texts of its first and last word are the same.
-            text_of = np.repeat(np.arange(len(at) - 1), np.diff(at))
-            valid = text_of[: len(least)] == text_of[window - 1 :]
-            least[~valid] = 0
-            begins = valid.copy()
-            begins[1:] &= (least[1:] != least[:-1]) | (text_of[1 : len(least)] != text_of[: len(least) - 1])
-            first = np.flatnonzero(begins)
-            if not len(first):
-                continue
-            stops = np.flatnonzero(valid & np.append(~valid[1:] | begins[1:], True))
-            anchor = least[first]
-            # Where a gram is the least of some window it stands as an anchor there.
-            padded = np.concatenate([np.zeros(spread - 1, np.uint64), least, np.zeros(spread - 1, np.uint64)])
-            stands = np.flatnonzero(slide(padded, spread, np.maximum)[: len(grams)] == grams)
-            again = np.zeros(len(stands) + 1, np.int64)
-            again[2:] = np.cumsum(
-                (grams[stands[1:]] == grams[stands[:-1]]) & (np.diff(stands) <= spread)
-            ) if len(stands) > 1 else 0
-            lo = np.searchsorted(stands, first)
-            hi = np.searchsorted(stands, stops + spread)
-            twice = again[hi] - again[np.minimum(lo + 1, hi)] > 0
-            # Hash of all words of a passage: a difference of prefix sums, moved to exponent 0.
-            up = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(h), powers)]))
-            down = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(h), inverse)]))
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(h * up[:-1], dtype=np.uint64)])
-            body = (sums[stops + window] - sums[first]) * down[first] + (stops - first).astype(np.uint64) * powers
-            doc = text_of[first]
+            found = _cut_passages(batch.column("text"), window, gram)
+            row = pa.array(found["row"])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("k").take(pa.array(doc)),
-                    batch.column("nb").take(pa.array(doc)),
-                    pa.array((first - at[doc]).astype(np.int32)),
-                    pa.array((stops - at[doc]).astype(np.int32)),
-                    pa.array(anchor.view(np.int64)),
-                    pa.array(body.view(np.int64)),
-                    pa.array(twice),
+                    batch.column("k").take(row),
+                    batch.column("nb").take(row),
+                    pa.array(found["first"], pa.int32()),
+                    pa.array(found["last"], pa.int32()),
+                    pa.array(found["anchor"]),
+                    pa.array(found["body"], pa.binary()),
+                    pa.array(found["twice"], pa.bool_()),
                 ],
                 ["k", "nb", "first", "last", "anchor", "body", "twice"],
             )
@@ -100,7 +122,7 @@ def passages(docs: DataFrame, text: Column, window: int = WINDOW, gram: int = GR
     rows = docs.select(*_key(text), text.alias("text"))
     return materialize(
         rows.mapInArrow(
-            _passages(window, gram), "k long, nb int, first int, last int, anchor long, body long, twice boolean"
+            _passages(window, gram), "k long, nb int, first int, last int, anchor long, body binary, twice boolean"
         )
     )
 
@@ -186,18 +208,17 @@ def _texts_of(window: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            anchors, bodies, times, hot, words = [], [], [], [], []
+            anchors, bodies, times, words = [], [], [], []
             for value, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
                 split = value.encode().split()
                 for w in wanted:
                     anchors.append(w["anchor"])
                     bodies.append(w["body"])
                     times.append(w["n"])
-                    hot.append(w["hot"])
                     words.append(b" ".join(split[w["first"] : w["last"] + window]))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in (anchors, bodies, times)), pa.array(hot, pa.bool_()), pa.array(words, pa.binary())],
-                ["anchor", "body", "n", "hot", "words"],
+                [pa.array(anchors, pa.int64()), pa.array(bodies, pa.binary()), pa.array(times, pa.int64()), pa.array(words, pa.binary())],
+                ["anchor", "body", "n", "words"],
             )
 
     return cut
@@ -209,7 +230,7 @@ def _ranges(flags: list[bool]) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1) for a, b in zip(edge[::2], edge[1::2], strict=True)]
 
 
-def _judge(window: int):
+def _judge(window: int, shard_words: int):
     """Automata of shards of whole anchors; rows come sorted by anchor."""
 
     def shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +247,7 @@ def _judge(window: int):
         ]
         if out:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)],
+                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.int32(), pa.int32()), strict=True)],
                 ["anchor", "body", "a", "b"],
             )
 
@@ -235,7 +256,7 @@ def _judge(window: int):
         held = 0
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "body", "n", "words")), strict=True):
-                if held >= SHARD_WORDS and rows[-1][0] != row[0]:
+                if held >= shard_words and rows[-1][0] != row[0]:
                     yield from shard(rows)
                     rows, held = [], 0
                 rows.append(row)
@@ -246,27 +267,98 @@ def _judge(window: int):
     return judge
 
 
-def _windows(window: int):
-    """Every window of hot anchors' passages by a 128-bit digest of its words."""
+def _route_again(window: int, gram: int):
+    """Passages of passages by longer runs of words, with their words and place.
+
+    At the last level equal windows in a row are one row that stands for all of
+    them (``upto`` more), with the words of one.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cols: tuple[list, ...] = ([], [], [], [], [])
-            for anchor, body, n, words in zip(*(batch.column(c).to_pylist() for c in ("anchor", "body", "n", "words")), strict=True):
-                split = words.split(b" ")
-                for at in range(len(split) - window + 1):
-                    mark = hashlib.md5(b" ".join(split[at : at + window]), usedforsecurity=False).digest()
-                    for col, v in zip(cols, (anchor, body, n, at, mark), strict=True):
-                        col.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        for batch in (part for whole in batches for part in slices(whole, "words")):
+            found = _cut_passages(batch.column("words"), window, gram)
+            row = pa.array(found["row"])
+            first, last = found["first"], found["last"]
+            upto = last - first if gram == window else np.zeros_like(first)
+            split: list[bytes] = []
+            held, words, bodies = -1, [], []
+            texts = batch.column("words")
+            for r, lo, hi, body in zip(found["row"].tolist(), first.tolist(), (last - upto).tolist(), found["body"], strict=True):
+                if r != held:
+                    held, split = r, texts[r].as_py().split(b" ")
+                words.append(b" ".join(split[lo : hi + window]))
+                # The digest of one window, where a row stands for several.
+                bodies.append(hashlib.md5(words[-1], usedforsecurity=False).digest() if gram == window else body)
+            times = batch.column("n").take(row).to_numpy(zero_copy_only=False) * (upto + 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["anchor", "body", "n", "at", "mark"]
+                [
+                    batch.column("anchor").take(row),
+                    batch.column("body").take(row),
+                    pa.array(first, pa.int32()),
+                    pa.array(upto, pa.int32()),
+                    pa.array(found["anchor"]),
+                    pa.array(bodies, pa.binary()),
+                    pa.array(found["twice"], pa.bool_()),
+                    pa.array(times, pa.int64()),
+                    pa.array(words, pa.binary()),
+                ],
+                ["anchor", "body", "at", "upto", "anchor2", "body2", "twice", "n", "words"],
             )
 
     return cut
 
 
-def repeated_spans(docs: DataFrame, text: Column, window: int = WINDOW) -> DataFrame:
+def _size() -> Column:
+    """Words of a passage: they are joined by one blank each."""
+    return F.octet_length("words") - F.octet_length(F.expr("replace(cast(words as string), ' ', '')")) + 1
+
+
+def _copies(rows: DataFrame, window: int) -> DataFrame:
+    """Passages that repeat as a whole, as (anchor, body, a, b)."""
+    return rows.select("anchor", "body", F.lit(0).alias("a"), (F.col("size") - window).alias("b"))
+
+
+def _decide(rows: DataFrame, window: int, grams: list[int], shard_words: int) -> DataFrame:
+    """(anchor, body, a, b): windows a..b of distinct passages (anchor, body, n, size, words) that repeat among them."""
+    held = rows.groupBy("anchor").agg(F.sum("size").alias("held"))
+    sized = rows.join(held, "anchor")
+    large = materialize(sized.filter(F.col("held") > shard_words).drop("held")) if grams else None
+    if large is None or large.isEmpty():
+        small, later = rows, None
+    else:
+        small = sized.filter(F.col("held") <= shard_words).drop("held")
+        later = _decide_finer(large, window, grams, shard_words)
+    dealt = small.select("anchor", "body", "n", "words").repartition("anchor").sortWithinPartitions("anchor", "body")
+    judged = dealt.mapInArrow(_judge(window, shard_words), "anchor long, body binary, a int, b int")
+    return judged if later is None else judged.unionByName(later)
+
+
+def _decide_finer(large: DataFrame, window: int, grams: list[int], shard_words: int) -> DataFrame:
+    """Passages of anchors that hold too many words, routed again by anchors over longer runs."""
+    cut = materialize(
+        large.select("anchor", "body", "n", "words").mapInArrow(
+            _route_again(window, grams[0]),
+            "anchor long, body binary, at int, upto int, anchor2 long, body2 binary, twice boolean, n long, words binary",
+        )
+    )
+    distinct = cut.groupBy(F.col("anchor2").alias("anchor"), F.col("body2").alias("body")).agg(
+        F.sum("n").alias("n"), F.max("twice").alias("twice"), F.max("words").alias("words")
+    )
+    distinct = materialize(distinct.withColumn("size", _size()))
+    met = distinct.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("bodies"), F.sum(F.col("n") + F.col("twice").cast("int")).alias("times")
+    )
+    split = materialize(distinct.join(met.filter("times > 1"), "anchor"))
+    whole = (F.col("bodies") == 1) & (F.col("n") > 1)
+    rest = split.filter(~whole).select("anchor", "body", "n", "size", "words")
+    verdict = _copies(split.filter(whole), window).unionByName(_decide(rest, window, grams[1:], shard_words))
+    found = verdict.select(F.col("anchor").alias("anchor2"), F.col("body").alias("body2"), "a", "b")
+    return cut.join(found, ["anchor2", "body2"]).select(
+        "anchor", "body", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b") + F.col("upto")).alias("b")
+    )
+
+
+def repeated_spans(docs: DataFrame, text: Column, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """(k, nb, spans): word spans (first, end) of each text that repeated windows cover; others have no row."""
     every = passages(docs, text, window)
     seen = every.groupBy("anchor").agg(F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("c")).filter("c > 1").select("anchor")
@@ -276,7 +368,7 @@ def repeated_spans(docs: DataFrame, text: Column, window: int = WINDOW) -> DataF
     distinct = materialize(
         again.groupBy("anchor", "body").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("place"))
     )
-    met = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("bodies"), F.max("n").alias("most"))
+    met = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("bodies"))
     # A lone passage met twice is a copy as a whole; every other one is for the automata.
     split = distinct.join(met, "anchor").withColumn("whole", (F.col("bodies") == 1) & (F.col("n") > 1))
     asked = materialize(
@@ -284,38 +376,41 @@ def repeated_spans(docs: DataFrame, text: Column, window: int = WINDOW) -> DataF
         .groupBy("place.k", "place.nb")
         .agg(
             F.collect_list(
-                F.struct("anchor", "body", "n", F.col("place.first").alias("first"), F.col("place.last").alias("last"), (F.col("bodies") > HOT_PASSAGES).alias("hot"))
+                F.struct("anchor", "body", "n", F.col("place.first").alias("first"), F.col("place.last").alias("last"))
             ).alias("wanted")
         )
     )
     source = docs.select(*_key(text), text.alias("text")).join(asked, ["k", "nb"])
     words = materialize(
         source.select("text", "wanted")
-        .mapInArrow(_texts_of(window), "anchor long, body long, n long, hot boolean, words binary")
+        .mapInArrow(_texts_of(window), "anchor long, body binary, n long, words binary")
         # Copies of a text give the same passage again.
         .groupBy("anchor", "body")
-        .agg(F.max("n").alias("n"), F.max("hot").alias("hot"), F.max("words").alias("words"))
-    )
-    cool = words.filter("not hot").drop("hot").repartition("anchor").sortWithinPartitions("anchor", "body")
-    judged = cool.mapInArrow(_judge(window), "anchor long, body long, a int, b int")
-    one = words.filter("hot").drop("hot").mapInArrow(_windows(window), "anchor long, body long, n long, at int, mark binary")
-    marks = one.groupBy("anchor", "mark").agg(F.sum("n").alias("times")).filter("times > 1").select("anchor", "mark")
-    counted = one.join(marks, ["anchor", "mark"]).select("anchor", "body", F.col("at").alias("a"), F.col("at").alias("b"))
-    copies = split.filter("whole").select(
-        "anchor", "body", F.lit(0).alias("a"), (F.col("place.last") - F.col("place.first")).alias("b")
+        .agg(F.max("n").alias("n"), F.max("words").alias("words"))
+        .withColumn("size", _size())
     )
-    verdict = judged.unionByName(counted).unionByName(copies)
+    whole = split.filter("whole").withColumn("size", F.col("place.last") - F.col("place.first") + window)
+    verdict = _copies(whole, window).unionByName(_decide(words, window, _longer(window, GRAM), shard_words))
     span = F.struct(
         (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + window).alias("b")
     )
     return again.join(verdict, ["anchor", "body"]).groupBy("k", "nb").agg(F.collect_set(span).alias("spans"))
 
 
-def _with_spans(docs: DataFrame, text: str, window: int) -> tuple[DataFrame, str]:
+def _removed(n: int, spans: list | None) -> np.ndarray:
+    """Which of ``n`` words the spans cover."""
+    edge = np.zeros(n + 1, np.int64)
+    for s in spans if spans is not None else ():
+        edge[s["a"]] += 1
+        edge[min(s["b"], n)] -= 1
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _with_spans(docs: DataFrame, text: str, window: int, shard_words: int) -> tuple[DataFrame, str]:
     """``docs`` with the spans of each text, and the name of their column."""
     body = F.coalesce(F.col(text), F.lit(""))
     k, nb, own_k, own_nb, spans = fresh(docs, "k", "nb", "own_k", "own_nb", "spans")
-    found = repeated_spans(docs, body, window).withColumnsRenamed({"k": k, "nb": nb, "spans": spans})
+    found = repeated_spans(docs, body, window, shard_words).withColumnsRenamed({"k": k, "nb": nb, "spans": spans})
     mark, size = _key(body)
     rows = docs.withColumns({own_k: mark, own_nb: size})
     return rows.join(found, (F.col(own_k) == F.col(k)) & (F.col(own_nb) == F.col(nb)), "left"), spans
@@ -330,7 +425,9 @@ def _removed(n: int, spans: list | None) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def digest_kept(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
+def digest_kept(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW, shard_words: int = SHARD_WORDS
+) -> DataFrame:
     """(key, n_words, n_removed, kept_sha256) of every row.
 
     Null and empty texts have no words. Repeated rows are copies of one another,
@@ -355,7 +452,7 @@ def digest_kept(docs: DataFrame, text: str = "text", key: str = "doc_id", window
             )
 
     slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    rows, spans = _with_spans(slim, "text", window)
+    rows, spans = _with_spans(slim, "text", window, shard_words)
     return rows.select("key", "text", F.col(spans).alias("spans")).mapInArrow(
         digest, "key long, n_words long, n_removed long, kept_sha256 string"
     ).withColumnRenamed("key", key)
@@ -387,5 +484,5 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) ->
             out.append(raw[keep].tobytes().decode())
         return pd.Series(out, dtype=object)
 
-    rows, name = _with_spans(docs, text, window)
+    rows, name = _with_spans(docs, text, window, SHARD_WORDS)
     return rows.select(*[cut(docs[text], F.col(name)).alias(text) if c == text else docs[c] for c in docs.columns])

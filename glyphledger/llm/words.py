@@ -6,6 +6,7 @@ depend on how a batch was cut. Null texts have no words.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,8 @@ _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 _POWER = np.full(1 << 16, _STEP)
 _POWER[0] = 1
 _POWER = np.multiply.accumulate(_POWER)
+# An independent factor for each place in a word: no arrangement of letters clashes by construction.
+_PLACE = _RANDOM.integers(0, 2**64, 1 << 16, dtype=np.uint64) | np.uint64(1)
 _CHUNK = 1 << 20
 
 
@@ -55,7 +58,8 @@ def word_hashes(data: np.ndarray, places: np.ndarray, lower: bool = False) -> tu
     """Hashes of all words, and where the words of each text begin among them.
 
     Works on pieces of about a megabyte cut at white space, so scratch memory does
-    not grow with a text.
+    not grow with a text. A word of more bytes than there are places is named by a
+    digest of its bytes.
     """
     cuts = np.zeros(len(data) + 1, bool)
     cuts[places[:-1]] = True
@@ -75,9 +79,15 @@ def word_hashes(data: np.ndarray, places: np.ndarray, lower: bool = False) -> tu
             piece, gap = piece[at[0] :], gap[at[0] :]
             rel = at - at[0]
             inside = np.arange(len(piece)) - np.repeat(rel, np.diff(np.append(rel, len(piece))))
-            value = _BYTE[_LOWER[piece] if lower else piece] * _POWER[inside & 0xFFFF]
+            letters = _LOWER[piece] if lower else piece
+            value = _BYTE[letters] * _PLACE[inside & 0xFFFF]
             value[gap] = 0
-            hashes.append(mix(np.add.reduceat(value, rel)))
+            own = mix(np.add.reduceat(value, rel))
+            size = np.add.reduceat(~gap, rel, dtype=np.int64)
+            for long in np.flatnonzero(size > len(_PLACE)):
+                word = letters[rel[long] : rel[long] + size[long]].tobytes()
+                own[long] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+            hashes.append(own)
             starts.append(at + lo)
         lo = hi
     if not hashes:

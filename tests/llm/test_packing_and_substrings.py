@@ -157,11 +157,10 @@ def test_removes_from_the_awkward_table(spark):
     assert got == sorted([(r[0], *d) for r, d in zip(rows, digests([r[1] for r in rows], 35), strict=True)], key=str)
 
 
-@pytest.mark.parametrize("hot", [0, 1, 32])
-def test_removes_what_all_windows_say(spark, monkeypatch, hot):
-    monkeypatch.setattr(o3, "HOT_PASSAGES", hot)
-    monkeypatch.setattr(o3, "SHARD_WORDS", 100)
-    r = random.Random(hot)
+@pytest.mark.parametrize("shard_words", [1, 100, 20_000])
+def test_removes_what_all_windows_say(spark, shard_words):
+    """Shards of any size give the same: small ones route passages again, down to single windows."""
+    r = random.Random(shard_words)
     pool = [cases.sentence(i, r.randrange(30, 90)).split() for i in range(6)]
     texts = []
     for i in range(60):
@@ -173,10 +172,39 @@ def test_removes_what_all_windows_say(spark, monkeypatch, hot):
         texts.append(" ".join(parts))
     texts += ["ab " * 80, "x y " * 60, "x y " * 50 + "z", *texts[:3]]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [tuple(x)[1:] for x in sorted(o3.digest_kept(docs, shard_words=shard_words).collect())]
+    assert got == digests(texts, 35)
+
+
+def thue_morse(n, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_and_passages_made_to_clash(spark):
+    """Swapped blocks of 65,536 bytes and Thue-Morse words of 1,024 letters are words of their own."""
+    a, b = "a" * 65536, "b" * 65536
+    swapped = [a + b, b + a]
+    morse = [thue_morse(1024, "x", "y"), thue_morse(1024, "y", "x")]
+    h, _ = word_hashes(*text_bytes(__import__("pyarrow").array([" ".join([*swapped, *morse])])))
+    assert len(set(h.tolist())) == 4
+    tail = cases.sentence(3, 40)
+    texts = [f"{w} {tail}" for w in [swapped[0], swapped[1], morse[0], morse[1]]]
+    # Word sequences in that order, of 1,024 words each, differ too.
+    texts += [" ".join(thue_morse(1024, "p ", "q ").split()), " ".join(thue_morse(1024, "q ", "p ").split())]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [tuple(x)[1:] for x in sorted(o3.digest_kept(docs).collect())]
     assert got == digests(texts, 35)
 
 
+def test_an_anchor_under_most_texts_is_routed_again(spark):
+    """One passage in every text, with other words around it each time."""
+    common = cases.sentence(8, 60)
+    texts = [f"{cases.sentence(1000 + i, 20)} {common} {cases.sentence(3000 + i, 20)}" for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [tuple(x)[1:] for x in sorted(o3.digest_kept(docs, shard_words=500).collect())]
+    assert got == digests(texts, 35) and all(x[1] >= 60 for x in got)
+
+
 def test_cuts_passages_and_leaves_the_rest_alone(spark):
     docs = cases.table(spark)
     done = o3.remove_repeats(docs)
