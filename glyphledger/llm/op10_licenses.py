@@ -32,14 +32,51 @@ PHRASES = {
     "all rights reserved": ("proprietary", 0.4),
     "permission is hereby granted free of charge": ("mit-notice", 0.8),
     "redistribution and use in source and binary forms": ("bsd-notice", 0.8),
-    "licensed under the": ("licensed", 0.3),
-    "released under the": ("licensed", 0.3),
+    "licensed under": ("licensed", 0.3),
+    "released under": ("licensed", 0.3),
+    "distributed under": ("licensed", 0.3),
+    "available under": ("licensed", 0.3),
     "spdx license identifier": ("spdx-tag", 0.9),
 }
 BASE_WEIGHT = 0.8
 
-# First parts of licence identifiers that ask for the same terms in derived works.
-SHARE_ALIKE = ("gpl", "lgpl", "agpl", "mpl", "epl", "eupl", "cddl", "osl", "cc-by-sa")
+# Families of the public identifier list, without their versions and endings.
+FAMILIES = (
+    "0bsd afl agpl apache artistic apsl bsd-1-clause bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear "
+    "bsd-4-clause bsl cc-by cc-by-nc cc-by-nc-nd cc-by-nc-sa cc-by-nd cc-by-sa cc0 cddl cecill cecill-b cecill-c cpl "
+    "ecl epl eupl gfdl gpl ipl isc lgpl lppl mit mit-0 mpl ms-pl ms-rl mulanpsl ncsa odbl ofl openssl osl php "
+    "postgresql psf python qpl ruby sleepycat unicode unlicense upl vim w3c wtfpl x11 zlib zpl"
+).split()
+_ENDING = r"(?:-[0-9][0-9.]*)?(?:\+|-only|-or-later|-no-copyleft-exception|-invariants(?:-only|-or-later)?)?"
+_LISTED = re.compile(rf"(?:{'|'.join(map(re.escape, sorted(FAMILIES, key=len, reverse=True)))}){_ENDING}")
+# Those that ask for the same terms in derived works.
+SHARE_ALIKE = "agpl apsl cc-by-nc-sa cc-by-sa cddl cecill cpl epl eupl gfdl gpl ipl lgpl mpl ms-rl odbl osl qpl sleepycat".split()
+_SHARE_ALIKE = re.compile(rf"(?:{'|'.join(map(re.escape, sorted(SHARE_ALIKE, key=len, reverse=True)))}){_ENDING}")
+
+# Names of licences in prose, as words, and the families they stand for.
+PROSE = {
+    "gnu general public license": "gpl",
+    "gnu lesser general public license": "lgpl",
+    "gnu affero general public license": "agpl",
+    "gpl": "gpl",
+    "lgpl": "lgpl",
+    "agpl": "agpl",
+    "apache license": "apache",
+    "mozilla public license": "mpl",
+    "eclipse public license": "epl",
+    "mit license": "mit",
+    "mit": "mit",
+    "isc license": "isc",
+    "unlicense": "unlicense",
+    "cc by": "cc-by",
+    "creative commons attribution": "cc-by",
+}
+_NAMES: dict[str, list[tuple[list[str], str]]] = {}
+for _name, _family in sorted(PROSE.items(), key=lambda x: -len(x[0].split())):
+    _NAMES.setdefault(_name.split()[0], []).append((_name.split(), _family))
+_VERSION = re.compile("v?([0-9]{1,2})")
+_FILLERS = {"the", "a", "either", "both", "terms", "of"}
+_PARTS = {"nc": "nc", "nd": "nd", "sa": "sa", "noncommercial": "nc", "noderivatives": "nd", "sharealike": "sa"}
 
 _TAG = re.compile(rb"spdx-license-identifier:[ \t]*([^\r\n]*)")
 _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+:-]*")
@@ -98,25 +135,79 @@ def to_postfix(expression: str) -> list[str] | None:
     return out + held[::-1]
 
 
-def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
+def evaluate(postfix: list[str]) -> tuple[set[str], bool] | None:
     """Licences of an expression, and whether some choice under it asks for no share-alike terms.
 
-    ``or`` is satisfied by either side, ``and`` needs both; ``with`` keeps the
-    terms of its licence and names the exception.
+    ``or`` is satisfied by either side, ``and`` needs both; ``with`` joins one
+    licence and one exception, and None is returned where it stands between
+    anything else. Work is linear in the expression.
     """
-    stack: list[tuple[set[str], bool]] = []
+    names: set[str] = set()
+    stack: list[tuple[str | None, bool]] = []  # the name of a lone licence, and whether its terms are free
     for token in postfix:
         if token not in _RANK:
-            stack.append(({token}, not token.startswith(SHARE_ALIKE)))
+            stack.append((token, not _SHARE_ALIKE.fullmatch(token)))
             continue
         right, left = stack.pop(), stack.pop()
         if token == "with":
-            names = {f"{a}-with-{b}" for a in left[0] for b in right[0]}
-            stack.append((names, left[1]))
+            if left[0] is None or right[0] is None or "-with-" in left[0]:
+                return None
+            stack.append((f"{left[0]}-with-{right[0]}", left[1]))
         else:
-            free = left[1] and right[1] if token == "and" else left[1] or right[1]
-            stack.append((left[0] | right[0], free))
-    return stack[-1]
+            names |= {x for x, _ in (left, right) if x is not None}
+            stack.append((None, left[1] and right[1] if token == "and" else left[1] or right[1]))
+    if stack[-1][0] is not None:
+        names.add(stack[-1][0])
+    return names, stack[-1][1]
+
+
+def prose_expression(words: list[str], at: int) -> str:
+    """The licence expression that the words from ``at`` on spell out, as identifiers; empty if they do not.
+
+    Names and versions are read to the first word that belongs to neither.
+    """
+    out: list[str] = []
+    while at < len(words):
+        word = words[at]
+        after_name = bool(out) and out[-1] not in _RANK
+        if word in _RANK and after_name:
+            out.append(word)
+            at += 1
+            continue
+        if word in _FILLERS and not after_name:
+            at += 1
+            continue
+        found = next(((n, f) for n, f in _NAMES.get(word, ()) if words[at : at + len(n)] == n), None)
+        if found is None or after_name:
+            break
+        at += len(found[0])
+        name, version = found[1], []
+        while name.startswith("cc-by") and at < len(words) and words[at] in _PARTS:
+            name, at = f"{name}-{_PARTS[words[at]]}", at + 1
+        if at + 1 < len(words) and words[at] in ("version", "v") and _VERSION.fullmatch(words[at + 1]):
+            at += 1
+        while at < len(words) and len(version) < 2 and (digits := _VERSION.fullmatch(words[at])):
+            version.append(digits[1])
+            at += 1
+        out.append("-".join([name, *([".".join(version)] if version else [])]))
+    while out and out[-1] in _RANK:
+        out.pop()
+    return " ".join(out)
+
+
+def expression_labels(expression: str) -> set[str]:
+    """Labels of one expression: its listed licences, ``spdx:unlisted`` for other names, and its terms."""
+    postfix = to_postfix(expression)
+    found = evaluate(postfix) if postfix else None
+    if found is None:
+        return set()
+    # Identifiers hold no comma, and listed ones are short.
+    labels = set()
+    for name in found[0]:
+        base, _, exception = name.partition("-with-")
+        listed = _LISTED.fullmatch(base) and len(exception) < 60
+        labels.add(f"spdx:{name}" if listed else "spdx:unlisted")
+    return labels | {"terms:free-choice" if found[1] else "terms:share-alike"}
 
 
 @lru_cache(1)
@@ -143,25 +234,28 @@ def scan(text: str | None) -> tuple[int, int, int | None, int | None, str, str,
     stream = f" {b' '.join(words).decode('latin-1')} "
     base, labels, miss, n_base = set(), set(), 1.0, 0
     starts: list[int] = []
+    cues: list[int] = []  # words after which a licence may be named
     number, counted = 0, 0
     for end, (length, label, weight, is_base) in _automaton().iter(stream):
         labels.add(label)
         miss *= 1 - weight
-        if is_base:
+        if is_base or label == "licensed":
             # Ends come in order and a phrase starts before its end, so count from the end.
             number += stream.count(" ", counted, end)
             counted = end
-            starts.append(number - 1 - stream.count(" ", end - length, end))
-            base.add(label)
-            n_base += 1
-    if any(x[0] == "spdx-tag" for x in PHRASES.values()) and "spdx-tag" in labels:
+            if is_base:
+                starts.append(number - 1 - stream.count(" ", end - length, end))
+                base.add(label)
+                n_base += 1
+            else:
+                cues.append(number)
+    if "spdx-tag" in labels:
         for tag in _TAG.finditer(raw.lower()):
-            postfix = to_postfix(tag[1].decode("utf-8", "replace"))
-            if postfix:
-                names, free = evaluate(postfix)
-                # A comma separates labels; identifiers hold none.
-                labels |= {f"spdx:{n}" for n in names}
-                labels.add("terms:free-choice" if free else "terms:share-alike")
+            labels |= expression_labels(tag[1].decode("utf-8", "replace"))
+    if cues:
+        spelled = [w.decode() for w in words]
+        for at in cues:
+            labels |= expression_labels(prose_expression(spelled, at))
     return (
         len(words),
         n_base,

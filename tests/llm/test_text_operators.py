@@ -352,6 +352,55 @@ def test_malformed_expressions(text):
     assert o10.to_postfix(text) is None
 
 
+@pytest.mark.parametrize("text", ["MIT WITH (A OR B)", "(MIT OR GPL-2.0) WITH x", "a WITH b WITH c", "MIT WITH a " + "WITH a " * 18])
+def test_an_exception_is_one_name(text):
+    postfix = o10.to_postfix(text)
+    assert postfix is None or o10.evaluate(postfix) is None
+    assert o10.expression_labels(text) == set()
+
+
+def test_hostile_tags_take_linear_work():
+    import time
+
+    start = time.time()
+    for expression in (
+        "(a or b) with " * 18 + "(a or b)",
+        " or ".join(f"x{i}" for i in range(50_000)),
+        "(" * 20_000 + "MIT" + ")" * 20_000,
+        "licensed under mit or " * 20_000,
+    ):
+        got = o10.scan(f"SPDX-License-Identifier: {expression}")
+        assert len(got[5]) < 200
+    assert time.time() - start < 5
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("licensed under the GNU General Public License, version 3. It", {"spdx:gpl-3", "terms:share-alike"}),
+        ("Licensed under CC BY-NC 4.0", {"spdx:cc-by-nc-4.0", "terms:free-choice"}),
+        ("Licensed under CC BY-NC-SA 4.0", {"spdx:cc-by-nc-sa-4.0", "terms:share-alike"}),
+        ("released under the MIT License or the Apache License, Version 2.0.", {"spdx:mit", "spdx:apache-2.0", "terms:free-choice"}),
+        ("released under the MIT License and the GPL v2 and more", {"spdx:mit", "spdx:gpl-2", "terms:share-alike"}),
+        ("released under the moon", set()),
+        ("released under", set()),
+        ("SPDX-License-Identifier: MPL-2.0-no-copyleft-exception", {"spdx:mpl-2.0-no-copyleft-exception", "terms:share-alike"}),
+        ("SPDX-License-Identifier: mplayer OR eplite", {"spdx:unlisted", "terms:free-choice"}),
+        ("SPDX-License-Identifier: GPL-2.0+ WITH GCC-exception-2.0", {"spdx:gpl-2.0+-with-gcc-exception-2.0", "terms:share-alike"}),
+    ],
+)
+def test_labels_of_expressions(text, want):
+    assert {x for x in o10.scan(text)[5].split(",") if x.startswith(("spdx:", "terms:"))} == want
+
+
+def test_given_notices_are_read_as_expressions(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    rows = docs.select("text", o10.license_scan(F.col("text")).alias("s")).filter("s.labels like '%spdx:%'").collect()
+    assert rows and {x for r in rows for x in r["s"]["labels"].split(",") if x.startswith("spdx:")} <= {
+        "spdx:gpl-3", "spdx:cc-by-nc-4.0", "spdx:mit", "spdx:apache-2.0",
+    }
+
+
 def test_scans_the_awkward_table(spark):
     rows = [*cases.rows(), (20, "// SPDX-License-Identifier: MIT OR GPL-2.0\ncode", *cases.rows()[0][2:])]
     docs = cases.table(spark, rows)
