@@ -216,7 +216,8 @@ def near_vectors(
 
     Copies fold into one vector first and count as links of each other. Vectors
     that are null, empty, zero, or hold null or non-finite parts, and rows with a
-    null key, link with nothing; vectors of different length never link. Recall
+    null key, link with nothing; vectors of different length never link. Rows of
+    one key with different vectors are vectors of their own. Recall
     depends on ``alpha`` and ``filters`` and is measured in the tests.
     """
     number = dict(table.dtypes)[vector].removeprefix("array<").removesuffix(">")
@@ -226,9 +227,11 @@ def near_vectors(
     )
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = F.col("key").isNotNull() & F.coalesce(finite & F.exists("v", lambda x: x != 0), F.lit(False))
-    classes = rows.filter(good).groupBy("v").agg(F.min("key").alias("id"), F.count(F.lit(1)).alias("n"))
+    # A class is a vector, whatever the keys of its rows: it gets a number of its own, fixed once written.
+    counted = rows.filter(good).groupBy("v").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("n"))
+    classes = materialize(counted.withColumn("id", F.monotonically_increasing_id()))
     coded = materialize(
-        classes.mapInArrow(_coded(alpha, filters, kind), "id long, n long, dim int, v binary, filters array<int>")
+        classes.select("v", "id", "n").mapInArrow(_coded(alpha, filters, kind), "id long, n long, dim int, v binary, filters array<int>")
     )
     each = coded.select("id", "dim", F.explode("filters").alias("filter"))
     # A filter that one vector alone passes joins nothing; one that many pass is dealt out as pairs of chunks.
@@ -252,13 +255,20 @@ def near_vectors(
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     named = components(found, "id", "root")
     zero = F.lit(0).cast("long")
-    of = (
-        coded.select("id", "n")
+    labelled = (
+        classes.select("v", "id", "n", "least")
         .join(links, "id", "left")
         .join(named, F.col("id") == F.col("node"), "left")
-        .select("id", (F.coalesce("links", zero) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+        .select(
+            F.col("v").alias("class_v"),
+            "least",
+            (F.coalesce("links", zero) + F.col("n") - 1).alias("n_links"),
+            F.coalesce("component", "id").alias("root"),
+        )
     )
-    members = classes.select(F.col("v").alias("class_v"), "id").join(of, "id")
+    # A component is named by the least key of its vectors.
+    roots = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
+    members = labelled.join(roots, "root").select("class_v", "n_links", "component_id")
     fine = rows.filter(good).join(members, F.col("v") == F.col("class_v")).select("key", "n_links", "component_id")
     rest = rows.filter(~good).select("key", zero.alias("n_links"), F.col("key").alias("component_id"))
     return fine.unionByName(rest).select(

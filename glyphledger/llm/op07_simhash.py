@@ -187,6 +187,13 @@ def links(tiles: DataFrame, radius: int = RADIUS) -> DataFrame:
     return work.mapInArrow(compare, "u long, v long")
 
 
+def _roots(fingerprints: DataFrame, radius: int) -> DataFrame:
+    """(fp, root) of distinct fingerprints: the least one reachable over links."""
+    distinct = fingerprints.select("fp").distinct()
+    found = components(links(pack_tiles(distinct), radius))
+    return distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", F.coalesce("component", "fp").alias("root"))
+
+
 def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """(key, fp, component_id): the least key whose fingerprint is reachable over links.
 
@@ -196,25 +203,37 @@ def near_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", radius
     """
     marked = materialize(docs.select(F.col(key).alias("key"), simhash_column(F.col(text)).alias("fp")))
     least = marked.groupBy("fp").agg(F.min("key").alias("least"))
-    found = components(links(pack_tiles(least.select("fp")), radius))
-    labelled = (
-        least.join(found, least["fp"] == found["node"], "left")
-        .select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    )
+    labelled = least.join(_roots(marked, radius), "fp")
     roots = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     of = labelled.join(roots, "root").select("fp", "component_id")
     return marked.join(of, "fp").select(F.col("key").alias(key), "fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each near-duplicate group: the one with the least key, all columns kept.
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """One row of each near-duplicate group, all columns kept: that with the least key, then text digest.
 
-    Rows with a null key cannot be told apart and all stay. Of repeated rows with
-    the same key, one stays.
+    Rows count, not keys: rows of one key with unlike texts are in groups of their
+    own and each is judged there. Of rows that agree in key and text, one stays: the
+    one whose other columns hash least. Rows with a null key link others but cannot
+    be told apart and all stay.
     """
-    (kept,) = fresh(docs, "kept")
-    groups = near_groups(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "text", "key")
-    keep = groups.filter("key = component_id").select(F.col("key").alias(kept)).distinct()
-    named = docs.filter(F.col(key).isNotNull())
-    stay = named.join(keep, named[key] == F.col(kept), "left_semi").dropDuplicates([key])
-    return stay.unionByName(docs.filter(F.col(key).isNull()))
+    names = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    digest, rest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")), F.xxhash64(*[F.col(c) for c in names])
+    rank = F.struct(F.col("key"), F.col("digest"), F.col("rest"))
+    marked = materialize(
+        docs.select(
+            F.col(key).alias("key"),
+            digest.alias("digest"),
+            rest.alias("rest"),
+            simhash_column(F.col(text)).alias("fp"),
+        )
+    )
+    first = marked.filter("key is not null").groupBy("fp").agg(F.min(rank).alias("first"))
+    chosen = first.join(_roots(marked, radius), "fp").groupBy("root").agg(F.min("first").alias("first"))
+    own_digest, own_rest, k, d, r = fresh(docs, "own_digest", "own_rest", "k", "d", "r")
+    keep = chosen.select(F.col("first.key").alias(k), F.col("first.digest").alias(d), F.col("first.rest").alias(r))
+    rows = docs.filter(F.col(key).isNotNull()).withColumns({own_digest: digest, own_rest: rest})
+    same = (rows[key] == F.col(k)) & (F.col(own_digest) == F.col(d)) & (F.col(own_rest) == F.col(r))
+    stay = rows.join(keep, same, "left_semi")
+    one = stay.dropDuplicates([key, own_digest, own_rest]).drop(own_digest, own_rest)
+    return one.unionByName(docs.filter(F.col(key).isNull()))

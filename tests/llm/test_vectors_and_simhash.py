@@ -156,3 +156,20 @@ def test_recall_of_the_filters(cosine, least):
     found = o1.passed_filters(np.concatenate([a, cosine * a + np.sqrt(1 - cosine**2) * n]))
     hits = [bool(len(np.intersect1d(found[i], found[i + 1500]))) for i in range(1500)]
     assert np.mean(hits) >= least
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_rows_of_one_key_with_unlike_texts_are_judged_apart(spark, order):
+    a, b = cases.sentence(40, 80), cases.sentence(41, 80)
+    rows = [(0, a, "x"), (1, a, "y"), (1, b, "z"), (None, a, "n"), (None, cases.sentence(42, 80), "m"), (3, b, "w"), (3, b, "v")]
+    docs = spark.createDataFrame(rows[::order], "doc_id long, text string, digest string").repartition(3)
+    kept = sorted((tuple(r) for r in o7.near_duplicates(docs).collect()), key=str)
+    assert kept == sorted([(0, a, "x"), (1, b, "z"), (None, a, "n"), (None, cases.sentence(42, 80), "m")], key=str)
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_a_repeated_key_with_other_vectors_is_another_vector(spark, order):
+    rows = [(5, [1.0, 0.0, 0.0]), (5, [0.0, 1.0, 0.0]), (7, [1.0, 0.01, 0.0]), (9, [0.0, 1.0, 0.0])]
+    table = spark.createDataFrame(rows[::order], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in o1.near_vectors(table).collect())
+    assert got == [(5, 1, 5, True), (5, 1, 5, True), (7, 1, 5, False), (9, 1, 5, False)]
