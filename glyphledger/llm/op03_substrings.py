@@ -31,6 +31,7 @@ from glyphledger.llm.columns import fresh
 from glyphledger.llm.words import SPACES, roll, slices, slide, text_bytes, word_hashes
 from glyphledger.session import materialize
 
+RANGES = "ranges array<struct<a:int,b:int>>"  # first and last of windows in a row that repeat
 WINDOW = 35
 GRAM = 5
 SHARD_WORDS = 20_000  # words of one anchor's passages in an automaton; it may hold as many of other anchors
@@ -241,14 +242,14 @@ def _judge(window: int, shard_words: int):
             automaton.add(words, n)
         automaton.close()
         out = [
-            (anchor, body, a, b)
+            (anchor, body, [{"a": a, "b": b} for a, b in found])
             for (anchor, body, _, _), words in zip(rows, coded, strict=True)
-            for a, b in _ranges(automaton.repeated(words, window))
+            if (found := _ranges(automaton.repeated(words, window)))
         ]
         if out:
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.int32(), pa.int32()), strict=True)],
-                ["anchor", "body", "a", "b"],
+                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["anchor", "body", "ranges"]
             )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,12 +315,13 @@ def _size() -> Column:
 
 
 def _copies(rows: DataFrame, window: int) -> DataFrame:
-    """Passages that repeat as a whole, as (anchor, body, a, b)."""
-    return rows.select("anchor", "body", F.lit(0).alias("a"), (F.col("size") - window).alias("b"))
+    """Passages that repeat as a whole, as (anchor, body, ranges)."""
+    whole = F.struct(F.lit(0).alias("a"), (F.col("size") - window).cast("int").alias("b"))
+    return rows.select("anchor", "body", F.array(whole).alias("ranges"))
 
 
 def _decide(rows: DataFrame, window: int, grams: list[int], shard_words: int) -> DataFrame:
-    """(anchor, body, a, b): windows a..b of distinct passages (anchor, body, n, size, words) that repeat among them."""
+    """(anchor, body, ranges): windows of distinct passages (anchor, body, n, size, words) that repeat among them."""
     held = rows.groupBy("anchor").agg(F.sum("size").alias("held"))
     sized = rows.join(held, "anchor")
     large = materialize(sized.filter(F.col("held") > shard_words).drop("held")) if grams else None
@@ -329,7 +331,7 @@ def _decide(rows: DataFrame, window: int, grams: list[int], shard_words: int) ->
         small = sized.filter(F.col("held") <= shard_words).drop("held")
         later = _decide_finer(large, window, grams, shard_words)
     dealt = small.select("anchor", "body", "n", "words").repartition("anchor").sortWithinPartitions("anchor", "body")
-    judged = dealt.mapInArrow(_judge(window, shard_words), "anchor long, body binary, a int, b int")
+    judged = dealt.mapInArrow(_judge(window, shard_words), f"anchor long, body binary, {RANGES}")
     return judged if later is None else judged.unionByName(later)
 
 
@@ -352,10 +354,14 @@ def _decide_finer(large: DataFrame, window: int, grams: list[int], shard_words:
     whole = (F.col("bodies") == 1) & (F.col("n") > 1)
     rest = split.filter(~whole).select("anchor", "body", "n", "size", "words")
     verdict = _copies(split.filter(whole), window).unionByName(_decide(rest, window, grams[1:], shard_words))
-    found = verdict.select(F.col("anchor").alias("anchor2"), F.col("body").alias("body2"), "a", "b")
-    return cut.join(found, ["anchor2", "body2"]).select(
-        "anchor", "body", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b") + F.col("upto")).alias("b")
+    found = verdict.select(F.col("anchor").alias("anchor2"), F.col("body").alias("body2"), "ranges")
+    moved = F.transform(
+        "ranges",
+        lambda r: F.struct((F.col("at") + r["a"]).alias("a"), (F.col("at") + r["b"] + F.col("upto")).alias("b")),
     )
+    # One row a passage: the ranges of its parts meet again above, before anything is joined.
+    joined = cut.join(found, ["anchor2", "body2"]).select("anchor", "body", moved.alias("ranges"))
+    return joined.groupBy("anchor", "body").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def repeated_spans(docs: DataFrame, text: Column, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -391,10 +397,12 @@ def repeated_spans(docs: DataFrame, text: Column, window: int = WINDOW, shard_wo
     )
     whole = split.filter("whole").withColumn("size", F.col("place.last") - F.col("place.first") + window)
     verdict = _copies(whole, window).unionByName(_decide(words, window, _longer(window, GRAM), shard_words))
-    span = F.struct(
-        (F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + window).alias("b")
+    spans = F.transform(
+        "ranges",
+        lambda r: F.struct((F.col("first") + r["a"]).alias("a"), (F.col("first") + r["b"] + window).alias("b")),
     )
-    return again.join(verdict, ["anchor", "body"]).groupBy("k", "nb").agg(F.collect_set(span).alias("spans"))
+    placed = again.join(verdict, ["anchor", "body"]).select("k", "nb", spans.alias("spans"))
+    return placed.groupBy("k", "nb").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def _removed(n: int, spans: list | None) -> np.ndarray:
