@@ -108,31 +108,193 @@ def pairs_in_cells(
     return spread.groupBy("group_id", "_lo", "_hi").applyInPandas(run, f"group_id string, {schema}")
 
 
-def _coords(pdf: pd.DataFrame) -> np.ndarray:
-    return np.stack([np.asarray(c, dtype=np.float64) for c in pdf["coords"]])
+_SLACK = 1e-9  # of a bound, for rounding in sums
 
 
-def _geo_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
-    """Least similarity over the pairs of a cell; rows have equal shapes."""
+def _gaps(a: Column, b: Column) -> Column:
+    """Gap of each point of two outlines of the same shape; a metric, and so are its mean and its maximum."""
+    return F.zip_with(a, b, lambda p, q: F.greatest(F.abs(p["x"] - q["x"]), F.abs(p["y"] - q["y"])))
+
+
+def _mean_gap(gaps: Column) -> Column:
+    return F.aggregate(gaps, F.lit(0.0), lambda s, v: s + v) / F.size(gaps)
+
+
+def _midpoint(a: Column, b: Column) -> Column:
+    half = lambda k: lambda p, q: ((p[k] + q[k]) / 2)
+    return F.zip_with(a, b, lambda p, q: F.struct(half("x")(p, q).alias("x"), half("y")(p, q).alias("y")))
+
+
+def _moved(points: Column, middle: Column) -> Column:
+    """Struct (sx, sy, rest): how far an outline is moved from a point as a whole, and its mean gap beyond that."""
+    steps = F.zip_with(points, middle, lambda p, q: F.struct((p["x"] - q["x"]).alias("x"), (p["y"] - q["y"]).alias("y")))
+    mean = lambda k: F.aggregate(steps, F.lit(0.0), lambda s, v: s + v[k]) / F.size(steps)
+    moved = F.transform(F.array(F.struct(mean("x").alias("x"), mean("y").alias("y"))), lambda m: F.struct(
+        m["x"].alias("sx"),
+        m["y"].alias("sy"),
+        _mean_gap(F.transform(steps, lambda v: F.greatest(F.abs(v["x"] - m["x"]), F.abs(v["y"] - m["y"])))).alias("rest"),
+    ))
+    return moved[0]
+
+
+def _pivots(rows: DataFrame) -> DataFrame:
+    """(group_id, pivots) of each group: four outlines at its far ends, and the point halfway between two of them.
+
+    Each end is the outline farthest from what was chosen before: one pass a pivot.
+    """
+
+    def farthest(chosen: DataFrame, from_: str, name: str) -> DataFrame:
+        gap = _mean_gap(_gaps(F.col("points"), F.col(from_)))
+        end = (
+            rows.join(chosen.select("group_id", from_), "group_id")
+            .select("group_id", "variant_id", "points", gap.alias("gap"))
+            .groupBy("group_id")
+            .agg(F.max_by("points", F.struct("gap", "variant_id")).alias(name))
+        )
+        return materialize(chosen.join(end, "group_id"))
+
+    chosen = materialize(rows.groupBy("group_id").agg(F.min_by("points", "variant_id").alias("p0")))
+    chosen = farthest(farthest(chosen, "p0", "p1"), "p1", "p2").withColumn("middle", _midpoint(F.col("p1"), F.col("p2")))
+    chosen = farthest(chosen, "middle", "p3")
+    return chosen.select("group_id", F.array("p0", "p1", "p2", "p3", "middle").alias("pivots"))
+
+
+def _far_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
+    """Largest mean gap of the pairs of a cell that are not close, above a known one, and how many were formed.
+
+    A pair is formed only if no bound rules it out: its distances to every pivot add
+    up to more than the best pair known, and so does the gap of the two moves with
+    what each outline differs from its move.
+    """
     if left.empty or (right is not None and right.empty):
-        return (None,)
-    a = _coords(left)
-    b = a if right is None else _coords(right)
-    least = None
-    for i in range(len(a)):
-        others = b[i + 1 :] if right is None else b
-        if not len(others):
+        return None, 0
+    a, da = np.stack(left["coords"]), np.stack(left["far"])
+    b, db = (a, da) if right is None else (np.stack(right["coords"]), np.stack(right["far"]))
+    # From the outside in: the best pair is met early and rules out the rest.
+    order = np.argsort(-db[:, -1], kind="stable")
+    moves = np.stack([left[k] for k in ("sx", "sy", "rest")], axis=1)
+    others = (moves if right is None else np.stack([right[k] for k in ("sx", "sy", "rest")], axis=1))[order]
+    b, db, at = b[order], db[order], order
+    best, found, formed = float(left["above"].iloc[0]), None, 0
+    for i in np.argsort(-da[:, -1], kind="stable"):
+        near = np.searchsorted(-db[:, -1], da[i, -1] - best + _SLACK)
+        shift = np.abs(others[:near, :2] - moves[i, :2]).max(axis=1) + others[:near, 2] + moves[i, 2]
+        mates = np.flatnonzero(shift > best - _SLACK)
+        mates = mates[(da[i] + db[mates]).min(axis=1) > best - _SLACK]
+        if right is None:
+            mates = mates[at[mates] > i]
+        if not len(mates):
             continue
-        gap = np.abs(others - a[i])
+        formed += len(mates)
+        gap = np.abs(b[mates] - a[i])
         point = np.maximum(gap[:, 0::2], gap[:, 1::2])
-        score = np.where(
-            point.max(axis=1) < G.CLOSE_GAP,
-            G.CLOSE_SCORE,
-            np.maximum(0.0, 1.0 - point.mean(axis=1) / G.GAP_SPAN),
+        mean = np.where(point.max(axis=1) < G.CLOSE_GAP, -1.0, point.mean(axis=1))
+        if mean.max() > best:
+            found = best = float(mean.max())
+    return found, formed
+
+
+def _close_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
+    """Whether some pair of a cell is close at every point."""
+    a = np.stack(left["coords"]) if len(left) else None
+    b = a if right is None else np.stack(right["coords"]) if len(right) else None
+    if a is None or b is None:
+        return (False,)
+    for i in range(len(a)):
+        others = b[i + 1 :] if right is None else b
+        if len(others) and bool((np.abs(others - a[i]).max(axis=1) < G.CLOSE_GAP).any()):
+            return (True,)
+    return (False,)
+
+
+def farthest_pairs(rows: DataFrame, cell: int = CELL) -> DataFrame:
+    """(group_id, widest, close, formed) over distinct outlines (group_id, variant_id, points) of one shape a group.
+
+    ``widest`` is the largest mean gap of the pairs that are not close at every
+    point, null if all are close or none matters; ``close`` whether some pair is;
+    ``formed`` how many pairs were compared. The mean gap is a metric, so the
+    distances of two outlines to a pivot bound their own from above, and only
+    outlines that can beat the widest pair known from the pivots meet at all. Where
+    some pair is close, one of a mean gap up to ``(1 - CLOSE_SCORE) * GAP_SPAN``
+    cannot score less and counts as beaten too. Exact; the work is linear but for
+    what the bounds leave, which is spread over cells.
+    """
+    rows = materialize(rows)
+    ends = _pivots(rows)
+    to_each = F.transform("pivots", lambda p: _gaps(F.col("points"), p))
+    gaps = materialize(
+        rows.join(ends, "group_id")
+        .withColumn("gaps", to_each)
+        .select(
+            "group_id",
+            "variant_id",
+            F.transform("gaps", _mean_gap).alias("far"),
+            F.transform("gaps", F.array_max).alias("wide"),
+            _moved(F.col("points"), F.element_at("pivots", -1)).alias("moved"),
+        )
+    )
+    real = F.slice(F.arrays_zip("far", "wide"), 1, 4)
+    apart = F.array_max(F.transform(F.filter(real, lambda g: g["wide"] >= G.CLOSE_GAP), lambda g: g["far"]))
+    touching = F.exists(real, lambda g: (g["wide"] < G.CLOSE_GAP) & (g["wide"] > 0))
+    bounds = gaps.groupBy("group_id").agg(
+        F.max(apart).alias("known"),
+        F.max(touching).alias("touching"),
+        *[F.max(F.col("far")[k]).alias(f"reach{k}") for k in range(5)],
+        *[F.max(F.col(f"moved.{k}") + F.col("moved.rest")).alias(f"hi_{k}") for k in ("sx", "sy")],
+        *[F.min(F.col(f"moved.{k}") - F.col("moved.rest")).alias(f"lo_{k}") for k in ("sx", "sy")],
+    )
+    harmless = F.when(F.col("touching"), F.lit((1 - G.CLOSE_SCORE) * G.GAP_SPAN)).otherwise(-1.0)
+    bounds = materialize(
+        bounds.select(
+            "group_id",
+            "known",
+            "touching",
+            F.greatest(F.coalesce("known", F.lit(-1.0)), harmless).alias("above"),
+            F.array(*[f"reach{k}" for k in range(5)]).alias("reach"),
+            "hi_sx", "lo_sx", "hi_sy", "lo_sy",
+        )
+    )
+    can_beat = F.forall(
+        F.zip_with("far", "reach", lambda d, r: d + r), lambda most: most > F.col("above") - _SLACK
+    )
+    span = F.greatest(
+        *[F.abs(F.col(f"{end}_{k}") - F.col(f"moved.{k}")) for end in ("hi", "lo") for k in ("sx", "sy")]
+    ) + F.col("moved.rest")
+    coords = F.flatten(F.transform("points", lambda p: F.array(p["x"], p["y"])))
+    wanted = (
+        gaps.join(bounds, "group_id")
+        .filter(can_beat & (span > F.col("above") - _SLACK))
+        .select("group_id", "variant_id", "far", "above", "moved.*")
+    )
+    cells = pairs_in_cells(
+        rows.join(wanted, ["group_id", "variant_id"]).select(
+            "group_id", "variant_id", coords.alias("coords"), "far", "above", "sx", "sy", "rest"
+        ),
+        _far_cell,
+        "widest double, formed long",
+        cell,
+    )
+    met = cells.groupBy("group_id").agg(F.max("widest").alias("better"), F.sum("formed").alias("formed"))
+    found = materialize(
+        bounds.join(met, "group_id", "left").select(
+            "group_id",
+            "touching",
+            F.greatest("known", "better").alias("widest"),
+            F.coalesce("formed", F.lit(0)).cast("long").alias("formed"),
         )
-        low = float(score.min())
-        least = low if least is None else min(least, low)
-    return (least,)
+    )
+    # A close pair matters only where no other pair scores less; pivots show most of them.
+    unsure = found.filter(~F.col("touching") & (F.coalesce("widest", F.lit(0.0)) <= (1 - G.CLOSE_SCORE) * G.GAP_SPAN))
+    near = pairs_in_cells(
+        rows.join(unsure.select("group_id"), "group_id", "left_semi").select("group_id", "variant_id", coords.alias("coords")),
+        _close_cell,
+        "close boolean",
+        cell,
+    )
+    close = near.groupBy("group_id").agg(F.max("close").alias("close"))
+    return found.join(close, "group_id", "left").select(
+        "group_id", "widest", (F.col("touching") | F.coalesce("close", F.lit(False))).alias("close"), "formed"
+    )
 
 
 def min_geo_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
@@ -202,22 +364,21 @@ def min_geo_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
     )
     swept = materialize(sweep)
     left = swept.filter(F.col("sweep_score").isNull()).select("group_id")
-    coords = F.flatten(
-        F.transform(F.flatten("contours"), lambda p: F.array(p["x"], p["y"]))
-    )
-    cells = (
-        pairs_in_cells(
-            # Equal outlines fold: a pair of them never scores least in a group left here.
-            feats.join(left, "group_id", "left_semi")
-            .groupBy("group_id", coords.alias("coords"))
-            .agg(F.min("variant_id").alias("variant_id")),
-            _geo_cell,
-            "least double",
-            cell,
+    # Equal outlines fold: a pair of them never scores least in a group left here.
+    distinct = (
+        feats.join(left, "group_id", "left_semi")
+        .select(
+            "group_id",
+            "variant_id",
+            F.transform(F.flatten("contours"), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("points"),
         )
-        .groupBy("group_id")
-        .agg(F.min("least").alias("pair_score"))
+        .groupBy("group_id", "points")
+        .agg(F.min("variant_id").alias("variant_id"))
     )
+    ends = farthest_pairs(distinct, cell)
+    close = F.when(F.col("close"), F.lit(G.CLOSE_SCORE))
+    apart = F.when(F.col("widest").isNotNull(), F.greatest(F.lit(0.0), 1.0 - F.col("widest") / F.lit(G.GAP_SPAN)))
+    cells = ends.select("group_id", F.least(close, apart).alias("pair_score"))
     return (
         groups.join(swept, "group_id", "left")
         .join(cells, "group_id", "left")

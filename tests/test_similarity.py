@@ -57,6 +57,43 @@ def test_least_similarity_equals_all_pairs(spark, cell):
         assert got[g] == (pytest.approx(min(scores)) if scores else None), g
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_pivot_bounds_lose_no_pair(spark, seed):
+    """Groups around every limit: pairs that are close, harmless and apart, in few and many dimensions."""
+    rnd = random.Random(seed)
+    rows = []
+    for g in range(24):
+        jitter, points, n = rnd.choice([0.8, 1.02, 1.2, 1.9, 3, 8, 14]), rnd.choice([1, 2, 4, 9]), rnd.randrange(3, 40)
+        base = [(rnd.uniform(0, 900), rnd.uniform(0, 900)) for _ in range(points)]
+        drift = rnd.choice([0, 0, 1.0, 4.0])
+        for v in range(n):
+            dx, dy = rnd.uniform(-drift, drift), rnd.uniform(-drift, drift)
+            c = [[(x + dx + rnd.uniform(-jitter, jitter), y + dy + rnd.uniform(-jitter, jitter), True) for x, y in base]]
+            rows.append((f"g{g}", f"{rnd.getrandbits(40):010x}", c))
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = {r["group_id"]: r["min_similarity"] for r in sim.min_geo_similarity(frame, 16).collect()}
+    want = brute(rows, plain_similarity)
+    for g, scores in want.items():
+        assert got[g] == pytest.approx(min(scores)), g
+
+
+def test_pairs_formed_stay_near_linear(spark):
+    """100,000 nearly equal outlines, moved a little each: the bounds leave a sliver of 5 billion pairs."""
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    move = lambda seed: (F.rand(seed) - 0.5) * 5
+    corner = lambda x, y: F.struct((F.lit(float(x)) + F.col("dx") + F.rand(x + 7) * 0.01).alias("x"), (F.lit(float(y)) + F.col("dy")).alias("y"))
+    rows = (
+        spark.range(n)
+        .withColumns({"dx": move(1), "dy": move(2)})
+        .select(F.lit("g").alias("group_id"), F.hex("id").alias("variant_id"), F.array(*[corner(*p) for p in ((0, 0), (0, 900), (800, 900), (800, 0))]).alias("points"))
+    )
+    (got,) = sim.farthest_pairs(rows).collect()
+    assert got["close"] and 4.9 < got["widest"] <= 5.02
+    assert 0 < got["formed"] < 20 * n
+
+
 def cells_of(outline):
     raw = sim._fill(
         [p[0] for c in outline for p in c], [p[1] for c in outline for p in c], [p[2] for c in outline for p in c], [len(c) for c in outline]
