@@ -338,23 +338,31 @@ FROM (SELECT project, file, line, icon_name, count(*) AS hits FROM use_fx WHERE
 )
 
 
+def _rules(spark, sf):
+    w = world(spark, sf)
+    if not hasattr(w, "_rules"):
+        made = _fresh_rules(spark, sf)
+        w._rules = ln.RewriteRules(materialize(made.css), materialize(made.places), materialize(made.renames))
+    return w._rules
+
+
 def _plan(spark, sf):
     w = world(spark, sf)
     if not hasattr(w, "_plan"):
-        w._plan = materialize(_fresh_plan(spark, sf))
+        w._plan = materialize(_rules(spark, sf).listing())
     return w._plan
 
 
-def _fresh_plan(spark, sf):
+def _fresh_rules(spark, sf):
     w = world(spark, sf)
-    return ln.rewrite_plan(
+    return ln.rewrite_rules(
         w.reg.entries, _links(w), _flags(spark, sf), _usage(spark, sf), _refs(spark, sf)
     )
 
 
 @query("L12", 'SELECT project, file, line, "from", "to", type, copies, ambiguous FROM plan_fx')
 def rewrite_plan(spark, sf):
-    return _fresh_plan(spark, sf).drop("rule_ord")
+    return _fresh_rules(spark, sf).listing().drop("rule_ord")
 
 
 @query(
@@ -362,7 +370,25 @@ def rewrite_plan(spark, sf):
     """SELECT project, coalesce(sum(copies) FILTER (type = 'icon_class'), 0)::BIGINT AS class_rules, count(*) FILTER (type = 'css_link') AS css_rules FROM plan_fx GROUP BY 1""",
 )
 def plan_summary(spark, sf):
-    return ln.plan_summary(_plan(spark, sf))
+    return _rules(spark, sf).summary()
+
+
+@query(
+    "L12",
+    'SELECT project, src AS "from", count(*) AS fingerprints, sum(copies)::BIGINT AS copies, count(DISTINCT dst) AS targets, bool_or(ambiguous) AS ambiguous FROM rename_fx GROUP BY 1, 2',
+)
+def rename_rule_counts(spark, sf):
+    """The rules of the plan in parts: one row per project and name, however many places it has."""
+    return (
+        _rules(spark, sf)
+        .renames.groupBy("project", "from")
+        .agg(
+            F.count(F.lit(1)).alias("fingerprints"),
+            F.sum("copies").alias("copies"),
+            F.countDistinct("to").alias("targets"),
+            F.max("ambiguous").alias("ambiguous"),
+        )
+    )
 
 
 @query(
@@ -387,7 +413,7 @@ part(
 
 @query("L14", "SELECT * FROM patched_fx")
 def plan_dry_run(spark, sf):
-    return ln.apply_plan(_files(spark, sf), _plan(spark, sf))
+    return ln.apply_plan(_files(spark, sf), _rules(spark, sf))
 
 
 @query(
@@ -397,7 +423,7 @@ LEFT JOIN patched_fx p ON p.project = l.project AND p.file = l.file AND p.line =
 WHERE (l.project, l.file) IN (SELECT (project, file) FROM patched_fx) GROUP BY 1, 2""",
 )
 def patched_files(spark, sf):
-    done = ln.patched_files(_files(spark, sf), _plan(spark, sf))
+    done = ln.patched_files(_files(spark, sf), _rules(spark, sf))
     return done.select("project", "file", F.sha2("content", 256).alias("digest"))
 
 

@@ -29,6 +29,8 @@ def plan_rewrites(
 ) -> dict[str, DataFrame]:
     """Lineage with usages, the rules per project and what they would change.
 
+    ``plan`` lists every rule of every place and is computed only where it is used.
+
     The files are read for usages, for references, and, joined to the rules of the
     files that have some, for the dry run.
     """
@@ -38,12 +40,13 @@ def plan_rewrites(
     links = ln.project_links(reg.entries, reg.sources, asset_projects)
     lineage = materialize(ln.enhance_lineage(reg.entries, links, us.usage_index(usage), refs))
     flags = materialize(ln.replacement_flags(reg.entries, reg.aliases, res.glyphs, lineage))
-    plan = materialize(ln.rewrite_plan(reg.entries, links, flags, usage, refs))
+    made = ln.rewrite_rules(reg.entries, links, flags, usage, refs)
+    rules = ln.RewriteRules(materialize(made.css), materialize(made.places), materialize(made.renames))
     return {
         "lineage": lineage,
         "flags": flags,
         "history": ln.version_history(reg.entries, flags),
-        "plan": plan,
-        "summary": ln.plan_summary(plan),
-        "diff": ln.apply_plan(files, plan),
+        "plan": rules.listing(),
+        "summary": rules.summary(),
+        "diff": ln.apply_plan(files, rules),
     }
