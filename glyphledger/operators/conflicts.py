@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glyphledger.functions.codes import SEVERITY_ORDER, severity, severity_rank
-from glyphledger.operators.ordering import hash_prefix, number_rows, number_within
+from glyphledger.operators.ordering import number_rows, number_within
 
 # Conflict types in report order, and the hint each one carries.
 CODE_CONFLICT = "unicode_conflict"
@@ -118,14 +118,7 @@ def conflict_variants(entries: DataFrame, records: DataFrame) -> DataFrame:
     by_code = members(CODE_CONFLICT, code_group())
     by_name = members(NAME_CONFLICT, name_group())
     single = members(DUPLICATE, hash_group()).withColumn("pos", F.lit(0).cast("long"))
-    # The registry order of a group ends in the digest, whose prefix splits hot groups evenly.
-    numbered = number_within(
-        by_code.unionByName(by_name),
-        ["group_id", "type"],
-        order,
-        [F.col("ord_major"), hash_prefix("glyph_hash")],
-        "pos",
-    )
+    numbered = number_within(by_code.unionByName(by_name), ["group_id", "type"], order, "pos")
     return numbered.unionByName(single)
 
 

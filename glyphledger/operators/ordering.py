@@ -4,37 +4,37 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glyphledger.session import materialize
 
 
-def number_within(
-    df: DataFrame, keys: list[str], order: list[str], bucket: list[Column], out: str
-) -> DataFrame:
-    """Zero-based position inside each key group.
+def number_within(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
+    """Zero-based position inside each key group, for an order that is unique in it.
 
-    ``bucket`` is a leading, order-preserving part of ``order``. Rows are ranked
-    inside (key, bucket) and shifted by the size of the lower buckets, so a key
-    that holds a third of all rows is spread over its buckets.
+    Rows are range-partitioned by key and order, sorted and written once, so a key
+    that holds a third of all rows is spread over as many partitions as it fills.
+    A row's position is its place among the key's rows of its partition, moved by the
+    key's rows in the partitions before: one row per key and partition takes part in
+    that running total, so no more for a key than there are partitions. Rows with a
+    null key have no group and go.
     """
-    names = [f"_b{i}" for i in range(len(bucket))]
-    rows = df.withColumns(dict(zip(names, bucket, strict=True)))
-    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(
-        Window.unboundedPreceding, -1
+    cols = df.columns
+    placed = materialize(
+        df.dropna(subset=keys)
+        .repartitionByRange(*keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
     )
-    sizes = (
-        rows.groupBy(*keys, *names)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, *names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    shares = (
+        placed.groupBy(*keys, "_p")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_first"))
+        .select(*keys, "_p", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
     )
-    local = F.row_number().over(Window.partitionBy(*keys, *names).orderBy(*order)) - 1
-    return (
-        rows.withColumn("_at", local)
-        .join(sizes, [*keys, *names])
-        .withColumn(out, (F.col("_at") + F.col("_shift")).cast("long"))
-        .drop("_at", "_shift", *names)
+    return placed.join(shares, [*keys, "_p"]).select(
+        *cols, (F.col("_m") - F.col("_first") + F.col("_shift")).cast("long").alias(out)
     )
 
 
@@ -62,11 +62,6 @@ def number_rows(df: DataFrame, order: list[str], out: str) -> DataFrame:
     )
 
 
-def hash_prefix(column: str, length: int = 2) -> Column:
-    """Leading characters of a digest: an order-preserving, even split."""
-    return F.substring(F.col(column), 1, length)
-
-
 def side_by_side(*totals: DataFrame) -> DataFrame:
     """Put one-row results next to each other: their rows are stacked and folded, not joined."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), totals)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glyphledger.functions.codes import PRIVATE_HI, PRIVATE_LO, code_to_hex
 from glyphledger.operators.allocation import allocate
@@ -342,16 +347,23 @@ def lineage_log(changes: DataFrame) -> DataFrame:
     )
 
 
-def append_lineage(changes: DataFrame, path: str, at: str | None = None) -> DataFrame:
-    """Append the log rows of one run to the lineage log at ``path`` and return the whole log.
+def append_lineage(changes: DataFrame, path: str, at: str | None = None, run: str | None = None) -> DataFrame:
+    """Put the log rows of one run into the lineage log at ``path`` and return the whole log.
 
+    A run has a folder of its own in the log, named by ``run`` (by default after
+    ``at``, else a new name), and writes that folder anew: running again after a
+    failure, with the same name, changes nothing, and other runs stay as they are.
     Every row carries the time of its run: ``at`` in ISO form, or the moment the run
-    was planned. Earlier rows stay as they are.
+    was planned.
     """
     moment = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")
+    name = run if run is not None else at if at is not None else uuid.uuid4().hex
     rows = lineage_log(changes).withColumn("run_at", moment)
-    rows.write.mode("append").parquet(path)
-    return changes.sparkSession.read.schema(rows.schema).parquet(path)
+    # Hive-style folder names escape other characters; a digest keeps names apart.
+    folder = name if re.fullmatch(r"[A-Za-z0-9_.-]+", name) else hashlib.sha256(name.encode()).hexdigest()
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run={folder}")
+    schema = T.StructType([*rows.schema.fields, T.StructField("run", T.StringType())])
+    return changes.sparkSession.read.schema(schema).parquet(path).drop("run")
 
 
 def name_first_effect(records: DataFrame, variants: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 
 from glyphledger.operators import conflicts as cf
 from glyphledger.operators import registry as rg
-from glyphledger.operators.ordering import hash_prefix, number_rows, number_within
+from glyphledger.operators.ordering import number_rows, number_within
 
 SCHEMA = (
     "glyph_hash string, asset_id string, code int, icon_name string, ord int,"
@@ -149,7 +149,7 @@ def test_positions_equal_plain_ranking(spark, parts):
     rnd = random.Random(parts)
     rows = list({(rnd.choice("ab" * 1 + "a" * 8), f"{rnd.getrandbits(40):010x}") for _ in range(500)})
     df = spark.createDataFrame(rows, ["k", "h"]).repartition(parts)
-    got = {(r["k"], r["h"]): r["at"] for r in number_within(df, ["k"], ["h"], [hash_prefix("h")], "at").collect()}
+    got = {(r["k"], r["h"]): r["at"] for r in number_within(df, ["k"], ["h"], "at").collect()}
     for key in "ab":
         for at, h in enumerate(sorted(h for k, h in rows if k == key)):
             assert got[key, h] == at
@@ -162,3 +162,22 @@ def test_name_listing_puts_blanks_last(spark):
     e = entries(spark, [("h1", None, None, 1), ("h2", 0xE002, "b", 1), ("h3", 0xE001, "a", 1), ("h4", 0x41, "c", 1)])
     assert [r["glyph_hash"] for r in rg.name_listing(e).collect()] == ["h4", "h3", "h2", "h1"]
     assert rg.private_code_count(e).first()["private_codes"] == 2
+
+
+def test_positions_in_a_hot_key_over_many_partitions(spark):
+    """One key holds most rows and fills several partitions; positions go on across them."""
+    from pyspark.sql import functions as F
+
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit("k"), (F.col("id") % 300).cast("string"))).otherwise("hot").alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("h"),
+    )
+    placed = number_within(df, ["k"], ["h"], "at")
+    rows = {}
+    for r in placed.collect():
+        rows.setdefault(r["k"], []).append((r["h"], r["at"]))
+    assert sum(map(len, rows.values())) == 20_000
+    for found in rows.values():
+        assert [at for _, at in sorted(found)] == list(range(len(found)))
+    # No window runs over the rows of a key: its input is one row a key and partition.
+    assert number_within(df.limit(0), ["k"], ["h"], "at").count() == 0

@@ -196,3 +196,17 @@ def test_review_table_lists_first_projects(spark):
     first = got.filter("glyph_hash = 'h1'").first()
     assert first["projects"] == "p1, q, p2, q, p3"
     assert rw.review_table(case.records.withColumn("is_false_positive", F.lit(True)), case.variants, case.reg.sources, projects, cf.NAME_CONFLICT).count() == 0
+
+
+def test_a_run_written_again_leaves_one_set_of_log_rows(spark, tmp_path):
+    columns = "glyph_hash string, old_code int, old_hex string, new_code int, new_hex string, reason string"
+    changes = lambda *hashes: spark.createDataFrame([(h, 1, "0001", 2, "0002", "r") for h in hashes], columns)
+    path = str(tmp_path / "log")
+    first = rw.append_lineage(changes("a", "b"), path, "2024-01-02 03:04:05", "run one/2")
+    assert first.count() == 2 and first.columns[-1] == "run_at"
+    rw.append_lineage(changes("c"), path, "2024-01-03 03:04:05")
+    again = rw.append_lineage(changes("a", "b"), path, "2024-01-02 03:04:05", "run one/2")
+    assert sorted(r["glyph_hash"] for r in again.collect()) == ["a", "b", "c"]
+    # A run that has nothing to say when it is repeated leaves nothing.
+    emptied = rw.append_lineage(changes("a").limit(0), path, None, "run one/2")
+    assert [r["glyph_hash"] for r in emptied.collect()] == ["c"]
