@@ -153,7 +153,18 @@ def outline_fingerprint(spark, sf):
     return contours(spark, sf).select("vec_id", G.glyph_hash(ready).alias("glyph_hash"))
 
 
-@query("G10")
+# The engine's own shortest float text, against the text that is built from integer units.
+_JSON_POINT = """'{"on_curve":' || p.on_curve::VARCHAR || ',"x":' || p.x::VARCHAR || ',"y":' || p.y::VARCHAR || '}'"""
+_JSON = (
+    f"""'[' || array_to_string(list_transform({oriented('contours')}, lambda c: """
+    f"""'[' || array_to_string(list_transform(c, lambda p: {_JSON_POINT}), ',') || ']'), ',') || ']'"""
+)
+
+
+@query(
+    "G10",
+    f"""SELECT vec_id, CASE glyph_type WHEN 'empty' THEN 'empty' WHEN 'simple' THEN substr(sha256({_JSON}), 1, 16) END AS glyph_hash FROM sorted_fx""",
+)
 def outline_fingerprint_json(spark, sf):
     norm = gl.normalize_glyphs(contours(spark, sf), compat=True)
     return norm.select("vec_id", "glyph_hash")

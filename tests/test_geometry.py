@@ -148,3 +148,19 @@ def test_geo_similarity(spark, other, want):
 def test_geo_similarity_of_empty_outlines(spark):
     df = spark.createDataFrame([([], [])], f"a {G.CONTOURS}, b {G.CONTOURS}")
     assert df.select(G.geo_similarity(F.col("a"), F.col("b"))).first()[0] == 1.0
+
+
+def test_shortest_text_equals_python(spark):
+    rnd = random.Random(3)
+    values = [0.0, -0.0, 0.0001, -0.0001, 0.1, 7.0, -12.5, 1e7, 123456789.0625, 99999999999.9999, 1e11, -3e12]
+    values += [rnd.choice([1, -1]) * rnd.randrange(10**rnd.randrange(1, 14)) / 10000 for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], ["v"])
+    got = [r[0] for r in df.select(G.shortest_text(F.col("v"))).collect()]
+    assert [g for g, v in zip(got, values, strict=True) if abs(v) < 1e11] == [repr(v) for v in values if abs(v) < 1e11]
+    assert [float(g) for g in got] == values
+
+
+def test_json_digest_runs_without_python(spark):
+    df = spark.createDataFrame([([[(0.5, 1.0, True)]],)], f"c {G.CONTOURS}")
+    plan = df.select(G.glyph_hash(F.col("c"), compat=True))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
