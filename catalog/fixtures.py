@@ -113,7 +113,9 @@ SELECT concat('cust', cast(c_custkey AS string)) AS project, path,
     WHEN 'config/index.js' THEN
       CASE WHEN c_custkey % 2 = 0 THEN concat('assetsPublicPath: ''//static.example/$', '{pkg.name}/''') ELSE 'x' END
     WHEN 'index.html' THEN
-      '<link href="<%= htmlWebpackPlugin.options.path %>iconfont/font_1_a.css"><link href="<%=htmlWebpackPlugin.options.assetsPublicPath%>iconfont/font_2_b.css">'
+      concat('<link href="<%= htmlWebpackPlugin.options.path %>iconfont/font_1_a.css"><link href="<%=htmlWebpackPlugin.options.assetsPublicPath%>iconfont/font_2_b.css">',
+        CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN concat(chr(10), '<style>@import', chr(10), '  url( <%= htmlWebpackPlugin.options.assetsPublicPath %>iconfont/broken.css', chr(10), ') ;</style>')
+        ELSE concat(chr(10), 'x @import', chr(10), '"//o.example/iconfont/two.css"', chr(10), '; <%= htmlWebpackPlugin.options.path %> @import', chr(10), chr(10), '''<%=htmlWebpackPlugin.options.assetsPublicPath%>iconfont/three.css''; y @import', chr(10), 'z') END)
     WHEN 'src/app.js' THEN concat('import "../dist/iconfont.css"; import ''./a/./iconfont-', c_mktsegment, '.css''; import "//x/iconfont.css"')
     WHEN 'dist/iconfont.css' THEN concat('@font-face{src:url( "//static.example/font_', cast(c_custkey % 50 AS string), '_ab.ttf" ), url(a.png), url(https://o.example/IconFont.eot)} @import url("//static.example/iconfont/x.css");')
     ELSE concat('@import ''//static.example/iconfont/', lower(c_mktsegment), '.css''; @import "./local/iconfont.css"; @import url(https://o.example/font_3_c.css?iconfont=1) ; ')

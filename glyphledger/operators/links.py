@@ -40,9 +40,14 @@ IMPORT_PATTERN = r"""@import\s+(?:url\(\s*)?['"]?([^'")\s;]+{kw}[^'")\s;]*)['"]?
 LOCAL_PATTERN = r"""['"]([\w./-]*{kw}[\w./-]*\.css)['"]"""
 URL_CALL = r"""url\(\s*['"]?([^'")\s]+)['"]?\s*\)"""
 NUMBERED_FONT = r"font_\d+"
-PLACEHOLDER_LINE = r"[^\n]*<%=\s*htmlWebpackPlugin\.options\.(?:path|assetsPublicPath)\s*%>[^\n]*"
+PLACEHOLDER = r"<%=\s*htmlWebpackPlugin\.options\.(?:path|assetsPublicPath)\s*%>"
 KEYWORD = "iconfont"
 
+# An import statement over as many lines as it takes, its target before placeholders are filled,
+# and whole lines from the first to the last of those that hold a placeholder or such a statement.
+_STATEMENT = rf"""@import\s+(?:url\(\s*)?['"]?(?:{PLACEHOLDER}|[^'")\s;])*+['"]?\s*\)?\s*;"""
+PLACEHOLDER_LINES = rf"(?<![^\n])(?:[^\n]*?(?:{_STATEMENT}|{PLACEHOLDER}))+[^\n]*"
+
 
 def extract_links(
     files: DataFrame,
@@ -70,8 +75,8 @@ def scan_links(
     """(project, path, kind, raw): everything link-like of each file, from one reading of its text.
 
     Kinds: link, import, local (quoted local stylesheets, comments included), page
-    (a line with a template placeholder, which ``fill_links`` fills and reads) and,
-    with ``calls``, call (targets of ``url(...)``, comments included). Comments are
+    (lines with a template placeholder, and with them the whole of any import
+    statement that breaks over lines, which ``fill_links`` fills and reads) and, with ``calls``, call (targets of ``url(...)``, comments included). Comments are
     stripped before placeholders are filled, since a filled path may look like one.
     """
     shown = F.coalesce(F.col("content").contains("htmlWebpackPlugin"), F.lit(False))
@@ -81,7 +86,7 @@ def scan_links(
         F.col("content").alias("_all"),
         shown.alias("_marked"),
         strip_comments(F.col("content"), F.col("ext")).alias("_text"),
-    ).withColumn("_plain", F.when(F.col("_marked"), F.regexp_replace("_text", PLACEHOLDER_LINE, "")).otherwise(F.col("_text")))
+    ).withColumn("_plain", F.when(F.col("_marked"), F.regexp_replace("_text", PLACEHOLDER_LINES, "")).otherwise(F.col("_text")))
 
     def of(kind: str, found: Column) -> Column:
         return F.transform(found, lambda raw: F.struct(F.lit(kind).alias("kind"), raw.alias("raw")))
@@ -91,7 +96,7 @@ def scan_links(
         *[of("link", find_all(F.col("_plain"), p)) for p in patterns],
         of("import", find_all(F.col("_plain"), IMPORT_PATTERN.replace("{kw}", keyword), 1)),
         of("local", find_all(F.col("_all"), LOCAL_PATTERN.replace("{kw}", keyword), 1)),
-        of("page", F.when(F.col("_marked"), find_all(F.col("_text"), PLACEHOLDER_LINE)).otherwise(none)),
+        of("page", F.when(F.col("_marked"), find_all(F.col("_text"), PLACEHOLDER_LINES)).otherwise(none)),
     ]
     if calls:
         groups.append(of("call", find_all(F.col("_all"), URL_CALL, 1)))
@@ -112,7 +117,7 @@ def fill_placeholders(text: Column) -> Column:
 
 
 def fill_links(hits: DataFrame, paths: DataFrame, patterns: Sequence[str], keyword: str = KEYWORD) -> DataFrame:
-    """Turn page hits into link and import hits: only lines with a placeholder are joined and filled."""
+    """Turn page hits into link and import hits: only lines of statements with a placeholder are joined and filled."""
     line = fill_placeholders(F.col("raw"))
     pages = hits.filter(F.col("kind") == "page").join(paths, "project", "left").select("project", "path", line.alias("_line"))
     links = F.flatten(F.array(*[find_all(F.col("_line"), p) for p in patterns]))

@@ -156,3 +156,27 @@ def test_css_refs(spark):
     assert [r["resolved_url"] for r in usage.css_refs(ls).orderBy("line").collect()] == [
         "//h/iconfont/a.css", "//h/iconfont/c.css",
     ]
+
+
+def test_imports_that_break_over_lines_in_templates(spark):
+    from glyphledger.operators import links as lk
+
+    mark, other = "<%= htmlWebpackPlugin.options.path %>", "<%=htmlWebpackPlugin.options.assetsPublicPath%>"
+    pages = {
+        "one": f"@import\nurl({mark}iconfont/a.css)\n;",
+        "two": f"a {mark} @import\n\n'{other}iconfont/b.css';",
+        "plain first": f"@import\n'//o/iconfont/c.css'; x {mark}",
+        "open": f"@import\n{mark} x\nurl(//o/iconfont/d.css);",
+        "long": "x" * 50_000 + "\n" + "@import " * 2_000 + mark,
+        "none": "@import\n'//o/iconfont/e.css';",
+        "no path": f"<link href='{other}iconfont/f.css'>",
+    }
+    files = spark.createDataFrame([("p", k, "html", t) for k, t in pages.items()], "project string, path string, ext string, content string")
+    paths = spark.createDataFrame([("p", "//h/", "https://s/")], "project string, public_path string, assets_path string")
+    hits = lk.fill_links(lk.scan_links(files, ["//never/x"]), paths, ["//never/x"])
+    got = sorted((r["path"], r["url"]) for r in lk.hit_links(hits).collect())
+    # Searching the whole filled text gives the same.
+    filled = {k: t.replace(mark, "//h/").replace(other, "https://s/") for k, t in pages.items()}
+    whole = spark.createDataFrame([("p", k, "txt", t) for k, t in filled.items()], files.schema)
+    assert got == sorted((r["path"], r["url"]) for r in lk.extract_imports(whole).collect())
+    assert {k for k, _ in got} == {"one", "two", "plain first", "none"}
