@@ -46,6 +46,8 @@ KEYWORD = "iconfont"
 # An import statement over as many lines as it takes, its target before placeholders are filled,
 # and whole lines from the first to the last of those that hold a placeholder or such a statement.
 _STATEMENT = rf"""@import\s+(?:url\(\s*)?['"]?(?:{PLACEHOLDER}|[^'")\s;])*+['"]?\s*\)?\s*;"""
+# What stands for lines that are cut out: no statement can begin before it, go over it or end with it.
+_CUT = '"'
 PLACEHOLDER_LINES = rf"(?<![^\n])(?:[^\n]*?(?:{_STATEMENT}|{PLACEHOLDER}))+[^\n]*"
 
 
@@ -86,7 +88,7 @@ def scan_links(
         F.col("content").alias("_all"),
         shown.alias("_marked"),
         strip_comments(F.col("content"), F.col("ext")).alias("_text"),
-    ).withColumn("_plain", F.when(F.col("_marked"), F.regexp_replace("_text", PLACEHOLDER_LINES, "")).otherwise(F.col("_text")))
+    ).withColumn("_plain", F.when(F.col("_marked"), F.regexp_replace("_text", PLACEHOLDER_LINES, _CUT)).otherwise(F.col("_text")))
 
     def of(kind: str, found: Column) -> Column:
         return F.transform(found, lambda raw: F.struct(F.lit(kind).alias("kind"), raw.alias("raw")))
