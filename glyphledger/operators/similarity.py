@@ -390,66 +390,71 @@ def min_geo_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
     )
 
 
-def _path_points(xs: np.ndarray, ys: np.ndarray, on: np.ndarray) -> np.ndarray:
-    """Polyline of one closed contour of quadratic segments with implied midpoints."""
-    pts = np.column_stack([xs, ys])
-    n = len(pts)
-    if n == 0:
-        return pts
-    starts = np.flatnonzero(on)
-    if len(starts):
-        pts, on = np.roll(pts, -starts[0], axis=0), np.roll(on, -starts[0])
-        path, i = [pts[0]], 1
-    else:
-        path, i = [(pts[-1] + pts[0]) / 2], 0
-    t = np.linspace(0, 1, CURVE_STEPS + 1)[1:, None]
-    while i < n:
-        if on[i]:
-            path.append(pts[i])
-            i += 1
-            continue
-        # The curve ends on the next drawn point, or halfway to the next control point;
-        # a control point at the end curves halfway to the start and closes straight.
-        after = (i + 1) % n
-        ends_on = i + 1 < n and bool(on[after])
-        end = pts[after] if ends_on else (pts[i] + pts[after]) / 2
-        start = path[-1]
-        path.extend((1 - t) ** 2 * start + 2 * t * (1 - t) * pts[i] + t**2 * end)
-        i += 2 if ends_on else 1
-    return np.asarray(path)
-
-
-def _fill(xs, ys, on, lens) -> bytes | None:
-    """64x64 occupancy of one outline by non-zero winding at cell centres."""
-    if lens is None or len(lens) == 0:
-        return None
-    xs, ys = np.round(np.asarray(xs, float), 1), np.round(np.asarray(ys, float), 1)
-    on = np.asarray(on, bool)
-    cell = G.TARGET_UPM / GRID
+def _segments(pts: np.ndarray, on: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line segments (from, to, contour) of closed contours of quadratic curves with implied midpoints.
+
+    A curve starts on the drawn point before its control point, or halfway from the
+    control point before; it ends on the drawn point after, or halfway to the next
+    control point. A control point before the first drawn one curves halfway to it
+    and closes straight.
+    """
+    lens = lens[lens > 0]
+    contour = np.repeat(np.arange(len(lens)), lens)
+    first = np.cumsum(lens) - lens
+    at = np.arange(len(pts))
+    before = np.where(at == first[contour], (first + lens - 1)[contour], at - 1)
+    after = np.where(at == (first + lens - 1)[contour], first[contour], at + 1)
+    drawn = np.flatnonzero(on)
+    which, where = np.unique(contour[drawn], return_index=True)
+    start = np.full(len(lens), -1)
+    start[which] = drawn[where]
+
+    straight = np.flatnonzero(on & on[after])
+    bends = np.flatnonzero(~on)
+    last = after[bends] == start[contour[bends]]
+    halfway = lambda i, j: (pts[i] + pts[j]) / 2
+    begin = np.where(on[before[bends], None], pts[before[bends]], halfway(before[bends], bends))
+    end = np.where((on[after[bends]] & ~last)[:, None], pts[after[bends]], halfway(bends, after[bends]))
+    t = np.linspace(0, 1, CURVE_STEPS + 1)[None, :, None]
+    curve = (1 - t) ** 2 * begin[:, None] + 2 * t * (1 - t) * pts[bends][:, None] + t**2 * end[:, None]
+    return (
+        np.concatenate([pts[straight], curve[:, :-1].reshape(-1, 2), end[last]]),
+        np.concatenate([pts[after[straight]], curve[:, 1:].reshape(-1, 2), pts[after[bends[last]]]]),
+        np.concatenate([contour[straight], np.repeat(contour[bends], CURVE_STEPS), contour[bends[last]]]),
+    )
+
+
+def _fill_all(xs: list, ys: list, on: list, lens: list) -> np.ndarray:
+    """64x64 occupancy of outlines by non-zero winding at cell centres, 512 bytes each."""
+    n = len(lens)
+    flat = lambda parts, kind: np.concatenate([np.asarray(p, kind) for p in parts])
+    pts = np.column_stack([np.round(flat(xs, float), 1), np.round(flat(ys, float), 1)]) / (G.TARGET_UPM / GRID)
+    sizes = flat(lens, np.int64)
+    owner = np.repeat(np.arange(n), [len(k) for k in lens])[sizes > 0]
+    a, b, contour = _segments(pts, flat(on, bool), sizes)
     centres = np.arange(GRID) + 0.5
-    turns = np.zeros((GRID, GRID + 1), dtype=np.int32)
-    at = 0
-    for n in lens:
-        path = _path_points(xs[at : at + n], ys[at : at + n], on[at : at + n]) / cell
-        at += n
-        if len(path) < 2:
-            continue
-        x0, y0 = path.T
-        x1, y1 = np.roll(path, -1, axis=0).T
-        up = (y0[:, None] <= centres) & (y1[:, None] > centres)
-        down = (y1[:, None] <= centres) & (y0[:, None] > centres)
-        seg, row = np.nonzero(up | down)
-        share = (centres[row] - y0[seg]) / (y1[seg] - y0[seg])
-        cross = x0[seg] + share * (x1[seg] - x0[seg])
-        col = np.clip(np.ceil(cross - 0.5), 0, GRID).astype(int)
-        np.add.at(turns, (row, col), np.where(up[seg, row], 1, -1))
-    filled = np.cumsum(turns, axis=1)[:, :GRID] != 0
-    return np.packbits(filled).tobytes()
+    up = (a[:, 1, None] <= centres) & (b[:, 1, None] > centres)
+    down = (b[:, 1, None] <= centres) & (a[:, 1, None] > centres)
+    seg, row = np.nonzero(up | down)
+    share = (centres[row] - a[seg, 1]) / (b[seg, 1] - a[seg, 1])
+    cross = a[seg, 0] + share * (b[seg, 0] - a[seg, 0])
+    col = np.clip(np.ceil(cross - 0.5), 0, GRID).astype(int)
+    turns = np.zeros((n, GRID, GRID + 1), dtype=np.int32)
+    np.add.at(turns, (owner[contour[seg]], row, col), np.where(up[seg, row], 1, -1))
+    filled = np.cumsum(turns, axis=2)[:, :, :GRID] != 0
+    return np.packbits(filled.reshape(n, -1), axis=1)
 
 
 @F.pandas_udf(T.BinaryType())
 def _occupancy(xs: pd.Series, ys: pd.Series, on: pd.Series, lens: pd.Series) -> pd.Series:
-    return pd.Series([_fill(*row) for row in zip(xs, ys, on, lens, strict=True)], dtype=object)
+    out = pd.Series([None] * len(lens), dtype=object)
+    some = [i for i, k in enumerate(lens) if k is not None and len(k)]
+    for lo in range(0, len(some), _ROWS):
+        rows = some[lo : lo + _ROWS]
+        grids = _fill_all(*[[column.iloc[i] for i in rows] for column in (xs, ys, on, lens)])
+        for i, grid in zip(rows, grids, strict=True):
+            out.iloc[i] = grid.tobytes()
+    return out
 
 
 def occupancy(contours: Column) -> Column:
@@ -457,64 +462,261 @@ def occupancy(contours: Column) -> Column:
     return _occupancy(*G.flat_arrays(contours))
 
 
-def _bits(pdf: pd.DataFrame) -> np.ndarray:
-    raw = np.frombuffer(b"".join(pdf["cells"]), dtype=np.uint8).reshape(len(pdf), -1)
-    return np.unpackbits(raw, axis=1).astype(np.float32)
-
-
-def _occupancy_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
-    """Least and largest number of equal grid cells in one cell, and their sum over all copies."""
-    same = right is None
-    if left.empty or (not same and right.empty):
-        return None, None, 0
-    a, n = _bits(left), left["n"].to_numpy()
-    b, m = (a, n) if same else (_bits(right), right["n"].to_numpy())
-    filled_a, filled_b = a.sum(axis=1), b.sum(axis=1)
-    lo = hi = None
-    total = 0
-    for at in range(0, len(a), _ROWS):
-        rows = slice(at, at + _ROWS)
-        equal = a.shape[1] - filled_a[rows, None] - filled_b[None, :] + 2 * (a[rows] @ b.T)
-        equal = equal.astype(np.int64)
-        wanted = np.ones(equal.shape, bool)
-        if same:
-            wanted = np.arange(len(b))[None, :] > np.arange(at, at + len(equal))[:, None]
-        if wanted.any():
-            seen = equal[wanted]
-            lo = int(seen.min()) if lo is None else min(lo, int(seen.min()))
-            hi = int(seen.max()) if hi is None else max(hi, int(seen.max()))
-            total += int(n[rows] @ np.where(wanted, equal, 0) @ m)
-    return lo, hi, total
+_CELLS = GRID * GRID
+_PARTS = 4  # parts of a grid whose differences from the middle are counted apart
+
+
+def _words(cells: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(cells), dtype=np.uint64).reshape(len(cells), -1)
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _differing(cells: pd.Series, others: pd.Series) -> pd.Series:
+    """Cells in which two grids differ, for each part of the grid."""
+    if cells.empty:
+        return pd.Series([], dtype=object)
+    counts = np.bitwise_count(_words(cells) ^ _words(others)).reshape(len(cells), _PARTS, -1)
+    return pd.Series(list(counts.sum(axis=2, dtype=np.int32)))
+
+
+@F.pandas_udf(T.BinaryType())
+def _packed(bits: pd.Series) -> pd.Series:
+    return pd.Series([np.packbits(np.asarray(b, bool)).tobytes() for b in bits], dtype=object)
+
+
+def _total(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0), lambda s, v: s + v)
+
+
+def cell_counts(folded: DataFrame, cell: int = CELL) -> DataFrame:
+    """(group_id, variants, filled, squares, middle) over (group_id, variant_id, cells, n).
+
+    ``filled`` adds up the grids that fill each cell and ``squares`` the squares of
+    these numbers: all that a sum over pairs needs. ``middle`` has the cells that
+    more than half of the grids fill. Pieces of about ``cell`` rows are counted
+    first; only groups of several pieces move their counts, one row per grid cell.
+    """
+    sizes = folded.groupBy("group_id").agg(F.count(F.lit(1)).alias("_rows"), F.sum("n").alias("variants"))
+    strips = F.ceil(F.col("_rows") / cell).cast("int")
+    dealt = folded.join(sizes, "group_id").select(
+        "group_id", "variants", "cells", "n", strips.alias("_strips"), F.pmod(F.xxhash64("variant_id"), strips).alias("_strip")
+    )
+
+    def tally(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        k = np.zeros(_CELLS, np.int64)
+        for lo in range(0, len(pdf), _ROWS):
+            rows = pdf.iloc[lo : lo + _ROWS]
+            bits = np.unpackbits(_words(rows["cells"]).view(np.uint8), axis=1)
+            k += rows["n"].to_numpy() @ bits.astype(np.int64)
+        return pd.DataFrame({"group_id": [key[0]], "variants": [key[2]], "whole": [key[3] == 1], "counts": [k]})
+
+    pieces = materialize(
+        dealt.groupBy("group_id", "_strip", "variants", "_strips").applyInPandas(
+            tally, "group_id string, variants long, whole boolean, counts array<long>"
+        )
+    )
+    split = pieces.filter(~F.col("whole"))
+    added = split.select("group_id", "variants", F.posexplode("counts").alias("pos", "k")).groupBy("group_id", "pos").agg(
+        F.max("variants").alias("variants"), F.sum("k").alias("k")
+    )
+    # One row per grid cell: the list has 4,096 members whatever the group holds.
+    lists = added.groupBy("group_id").agg(
+        F.max("variants").alias("variants"),
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "k"))), lambda c: c["k"]).alias("counts"),
+    )
+    wide = "decimal(38,0)"
+    return (
+        pieces.filter("whole")
+        .select("group_id", "variants", "counts")
+        .unionByName(lists)
+        .select(
+            "group_id",
+            "variants",
+            F.aggregate("counts", F.lit(0).cast("long"), lambda s, k: s + k).alias("filled"),
+            F.aggregate(
+                "counts", F.lit(0).cast(wide), lambda s, k: (s + k.cast("decimal(19,0)") * k.cast("decimal(19,0)")).cast(wide)
+            ).alias("squares"),
+            _packed(F.transform("counts", lambda k: 2 * k > F.col("variants"))).alias("middle"),
+        )
+    )
+
+
+def _unlike_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
+    """Most cells in which a pair differs, above a number known, and how many pairs were formed."""
+    if left.empty or (right is not None and right.empty):
+        return None, 0
+    other = left if right is None else right
+    a, da = _words(left["cells"]), np.stack(left["far"])
+    order = np.argsort(-np.stack(other["far"])[:, 0], kind="stable")
+    b, db = _words(other["cells"])[order], np.stack(other["far"])[order]
+    best, found, formed = int(left["above"].iloc[0]), None, 0
+    for i in np.argsort(-da[:, 0], kind="stable"):
+        near = np.searchsorted(-db[:, 0], da[i, 0] - best)
+        mates = np.flatnonzero((da[i] + db[:near]).min(axis=1) > best)
+        if right is None:
+            mates = mates[order[mates] > i]
+        if len(mates):
+            formed += len(mates)
+            most = int(np.bitwise_count(b[mates] ^ a[i]).sum(axis=1, dtype=np.int64).max())
+            if most > best:
+                found = best = most
+    return found, formed
+
+
+def _alike_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
+    """Fewest cells in which a pair differs, below a number known, and how many pairs were formed."""
+    if left.empty or (right is not None and right.empty):
+        return None, 0
+    other = left if right is None else right
+    a, pa = _words(left["cells"]), np.stack(left["parts"])
+    sums = np.stack(other["parts"]).sum(axis=1)
+    order = np.argsort(sums, kind="stable")
+    b, pb, sums = _words(other["cells"])[order], np.stack(other["parts"])[order], sums[order]
+    best, found, formed = int(left["below"].iloc[0]), None, 0
+    for i in range(len(a)):
+        lo, hi = np.searchsorted(sums, [pa[i].sum() - best + 1, pa[i].sum() + best])
+        mates = lo + np.flatnonzero(np.abs(pb[lo:hi] - pa[i]).sum(axis=1) < best)
+        if right is None:
+            mates = mates[order[mates] > i]
+        if len(mates):
+            formed += len(mates)
+            least = int(np.bitwise_count(b[mates] ^ a[i]).sum(axis=1, dtype=np.int64).min())
+            if least < best:
+                found = best = least
+    return found, formed
+
+
+def _neighbours(rows: DataFrame) -> DataFrame:
+    """(group_id, gap): cells in which grids differ that stand side by side in some sort of their group."""
+
+    def gaps(batches):
+        last = None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            groups, words = pdf["group_id"].to_numpy(), _words(pdf["cells"])
+            if last is not None:
+                groups, words = np.concatenate([last[0], groups]), np.concatenate([last[1], words])
+            last = groups[-1:], words[-1:]
+            same = groups[1:] == groups[:-1]
+            gap = np.bitwise_count(words[1:] ^ words[:-1]).sum(axis=1, dtype=np.int64)
+            found = pd.DataFrame({"group_id": groups[1:][same], "gap": gap[same]})
+            yield found.groupby("group_id", as_index=False)["gap"].min()
+
+    sorts = [["group_id", "cells"], ["group_id", "tail"], ["group_id", "parts", "cells"]]
+    slim = rows.select("group_id", "cells", "parts", F.reverse(F.hex("cells")).alias("tail"))
+    found = [slim.repartitionByRange(*s).sortWithinPartitions(*s).select("group_id", "cells").mapInPandas(gaps, "group_id string, gap long") for s in sorts]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def extreme_pairs(folded: DataFrame, middles: DataFrame, cell: int = CELL) -> DataFrame:
+    """(group_id, widest, nearest, formed): cells in which the least and the most alike pair of grids differ.
+
+    ``folded`` has distinct grids (group_id, variant_id, cells), ``middles`` a grid
+    (group_id, middle) for every group. The number of differing cells is a metric.
+    Its largest value is bounded by the distances to the middle and to two far ends;
+    only grids that can beat the widest pair known meet. Grids side by side in three
+    sorts bound its smallest value by some ``r``. The distances to the middle within
+    parts of the grid then differ by less than ``r`` in a nearer pair, so grids meet
+    in boxes of that width, a pair at the larger of its corners; where ``r`` is 1 no
+    pair can be nearer. Exact. What the bounds leave is compared in cells of bounded
+    size; it is quadratic for grids whose parts all lie at the same distances.
+    """
+    several = folded.groupBy("group_id").agg(F.count(F.lit(1)).alias("grids")).filter("grids > 1").select("group_id")
+    rows = materialize(
+        folded.join(several, "group_id")
+        .join(middles, "group_id")
+        .select("group_id", "variant_id", "cells", _differing(F.col("cells"), F.col("middle")).alias("parts"))
+        .withColumn("far0", _total(F.col("parts")))
+    )
+    for k in (1, 2):
+        end = rows.groupBy("group_id").agg(F.max_by("cells", F.struct(f"far{k - 1}", "variant_id")).alias("end"))
+        rows = materialize(
+            rows.join(materialize(end), "group_id")
+            .withColumn(f"far{k}", _total(_differing(F.col("cells"), F.col("end"))))
+            .drop("end")
+        )
+    ends = rows.groupBy("group_id").agg(
+        F.max(F.greatest("far1", "far2")).cast("long").alias("above"),
+        F.min(F.least(F.nullif("far1", F.lit(0)), F.nullif("far2", F.lit(0)))).cast("long").alias("beside"),
+        *[F.max(f"far{k}").alias(f"reach{k}") for k in range(3)],
+    )
+    side = _neighbours(rows).groupBy("group_id").agg(F.min("gap").alias("gap"))
+    bounds = materialize(ends.join(side, "group_id", "left").withColumn("below", F.least("beside", "gap")))
+
+    can_beat = [F.col(f"far{k}") + F.col(f"reach{k}") > F.col("above") for k in range(3)]
+    wanted = rows.join(bounds, "group_id").filter(can_beat[0] & can_beat[1] & can_beat[2])
+    unlike = pairs_in_cells(
+        wanted.select("group_id", "variant_id", "cells", F.array("far0", "far1", "far2").alias("far"), "above"),
+        _unlike_cell,
+        "widest long, formed long",
+        cell,
+    )
+    corner = F.array(F.lit(0), F.lit(1))
+    boxes = rows.join(bounds.filter("below > 1"), "group_id").select(
+        "group_id", "variant_id", "below", F.transform("parts", lambda p: F.floor(p / F.col("below"))).alias("box")
+    )
+    for k in range(_PARTS):
+        boxes = boxes.withColumn(f"s{k}", F.explode(corner))
+    shift = F.array(*[F.col(f"s{k}") for k in range(_PARTS)])
+    name = F.concat_ws(",", F.zip_with("box", shift, lambda c, s: (c + s).cast("string")))
+    # The group follows the first bar, whatever it holds itself.
+    boxes = materialize(boxes.select(F.concat(name, F.lit("|"), F.col("group_id")).alias("box"), "group_id", "variant_id", "below"))
+    shared = boxes.groupBy("box").agg(F.count(F.lit(1)).alias("grids")).filter("grids > 1").select("box")
+    met = boxes.join(shared, "box").join(rows.select("group_id", "variant_id", "cells", "parts"), ["group_id", "variant_id"])
+    alike = pairs_in_cells(
+        met.select(F.col("box").alias("group_id"), "variant_id", "cells", "parts", "below"),
+        _alike_cell,
+        "nearest long, formed long",
+        cell,
+    ).withColumn("group_id", F.expr("substring(group_id, instr(group_id, '|') + 1)"))
+    found = (
+        unlike.withColumn("nearest", F.lit(None).cast("long"))
+        .unionByName(alike.withColumn("widest", F.lit(None).cast("long")))
+        .groupBy("group_id")
+        .agg(F.max("widest").alias("wider"), F.min("nearest").alias("nearer"), F.sum("formed").alias("formed"))
+    )
+    return bounds.join(found, "group_id", "left").select(
+        "group_id",
+        F.greatest("above", "wider").alias("widest"),
+        F.least("below", "nearer").alias("nearest"),
+        F.coalesce("formed", F.lit(0)).cast("long").alias("formed"),
+    )
 
 
 def occupancy_similarity(variants: DataFrame, cell: int = CELL) -> DataFrame:
     """Min, max and mean share of equal grid cells over the pairs of each group.
 
-    Variants with the same grid fold into one row with a count before any pair is formed.
+    The mean follows from how many grids fill each cell, without pairs. Variants
+    with the same grid fold into one row with a count; the extremes of the others
+    come from ``extreme_pairs``.
     """
-    grid = GRID * GRID
     folded = materialize(
         variants.filter(F.size("contours") > 0)
         .select("group_id", "variant_id", occupancy(F.col("contours")).alias("cells"))
         .groupBy("group_id", "cells")
         .agg(F.count(F.lit(1)).alias("n"), F.min("variant_id").alias("variant_id"))
     )
-    cells = (
-        pairs_in_cells(folded, _occupancy_cell, "lo long, hi long, total long", cell)
-        .groupBy("group_id")
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("total").alias("total"))
-    )
+    counts = materialize(cell_counts(folded, cell))
+    ends = extreme_pairs(folded, counts.select("group_id", "middle"), cell)
     pair_n = lambda c: F.floor(c * (c - 1) / 2).cast("long")
-    sizes = folded.groupBy("group_id").agg(pair_n(F.sum("n")).alias("pairs"), F.sum(pair_n(F.col("n"))).alias("twins"))
-    twins = F.col("twins") > 0
-    known = sizes.join(cells, "group_id", "left").select(
-        "group_id",
-        "pairs",
-        F.coalesce("lo", F.when(twins, grid)).alias("lo"),
-        F.when(twins, grid).otherwise(F.col("hi")).alias("hi"),
-        (F.coalesce("total", F.lit(0)) + F.col("twins") * grid).alias("total"),
+    twins = folded.groupBy("group_id").agg((F.max("n") > 1).alias("twins"))
+    n = F.col("variants").cast("decimal(19,0)")
+    # Grids that both fill a cell or both leave it: C(k, 2) + C(n - k, 2), summed over the cells.
+    equal = F.col("squares") - n * F.col("filled").cast("decimal(19,0)") + F.col("pairs").cast("decimal(25,0)") * F.lit(_CELLS)
+    known = (
+        counts.join(twins, "group_id")
+        .join(ends, "group_id", "left")
+        .withColumn("pairs", pair_n(F.col("variants")))
+        .select(
+            "group_id",
+            "pairs",
+            (F.lit(_CELLS) - F.coalesce("widest", F.when(F.col("twins"), 0))).alias("lo"),
+            (F.lit(_CELLS) - F.when(F.col("twins"), 0).otherwise(F.col("nearest"))).alias("hi"),
+            equal.cast("double").alias("total"),
+        )
     )
-    share = lambda c: F.coalesce(F.round(c / F.lit(float(grid)), 4), F.lit(0.0))
+    share = lambda c: F.coalesce(F.round(c / F.lit(float(_CELLS)), 4), F.lit(0.0))
     return (
         variants.select("group_id")
         .distinct()

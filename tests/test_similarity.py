@@ -95,10 +95,9 @@ def test_pairs_formed_stay_near_linear(spark):
 
 
 def cells_of(outline):
-    raw = sim._fill(
-        [p[0] for c in outline for p in c], [p[1] for c in outline for p in c], [p[2] for c in outline for p in c], [len(c) for c in outline]
-    )
-    return np.unpackbits(np.frombuffer(raw, dtype=np.uint8)).reshape(64, 64)
+    points = [p for c in outline for p in c]
+    raw = sim._fill_all([[p[0] for p in points]], [[p[1] for p in points]], [[p[2] for p in points]], [[len(c) for c in outline]])
+    return np.unpackbits(raw[0]).reshape(64, 64)
 
 
 def test_fill_counts_cells():
@@ -140,6 +139,102 @@ def test_occupancy_equals_all_pairs(spark, cell):
         assert r["avg_score"] == pytest.approx(sum(scores) / len(scores), abs=6e-5)
 
 
+def plain_path(points):
+    """Vertices of one closed contour, walked point by point."""
+    drawn = [i for i, p in enumerate(points) if p[2]]
+    n = len(points)
+    half = lambda p, q: ((p[0] + q[0]) / 2, (p[1] + q[1]) / 2)
+    points = points[drawn[0] :] + points[: drawn[0]] if drawn else points
+    path, i = ([points[0][:2]], 1) if drawn else ([half(points[-1], points[0])], 0)
+    while i < n:
+        p, nxt = points[i], points[(i + 1) % n]
+        if p[2]:
+            path.append(p[:2])
+            i += 1
+            continue
+        on_point = i + 1 < n and nxt[2]
+        end, start = nxt[:2] if on_point else half(p, nxt), path[-1]
+        for t in [k / 8 for k in range(1, 9)]:
+            path.append(tuple((1 - t) * (1 - t) * start[k] + 2 * t * (1 - t) * p[k] + t * t * end[k] for k in (0, 1)))
+        i += 2 if on_point else 1
+    return path
+
+
+def plain_cells(outline):
+    """Winding number of every cell centre, one edge at a time."""
+    turns = np.zeros((64, 64), int)
+    for contour in outline:
+        path = plain_path(contour) if contour else []
+        for (x0, y0), (x1, y1) in zip(path, path[1:] + path[:1], strict=True):
+            for row in range(64):
+                y = 16 * row + 8
+                if (y0 <= y) != (y1 <= y):
+                    x = x0 + (y - y0) / (y1 - y0) * (x1 - x0)
+                    turns[row, [c for c in range(64) if 16 * c + 8 >= x]] += 1 if y1 > y else -1
+    return turns != 0
+
+
+def test_fill_equals_walked_paths():
+    rnd = random.Random(3)
+    outlines = [
+        [
+            [(float(rnd.randint(-50, 1100)), float(rnd.randint(-50, 1100)), rnd.random() < share) for _ in range(rnd.randint(0, 9))]
+            for _ in range(rnd.randint(1, 4))
+        ]
+        for share in (0.0, 0.2, 0.5, 0.8, 1.0)
+        for _ in range(30)
+    ]
+    parts = [[[p[k] for c in o for p in c] for o in outlines] for k in (0, 1, 2)]
+    got = np.unpackbits(sim._fill_all(*parts, [[len(c) for c in o] for o in outlines]), axis=1)
+    for o, cells in zip(outlines, got, strict=True):
+        assert (cells.reshape(64, 64) == plain_cells(o)).all(), o
+
+
+GRIDS = "group_id string, variant_id string, cells binary, n long"
+
+
+def grid_rows(group, grids):
+    return [(group, f"{i:08d}", np.packbits(g).tobytes(), 1) for i, g in enumerate(np.unique(grids, axis=0))]
+
+
+@pytest.mark.parametrize("cell", [3, 4096])
+def test_extreme_grids_equal_all_pairs(spark, cell):
+    """Groups of grids near a middle, far from each other, and in clusters."""
+    rng = np.random.default_rng(8)
+    rows, want = [], {}
+    for g in range(24):
+        n, flips = int(rng.integers(2, 40)), [1, 2, 5, 40, 600, 2000][g % 6]
+        bases = rng.random((1 + g % 3, 4096)) < 0.4
+        grids = np.unique(bases[rng.integers(0, len(bases), n)] ^ (rng.random((n, 4096)) < flips / 4096), axis=0)
+        rows += grid_rows(f"a|{g}", grids)
+        gaps = [int((p != q).sum()) for i, p in enumerate(grids) for q in grids[:i]]
+        equal = [4096 - x for x in gaps]
+        want[f"a|{g}"] = (max(gaps), min(gaps), sum(equal)) if gaps else None
+    folded = spark.createDataFrame(rows, GRIDS)
+    counts = sim.cell_counts(folded, cell)
+    sums = {r["group_id"]: r for r in counts.collect()}
+    got = {r["group_id"]: r for r in sim.extreme_pairs(folded, counts.select("group_id", "middle"), cell).collect()}
+    assert set(got) == {g for g, w in want.items() if w}
+    for g, r in got.items():
+        n = sums[g]["variants"]
+        assert (r["widest"], r["nearest"]) == want[g][:2], g
+        assert int(sums[g]["squares"]) - n * sums[g]["filled"] + 4096 * n * (n - 1) // 2 == want[g][2]
+
+
+def test_grid_pairs_formed_stay_few(spark):
+    """20,000 grids a few cells from a common one: the bounds leave a sliver of 200 million pairs."""
+    rng = np.random.default_rng(9)
+    n = 20_000
+    grids = np.repeat(rng.random((1, 4096)) < 0.4, n, axis=0)
+    for i in range(n):
+        grids[i, rng.integers(0, 4096, 1 + int(rng.geometric(0.3)))] ^= True
+    rows = grid_rows("g", grids)
+    folded = spark.createDataFrame(rows, GRIDS).repartition(8)
+    (got,) = sim.extreme_pairs(folded, sim.cell_counts(folded).select("group_id", "middle")).collect()
+    assert got["nearest"] == 1
+    assert got["formed"] < 20 * len(rows)
+
+
 def test_rule_prefers_occupancy_then_geometry(spark):
     rec = spark.createDataFrame(
         [("unicode_conflict", g, 2) for g in "abcde"] + [("glyph_duplicate", "f", 1)], "type string, group_id string, variant_count long"
