@@ -96,7 +96,47 @@ def least_alike_pair(spark, sf):
     return least.select("group_id", F.round("min_similarity", 6).alias("min_similarity"))
 
 
-@query("F4")
+# Filling of curved outlines: line segments, their crossings with the rows of cell centres, winding numbers, grids as bits.
+part(
+    "curve_point_fx",
+    """SELECT group_id, variant_id, k, i, i % 3 <> 2 AS on_curve, round_even(p.x * 10, 0) / 10 / 16 AS x, round_even(p.y * 10, 0) / 10 / 16 AS y FROM (
+  SELECT group_id, variant_id, k, unnest(c) AS p, unnest(range(len(c))) AS i FROM (
+    SELECT group_id, variant_id, unnest(contours) AS c, unnest(range(len(contours))) AS k FROM pair_fx))""",
+)
+part(
+    "curve_edge_fx",
+    """WITH ring AS (SELECT p.*, b.on_curve AS on_before, b.x AS xb, b.y AS yb, a.on_curve AS on_after, a.x AS xa, a.y AS ya FROM curve_point_fx p
+  JOIN curve_point_fx b ON b.variant_id = p.variant_id AND b.k = p.k AND b.i = (p.i + 7) % 8
+  JOIN curve_point_fx a ON a.variant_id = p.variant_id AND a.k = p.k AND a.i = (p.i + 1) % 8),
+bend AS (SELECT group_id, variant_id, x, y, CASE WHEN on_before THEN xb ELSE (xb + x) / 2 END AS sx, CASE WHEN on_before THEN yb ELSE (yb + y) / 2 END AS sy,
+    CASE WHEN on_after THEN xa ELSE (x + xa) / 2 END AS ex, CASE WHEN on_after THEN ya ELSE (y + ya) / 2 END AS ey FROM ring WHERE NOT on_curve),
+step AS (SELECT *, j / 8::DOUBLE AS t, (j + 1) / 8::DOUBLE AS u FROM bend, range(8) r(j))
+SELECT group_id, variant_id, x AS x0, y AS y0, xa AS x1, ya AS y1 FROM ring WHERE on_curve AND on_after
+UNION ALL SELECT group_id, variant_id, (1-t)*(1-t)*sx + 2*t*(1-t)*x + t*t*ex, (1-t)*(1-t)*sy + 2*t*(1-t)*y + t*t*ey,
+  (1-u)*(1-u)*sx + 2*u*(1-u)*x + u*u*ex, (1-u)*(1-u)*sy + 2*u*(1-u)*y + u*u*ey FROM step""",
+)
+part(
+    "curve_grid_fx",
+    """WITH crossing AS (SELECT group_id, variant_id, r, greatest(0, least(64, ceil(x0 + (r + 0.5::DOUBLE - y0) / (y1 - y0) * (x1 - x0) - 0.5::DOUBLE)))::BIGINT AS c,
+    CASE WHEN y1 > r + 0.5::DOUBLE THEN 1 ELSE -1 END AS turn
+  FROM curve_edge_fx, range(64) t(r) WHERE (y0 <= r + 0.5::DOUBLE) <> (y1 <= r + 0.5::DOUBLE)),
+turned AS (SELECT variant_id, r, c, sum(turn) AS turn FROM crossing GROUP BY 1, 2, 3),
+wound AS (SELECT v.group_id, v.variant_id, rr.r, cc.c, sum(coalesce(turn, 0)) OVER (PARTITION BY v.variant_id, rr.r ORDER BY cc.c) AS turns
+  FROM pair_fx v CROSS JOIN range(64) rr(r) CROSS JOIN range(64) cc(c) LEFT JOIN turned t ON t.variant_id = v.variant_id AND t.r = rr.r AND t.c = cc.c)
+SELECT group_id, variant_id, string_agg(CASE WHEN turns <> 0 THEN '1' ELSE '0' END, '' ORDER BY r, c)::BIT AS grid FROM wound GROUP BY 1, 2""",
+)
+part(
+    "curve_score_fx",
+    """SELECT g.group_id, coalesce(round(lo / 4096.0::DOUBLE, 4), 0) AS min_score, coalesce(round(hi / 4096.0::DOUBLE, 4), 0) AS max_score,
+  coalesce(round(mean / 4096.0::DOUBLE, 4), 0) AS avg_score, coalesce(n, 0) AS pair_count
+FROM (SELECT DISTINCT group_id FROM pair_fx) g LEFT JOIN (
+  SELECT group_id, min(same) AS lo, max(same) AS hi, sum(same)::DOUBLE / count(*) AS mean, count(*) AS n FROM (
+    SELECT a.group_id, 4096 - bit_count(xor(a.grid, b.grid)) AS same
+    FROM curve_grid_fx a JOIN curve_grid_fx b ON a.group_id = b.group_id AND a.variant_id < b.variant_id) GROUP BY 1) s ON s.group_id = g.group_id""",
+)
+
+
+@query("F4", "SELECT * FROM curve_score_fx")
 def occupancy_scores(spark, sf):
     return sim.occupancy_similarity(variants_by_label(spark, sf))
 
@@ -118,7 +158,15 @@ def false_positives_by_geometry(spark, sf):
     return flagged.drop("type", "variant_count")
 
 
-@query("F5")
+@query(
+    "F5",
+    """SELECT 'unicode_conflict' AS type, c.group_id, (SELECT count(*) FROM pair_fx p WHERE p.group_id = c.group_id) AS variant_count,
+  CASE WHEN pairs > 0 THEN min_score >= 0.9 OR least >= 0.9 END AS is_false_positive,
+  CASE WHEN pairs > 0 THEN round(CASE WHEN min_score < 0.9 AND least >= 0.9 THEN least ELSE min_score END, 4) END AS similarity_score,
+  CASE WHEN pairs > 0 THEN CASE WHEN min_score < 0.9 AND least >= 0.9 THEN 'geometric' ELSE 'visual' END END AS similarity_type,
+  CASE WHEN pairs > 0 AND (min_score >= 0.9 OR least >= 0.9) THEN 'merge_as_same_glyph' END AS recommendation
+FROM curve_score_fx c LEFT JOIN least_fx l ON l.group_id = c.group_id""",
+)
 def false_positives_by_both(spark, sf):
     records, v = _label_records(spark, sf), variants_by_label(spark, sf)
     visual = sim.occupancy_similarity(v)

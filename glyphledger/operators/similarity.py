@@ -587,26 +587,29 @@ def _alike_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
-    """(group_id, gap): cells in which grids differ that stand side by side in some sort of their group."""
+    """(group_id, gap): cells in which grids differ that stand side by side in one of three sorts of their group."""
 
     def gaps(batches):
         last = None
         for pdf in batches:
             if pdf.empty:
                 continue
-            groups, words = pdf["group_id"].to_numpy(), _words(pdf["cells"])
+            groups, words = (pdf["group_id"] + pdf["sort"].astype(str)).to_numpy(), _words(pdf["cells"])
+            names = pdf["group_id"].to_numpy()
             if last is not None:
-                groups, words = np.concatenate([last[0], groups]), np.concatenate([last[1], words])
-            last = groups[-1:], words[-1:]
+                groups, words, names = (np.concatenate(p) for p in zip(last, (groups, words, names), strict=True))
+            last = groups[-1:], words[-1:], names[-1:]
             same = groups[1:] == groups[:-1]
             gap = np.bitwise_count(words[1:] ^ words[:-1]).sum(axis=1, dtype=np.int64)
-            found = pd.DataFrame({"group_id": groups[1:][same], "gap": gap[same]})
+            found = pd.DataFrame({"group_id": names[1:][same], "gap": gap[same]})
             yield found.groupby("group_id", as_index=False)["gap"].min()
 
-    sorts = [["group_id", "cells"], ["group_id", "tail"], ["group_id", "parts", "cells"]]
-    slim = rows.select("group_id", "cells", "parts", F.reverse(F.hex("cells")).alias("tail"))
-    found = [slim.repartitionByRange(*s).sortWithinPartitions(*s).select("group_id", "cells").mapInPandas(gaps, "group_id string, gap long") for s in sorts]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    by_part = F.concat(*[F.lpad(F.hex(F.col("parts")[k]), 4, "0") for k in range(_PARTS)])
+    keys = F.array(F.hex("cells"), F.reverse(F.hex("cells")), by_part)
+    sort = ["group_id", "sort", "at"]
+    sorts = rows.select("group_id", "cells", F.posexplode(keys).alias("sort", "at"))
+    dealt = sorts.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    return dealt.select("group_id", "sort", "cells").mapInPandas(gaps, "group_id string, gap long")
 
 
 def extreme_pairs(folded: DataFrame, middles: DataFrame, cell: int = CELL) -> DataFrame:
@@ -618,8 +621,8 @@ def extreme_pairs(folded: DataFrame, middles: DataFrame, cell: int = CELL) -> Da
     only grids that can beat the widest pair known meet. Grids side by side in three
     sorts bound its smallest value by some ``r``. The distances to the middle within
     parts of the grid then differ by less than ``r`` in a nearer pair, so grids meet
-    in boxes of that width, a pair at the larger of its corners; where ``r`` is 1 no
-    pair can be nearer. Exact. What the bounds leave is compared in cells of bounded
+    in boxes of that width over two halves, a pair at the larger of its corners; where
+    ``r`` is 1 no pair can be nearer. Exact. What the bounds leave is compared in cells of bounded
     size; it is quadratic for grids whose parts all lie at the same distances.
     """
     several = folded.groupBy("group_id").agg(F.count(F.lit(1)).alias("grids")).filter("grids > 1").select("group_id")
@@ -632,11 +635,12 @@ def extreme_pairs(folded: DataFrame, middles: DataFrame, cell: int = CELL) -> Da
     for k in (1, 2):
         end = rows.groupBy("group_id").agg(F.max_by("cells", F.struct(f"far{k - 1}", "variant_id")).alias("end"))
         rows = materialize(
-            rows.join(materialize(end), "group_id")
+            rows.join(end, "group_id")
             .withColumn(f"far{k}", _total(_differing(F.col("cells"), F.col("end"))))
             .drop("end")
         )
     ends = rows.groupBy("group_id").agg(
+        F.count(F.lit(1)).alias("grids"),
         F.max(F.greatest("far1", "far2")).cast("long").alias("above"),
         F.min(F.least(F.nullif("far1", F.lit(0)), F.nullif("far2", F.lit(0)))).cast("long").alias("beside"),
         *[F.max(f"far{k}").alias(f"reach{k}") for k in range(3)],
@@ -652,16 +656,18 @@ def extreme_pairs(folded: DataFrame, middles: DataFrame, cell: int = CELL) -> Da
         "widest long, formed long",
         cell,
     )
-    corner = F.array(F.lit(0), F.lit(1))
-    boxes = rows.join(bounds.filter("below > 1"), "group_id").select(
-        "group_id", "variant_id", "below", F.transform("parts", lambda p: F.floor(p / F.col("below"))).alias("box")
-    )
-    for k in range(_PARTS):
-        boxes = boxes.withColumn(f"s{k}", F.explode(corner))
-    shift = F.array(*[F.col(f"s{k}") for k in range(_PARTS)])
-    name = F.concat_ws(",", F.zip_with("box", shift, lambda c, s: (c + s).cast("string")))
+    # A group of few grids is one box: its comparisons are bounded, and copies in four boxes cost more.
+    few = F.col("grids") <= cell // 4
+    near = rows.join(bounds.filter("below > 1"), "group_id")
+    corner = F.when(few, F.array(F.lit(None).cast("long"))).otherwise(F.array(F.lit(0), F.lit(1)))
+    halves = [F.floor((F.col("parts")[k] + F.col("parts")[k + 1]) / F.col("below")) for k in (0, 2)]
+    named = F.concat_ws(",", *[(half + F.col(c)).cast("string") for half, c in zip(halves, "xy", strict=True)])
     # The group follows the first bar, whatever it holds itself.
-    boxes = materialize(boxes.select(F.concat(name, F.lit("|"), F.col("group_id")).alias("box"), "group_id", "variant_id", "below"))
+    boxes = materialize(
+        near.withColumn("x", F.explode(corner))
+        .withColumn("y", F.explode(corner))
+        .select(F.concat(named, F.lit("|"), F.col("group_id")).alias("box"), "group_id", "variant_id", "below")
+    )
     shared = boxes.groupBy("box").agg(F.count(F.lit(1)).alias("grids")).filter("grids > 1").select("box")
     met = boxes.join(shared, "box").join(rows.select("group_id", "variant_id", "cells", "parts"), ["group_id", "variant_id"])
     alike = pairs_in_cells(

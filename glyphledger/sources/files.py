@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from functools import reduce
 
 import pandas as pd
 from pyarrow import fs
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 
 from glyphledger.functions.text import extension
 from glyphledger.operators.links import fill_placeholders
+from glyphledger.session import materialize
 
 # Directories never entered, extensions read as source, config file names.
 EXCLUDED_DIRS = (
@@ -50,6 +53,18 @@ def wanted_file(
     return kind & ~F.arrays_overlap(dirs, F.array(*[F.lit(d) for d in exclude]))
 
 
+def open_store(root: str) -> tuple[fs.FileSystem, str]:
+    """File system of a folder, and the folder's path in it."""
+    uri = re.sub(r"\As3[an]:", "s3:", re.sub(r"\Afile:/+", "/", root))
+    store, base = fs.FileSystem.from_uri(uri)
+    return store, base.rstrip("/")
+
+
+def _tail(root: str) -> str:
+    """What the full path of a file below a folder has in front of the path below it, without scheme and host."""
+    return re.sub(r"\A[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
+
+
 def scan_files(spark: SparkSession, root: str, **rules) -> DataFrame:
     """(project, path, ext, content) of every wanted file; project is the first directory.
 
@@ -58,7 +73,7 @@ def scan_files(spark: SparkSession, root: str, **rules) -> DataFrame:
     with a dot or an underscore, such as ``.env`` files and style partials;
     these come from ``_hidden_files``.
     """
-    tail = root.split("://")[-1].rstrip("/") + "/"
+    tail = _tail(root)
     full = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     rel = F.substring_index(full, tail, -1)
     shown = (
@@ -83,65 +98,67 @@ def _is_hidden(name: str) -> bool:
 def _hidden_files(spark: SparkSession, root: str, rules: dict) -> DataFrame:
     """Wanted files with a name, or a directory, that the file listing leaves out.
 
-    Projects are listed in parallel tasks; the paths are filtered and spread
-    again before any file is opened, so a large project is read by many tasks.
+    The tree is listed level by level, one row a directory: each level is spread over
+    all tasks and written before the next, so a large project is listed by many tasks
+    and the driver only learns whether directories are left. Paths are filtered and
+    spread again before any file is opened.
     """
     skip = frozenset(rules.get("exclude", EXCLUDED_DIRS))
-    filesystem, base = fs.FileSystem.from_uri(root)
-    projects = [
-        (i.base_name,) for i in filesystem.get_file_info(fs.FileSelector(base)) if i.type == fs.FileType.Directory
-    ]
 
-    def walk(batches):
-        store, top = fs.FileSystem.from_uri(root)
+    def listing(batches):
+        store, top = open_store(root)
         for pdf in batches:
-            for project in pdf["project"]:
-                found, todo = [], [(f"{top}/{project}", "", _is_hidden(project))]
-                while todo:
-                    folder, rel, hidden = todo.pop()
-                    for i in store.get_file_info(fs.FileSelector(folder)):
-                        inside = hidden or _is_hidden(i.base_name)
-                        if i.type == fs.FileType.Directory:
-                            if i.base_name not in skip:
-                                todo.append((i.path, f"{rel}{i.base_name}/", inside))
-                        elif inside:
-                            found.append((project, rel + i.base_name))
-                yield pd.DataFrame(found, columns=["project", "path"])
+            for folder, hidden in zip(pdf["path"], pdf["hidden"], strict=True):
+                found = [
+                    (f"{folder}{i.base_name}", hidden or _is_hidden(i.base_name), i.type == fs.FileType.Directory)
+                    for i in store.get_file_info(fs.FileSelector(f"{top}/{folder}"))
+                    if i.type != fs.FileType.Directory or i.base_name not in skip or not folder
+                ]
+                yield pd.DataFrame(found, columns=["path", "hidden", "folder"])
 
     def read(batches):
-        store, top = fs.FileSystem.from_uri(root)
+        store, top = open_store(root)
         for pdf in batches:
-            for project, path in zip(pdf["project"], pdf["path"], strict=True):
-                with store.open_input_stream(f"{top}/{project}/{path}", compression=None) as f:
+            for path in pdf["path"]:
+                with store.open_input_stream(f"{top}/{path}", compression=None) as f:
                     text = f.read().decode("utf-8", "replace")
-                yield pd.DataFrame([(project, path, text)], columns=["project", "path", "content"])
+                yield pd.DataFrame([(*path.split("/", 1), text)], columns=["project", "path", "content"])
 
-    listed = (
-        spark.createDataFrame(projects, "project string")
-        .repartition("project")
-        .mapInPandas(walk, "project string, path string")
-    )
-    return (
-        listed.filter(wanted_file(F.col("path"), **rules))
-        .repartition("project", "path")
-        .mapInPandas(read, "project string, path string, content string")
-    )
+    found = []
+    folders = spark.createDataFrame([("", False)], "path string, hidden boolean")
+    while not folders.isEmpty():
+        level = materialize(
+            folders.repartition("path").mapInPandas(listing, "path string, hidden boolean, folder boolean")
+        )
+        found.append(level.filter("hidden and not folder").select("path"))
+        folders = level.filter("folder").select(F.concat("path", F.lit("/")).alias("path"), "hidden")
+    below = F.regexp_replace("path", r"\A[^/]*/", "")
+    wanted = reduce(DataFrame.unionByName, found).filter(F.col("path").contains("/") & wanted_file(below, **rules))
+    return wanted.repartition("path").mapInPandas(read, "project string, path string, content string")
 
 
 def read_assets(spark: SparkSession, root: str) -> DataFrame:
     """(path, size, header): length and first bytes of every binary file below a folder.
 
     The length comes from the listing. Files too small to be valid are not opened:
-    their header is null. Others are read whole, one at a time, so a file must fit
-    in a task, and no larger than Spark's limit for binary files.
+    their header is null. Of others four bytes are read, whatever their size.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    small = found.filter(F.col("length") < MIN_ASSET_BYTES).select(
-        "path", F.col("length").alias("size"), F.lit(None).cast("string").alias("header")
-    )
-    large = found.filter(F.col("length") >= MIN_ASSET_BYTES).select(
-        "path", F.col("length").alias("size"), F.hex(F.substring("content", 1, 4)).alias("header")
-    )
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    sizes = listed.select("path", F.col("length").alias("size"))
+    tail = _tail(root)
+
+    def heads(batches):
+        store, top = open_store(root)
+        for pdf in batches:
+            header = []
+            for path in pdf["path"]:
+                with store.open_input_file(f"{top}/{path[path.index(tail) + len(tail):]}") as f:
+                    header.append(f.read(4).hex().upper())
+            yield pdf.assign(header=header)
+
+    schema = "path string, size long, header string"
+    large = sizes.filter(F.col("size") >= MIN_ASSET_BYTES).repartition("path").mapInPandas(heads, schema)
+    small = sizes.filter(F.col("size") < MIN_ASSET_BYTES).withColumn("header", F.lit(None).cast("string"))
     return small.unionByName(large)
 
 

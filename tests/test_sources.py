@@ -28,6 +28,8 @@ def test_scan_files(spark, tmp_path):
         ("p2", "_inc/x.html", ".html"): "<p>",
         ("_p3", "z.ts", ".ts"): "ünï",
     }
+    by_uri = files.scan_files(spark, f"file://{tmp_path}/tree")
+    assert {(r["project"], r["path"], r["ext"]): r["content"] for r in by_uri.collect()} == got
 
 
 def test_sniff_assets(spark, tmp_path):
@@ -35,12 +37,16 @@ def test_sniff_assets(spark, tmp_path):
     for name, head in heads.items():
         (tmp_path / name).write_bytes(head + b"\0" * 2000)
     (tmp_path / "small.ttf").write_bytes(b"\0\1\0\0")
+    (tmp_path / "a b+%20").mkdir()
+    with open(tmp_path / "a b+%20" / "huge.ttf", "wb") as f:  # larger than a binary column can be; takes no disk
+        f.write(b"OTTO")
+        f.truncate(3 << 30)
     rows = files.sniff_assets(files.read_assets(spark, str(tmp_path))).collect()
     got = {r["path"].split("/")[-1]: (r["valid"], r["reason"]) for r in rows}
     assert got == {
         "ok.ttf": (True, None), "true.ttf": (True, None), "otto.ttf": (True, None),
         "w.ttf": (False, "wrong_format_is_woff"), "x.ttf": (False, "invalid_ttf_header"),
-        "small.ttf": (False, "file_too_small"),
+        "small.ttf": (False, "file_too_small"), "huge.ttf": (True, None),
     }
 
 
