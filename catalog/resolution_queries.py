@@ -169,7 +169,7 @@ FROM curve_score_fx c LEFT JOIN least_fx l ON l.group_id = c.group_id""",
 )
 def false_positives_by_both(spark, sf):
     records, v = _label_records(spark, sf), variants_by_label(spark, sf)
-    visual = sim.occupancy_similarity(v)
+    visual = materialize(sim.occupancy_similarity(v))
     undecided = sim.needs_geometry(records, visual)
     geometric = sim.min_geo_similarity(v.join(undecided, "group_id", "left_semi"))
     return sim.flag_false_positives(records, geometric, visual)
@@ -226,7 +226,7 @@ def boxes_alike_by_sight(spark, sf):
     records = sim.pair_counts(v).select(
         F.lit(cf.CODE_CONFLICT).alias("type"), "group_id", F.col("variants").alias("variant_count")
     )
-    visual = sim.occupancy_similarity(v)
+    visual = materialize(sim.occupancy_similarity(v))
     undecided = sim.needs_geometry(records, visual)
     flagged = sim.flag_false_positives(records, sim.min_geo_similarity(v.join(undecided, "group_id", "left_semi")), visual)
     return flagged.filter("is_false_positive and similarity_type = 'visual'").drop("type", "variant_count")

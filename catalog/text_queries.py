@@ -91,6 +91,40 @@ def source_file_filter(spark, sf):
     return view(spark, sf, "path_fx").filter(files.wanted_file(F.col("path"))).select("project", "path")
 
 
+TREE_PATH = """concat(CASE doc_id % 5 WHEN 0 THEN 'src/' WHEN 1 THEN '_inc/' WHEN 2 THEN '.conf/deep/' WHEN 3 THEN 'node_modules/m/' ELSE '' END,
+  CASE doc_id % 3 WHEN 0 THEN '_' WHEN 1 THEN '.' ELSE '' END, 'd', cast(doc_id AS {text}), CASE doc_id % 4 WHEN 3 THEN '.md' ELSE '.scss' END)"""
+
+
+def _write_tree(rows, root):
+    """Write (project, path, content) as files; a task that runs again writes the same files again."""
+
+    def write(batches):
+        store, top = files.open_store(root)
+        for pdf in batches:
+            for project, path, content in zip(pdf["project"], pdf["path"], pdf["content"], strict=True):
+                full = f"{top}/{project}/{path}"
+                store.create_dir(full.rsplit("/", 1)[0])
+                with store.open_output_stream(full, compression=None) as f:
+                    f.write(content.encode())
+            yield pdf[["path"]]
+
+    rows.mapInPandas(write, "path string").agg(F.count(F.lit(1))).collect()
+
+
+@query(
+    "S2",
+    f"""SELECT project, path, ext, md5(content) AS content_md5, length(content) AS chars FROM (
+  SELECT source AS project, {TREE_PATH.format(text='varchar')} AS path, '.scss' AS ext, text AS content FROM documents
+  WHERE text IS NOT NULL AND source IS NOT NULL AND doc_id % 4 <> 3 AND doc_id % 5 <> 3)""",
+)
+def source_tree(spark, sf):
+    """Every text as a file of its source's tree, many with a name or folder that listings leave out, read back."""
+    root = scratch_path(spark, "tree")
+    docs = table(spark, sf, "documents").filter("text IS NOT NULL AND source IS NOT NULL")
+    _write_tree(docs.selectExpr("source AS project", f"{TREE_PATH.format(text='string')} AS path", "text AS content"), root)
+    return files.scan_files(spark, root).select("project", "path", "ext", F.md5("content").alias("content_md5"), F.char_length("content").alias("chars"))
+
+
 @query(
     "S3",
     """SELECT asset_id, size, header,
