@@ -11,6 +11,7 @@ ever collected.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -508,15 +509,20 @@ def cell_counts(folded: DataFrame, cell: int = CELL) -> DataFrame:
             rows = pdf.iloc[lo : lo + _ROWS]
             bits = np.unpackbits(_words(rows["cells"]).view(np.uint8), axis=1)
             k += rows["n"].to_numpy() @ bits.astype(np.int64)
-        return pd.DataFrame({"group_id": [key[0]], "variants": [key[2]], "whole": [key[3] == 1], "counts": [k]})
+        if key[3] > 1:
+            return pd.DataFrame([(key[0], key[2], None, None, None, k)])
+        # The whole group is here: its counts stay here too.
+        squares = Decimal(sum(x * x for x in k.tolist()))
+        return pd.DataFrame([(key[0], key[2], int(k.sum()), squares, np.packbits(2 * k > key[2]).tobytes(), None)])
 
+    wide = "decimal(38,0)"
+    results = ["group_id", "variants", "filled", "squares", "middle"]
     pieces = materialize(
         dealt.groupBy("group_id", "_strip", "variants", "_strips").applyInPandas(
-            tally, "group_id string, variants long, whole boolean, counts array<long>"
+            tally, f"group_id string, variants long, filled long, squares {wide}, middle binary, counts array<long>"
         )
     )
-    split = pieces.filter(~F.col("whole"))
-    added = split.select("group_id", "variants", F.posexplode("counts").alias("pos", "k")).groupBy("group_id", "pos").agg(
+    added = pieces.filter("counts is not null").select("group_id", "variants", F.posexplode("counts").alias("pos", "k")).groupBy("group_id", "pos").agg(
         F.max("variants").alias("variants"), F.sum("k").alias("k")
     )
     # One row per grid cell: the list has 4,096 members whatever the group holds.
@@ -524,21 +530,15 @@ def cell_counts(folded: DataFrame, cell: int = CELL) -> DataFrame:
         F.max("variants").alias("variants"),
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "k"))), lambda c: c["k"]).alias("counts"),
     )
-    wide = "decimal(38,0)"
-    return (
-        pieces.filter("whole")
-        .select("group_id", "variants", "counts")
-        .unionByName(lists)
-        .select(
-            "group_id",
-            "variants",
-            F.aggregate("counts", F.lit(0).cast("long"), lambda s, k: s + k).alias("filled"),
-            F.aggregate(
-                "counts", F.lit(0).cast(wide), lambda s, k: (s + k.cast("decimal(19,0)") * k.cast("decimal(19,0)")).cast(wide)
-            ).alias("squares"),
-            _packed(F.transform("counts", lambda k: 2 * k > F.col("variants"))).alias("middle"),
-        )
+    square = lambda k: k.cast("decimal(19,0)") * k.cast("decimal(19,0)")
+    summed = lists.select(
+        "group_id",
+        "variants",
+        F.aggregate("counts", F.lit(0).cast("long"), lambda s, k: s + k).alias("filled"),
+        F.aggregate("counts", F.lit(0).cast(wide), lambda s, k: (s + square(k)).cast(wide)).alias("squares"),
+        _packed(F.transform("counts", lambda k: 2 * k > F.col("variants"))).alias("middle"),
     )
+    return pieces.filter("counts is null").select(*results).unionByName(summed)
 
 
 def _unlike_cell(left: pd.DataFrame, right: pd.DataFrame | None) -> tuple:
