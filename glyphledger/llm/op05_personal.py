@@ -5,7 +5,9 @@ validity, gazetteer and context labelers vote on each; expectation-maximisation
 over the counted vote patterns estimates how reliable each labeler is; the soft
 labels then train a log-linear classifier over votes and shape, whose weights go
 back into a column expression. Spans of the four base kinds that pass their
-validity check always stay; the classifier adds others.
+validity check always stay; the classifier adds others: kinds without a check
+(secrets among them, found by shape and mixture of characters), and near misses
+of a check that are likely all the same, under the kind's name with ``_like``.
 """
 
 from __future__ import annotations
@@ -36,6 +38,12 @@ PATTERNS = {
     ),
     "phone_local": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])",
     "person": r"\b(?:Mr|Mrs|Ms|Dr|Prof)\. \p{Lu}\p{Ll}++(?: \p{Lu}\p{Ll}++)?+",
+    # A run of 16 or more key characters with a letter and a digit.
+    "secret": (
+        r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z0-9_+/-]{16})(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])"
+        r"[A-Za-z0-9_+/-]++={0,2}+"
+    ),
+    "password": r"""(?<=(?i:password|passwd|passphrase|pwd)["']?\x20?[:=]\x20?["']?)[^\s"':=,;<>]{4,}+""",
 }
 KINDS = tuple(PATTERNS)
 
@@ -48,6 +56,8 @@ _NEEDS = {
     "email_spelled": lambda t: t.contains("(at)") | t.contains("[at]"),
     "phone_local": lambda t: t.rlike("[0-9]{3}[ .-][0-9]{4}"),
     "person": lambda t: t.contains("Mr") | t.contains("Ms.") | t.contains("Dr.") | t.contains("Prof."),
+    "secret": lambda t: t.rlike("[A-Za-z0-9_+/-]{16}"),
+    "password": lambda t: t.rlike("(?i)(?:passw|passphrase|pwd)"),
 }
 
 # Gazetteers: endings of addresses, calling codes and first digits of card numbers.
@@ -63,11 +73,18 @@ NEAR_WORDS = {
     "phone": "phone|tel|call|mobile|fax",
     "phone_local": "phone|tel|call|mobile|fax",
     "person": "name|contact|dear|by",
+    "secret": "[a-z_-]*(?:token|secret|key|passw|pwd|auth|bearer|credential)",
+    "password": "passw|passphrase|pwd|login|user",
+}
+FAR_WORDS = dict.fromkeys(KINDS, "version|isbn|order|serial|sku|build|release|token|hash|section|figure") | {
+    "secret": "sha[0-9]*|md5|commit|checksum|digest|etag|revision|uuid|isbn|sku|version",
+    "password": "no|without|forgot|forgotten|reset",
 }
-FAR_WORDS = "version|isbn|order|serial|sku|build|release|token|hash|section|figure"
+# Shapes of issued keys: hex digests of common lengths and well-known prefixes.
+KEY_SHAPES = "(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})|(?:AKIA|AIza|gh[pousr]_|xox[abprs]-|sk[-_]|pk_|eyJ).*"
 _BEFORE, _AFTER = 32, 8  # characters of context
 
-LABELERS = ("valid", "listed", "near", "far", "edge")
+LABELERS = ("valid", "listed", "near", "far", "edge", "mixed")
 SHAPE = ("size", "joined")
 ROUNDS = 12
 
@@ -108,6 +125,9 @@ def _vote(yes: Column, no: Column) -> Column:
 def votes(kind: str, span: Column, before: Column, after: Column) -> dict[str, Column]:
     """1, -1 or 0 (abstains) of each labeler, and the shape features of a span."""
     valid = is_valid(kind, span)
+    n_digits = F.length(digits(span))
+    # A near miss leaves the check undecided: a mistyped or shortened number may still be one.
+    missed = {"card": n_digits.between(14, 19), "phone": n_digits.between(7, 9)}.get(kind, F.lit(False))
     listed = {
         "email": span.rlike(rf"\.(?i:{ENDINGS})$"),
         "email_spelled": span.rlike(rf"(?i:{ENDINGS})$"),
@@ -116,14 +136,22 @@ def votes(kind: str, span: Column, before: Column, after: Column) -> dict[str, C
         "phone": span.rlike(rf"^\+(?:{CALLING})"),
         "phone_local": ~span.rlike(r"^\(?[01]"),
         "person": span.rlike(rf"\b(?:{GIVEN_NAMES})\b"),
+        "secret": span.rlike(f"^(?:{KEY_SHAPES})$"),
+        "password": span.rlike("[0-9]") & span.rlike("[^0-9]"),
     }[kind]
+    # Random keys use many characters and change between letters and digits often.
+    distinct = F.size(F.array_distinct(F.split(span, "")))
+    turns = F.regexp_count(span, F.lit("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])"))
+    random = (distinct >= 9) & (6 * turns >= F.length(span))
+    dull = (distinct < 6) | (12 * turns < F.length(span))
     clear = ~before.rlike(r"[\p{L}\p{N}_]$") & ~after.rlike(r"^[\p{L}\p{N}_]")
     return {
-        "valid": _vote(valid, ~valid),
+        "valid": _vote(valid, ~valid & ~missed),
         "listed": _vote(listed, ~listed),
         "near": _vote(before.rlike(rf"(?i)\b(?:{NEAR_WORDS[kind]})"), F.lit(False)),
-        "far": _vote(F.lit(False), before.rlike(rf"(?i)\b(?:{FAR_WORDS})\b[^\n]{{0,12}}$")),
+        "far": _vote(F.lit(False), before.rlike(rf"(?i)\b(?:{FAR_WORDS[kind]})\b[^\n]{{0,12}}$")),
         "edge": _vote(clear, ~clear),
+        "mixed": _vote(random, dull) if kind == "secret" else F.lit(0),
         "size": F.least(F.floor(F.length(span) / 8), F.lit(4)).cast("int"),
         "joined": span.rlike(r"[ ().-]").cast("int"),
     }
@@ -178,10 +206,9 @@ def candidates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
 
     rows = cut.select("row", "key", F.explode_outer(F.concat(*[spans(k) for k in KINDS])).alias("c"))
     flat = rows.select("row", "key", "c.*")
+    judged = {k: votes(k, F.col("span"), F.col("before"), F.col("after")) for k in KINDS}
     feature = {
-        name: F.coalesce(
-            *[F.when(F.col("kind") == k, votes(k, F.col("span"), F.col("before"), F.col("after"))[name]) for k in KINDS]
-        )
+        name: F.coalesce(*[F.when(F.col("kind") == k, own[name]) for k, own in judged.items()])
         for name in (*LABELERS, *SHAPE)
     }
     return materialize(
@@ -218,7 +245,7 @@ def train(cands: DataFrame, rounds: int = ROUNDS) -> Classifier:
     Votes are taken as independent given the truth; one reliability table per
     labeler (a share of each vote for true and for false spans) and one prior per
     kind. Spark counts the patterns; their table is bounded by the feature values
-    (at most 17,010 rows), whatever the rows. Without candidates all weights are 0.
+    (at most 65,610 rows), whatever the rows. Without candidates all weights are 0.
     """
     names = (*LABELERS, *SHAPE)
     counted = cands.filter("kind is not null").groupBy("kind", *names).agg(F.count(F.lit(1)).alias("n"))
@@ -232,15 +259,21 @@ def train(cands: DataFrame, rounds: int = ROUNDS) -> Classifier:
 
 
 def _accepted(model: Classifier, kind: Column, feature) -> Column:
-    """Added by the method: likely by the classifier, and not refuted by a base check."""
-    return (feature("valid") == 0) & (model.probability(kind, feature) >= 0.5)
+    """Added by the method: likely by the classifier, and not refuted by a check.
+
+    A near miss of a base kind also needs a word nearby that speaks for it; a secret
+    that, or the shape of an issued key with no word against it.
+    """
+    keyed = (kind == "secret") & (feature("listed") == 1) & (feature("far") == 0)
+    backed = ~kind.isin(*BASE, "secret") | (feature("near") == 1) | keyed
+    return (feature("valid") == 0) & backed & (model.probability(kind, feature) >= 0.5)
 
 
 def find_spans(cands: DataFrame, model: Classifier) -> DataFrame:
     """(row, key, kind, start, end, base) of every found span; a text without any is one row with a null kind.
 
     Offsets are code points, the end exclusive. An added span that overlaps a
-    base span is left out.
+    base span is left out; an added near miss of a base kind is named ``<kind>_like``.
     """
     running = Window.partitionBy("row", "kind").orderBy("i")
     base = F.col("kind").isin(*BASE) & (F.col("valid") == 1)
@@ -263,7 +296,11 @@ def find_spans(cands: DataFrame, model: Classifier) -> DataFrame:
     return seen.select(
         "row",
         "key",
-        F.when(kept, F.col("kind")).otherwise(blank).alias("kind"),
+        F.when(F.col("base"), F.col("kind"))
+        .when(kept & F.col("kind").isin(*BASE), F.concat("kind", F.lit("_like")))
+        .when(kept, F.col("kind"))
+        .otherwise(blank)
+        .alias("kind"),
         F.when(kept, F.col("start")).otherwise(blank).alias("start"),
         F.when(kept, F.col("end")).otherwise(blank).alias("end"),
         (F.col("base") & kept).alias("base"),
@@ -272,7 +309,7 @@ def find_spans(cands: DataFrame, model: Classifier) -> DataFrame:
 
 def summarise(spans: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per text: counts and the digest of the base spans, and the list of all spans."""
-    number = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(KINDS)])
+    number = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate((*KINDS, *(f"{b}_like" for b in BASE)))])
     entry = F.struct(F.col("start"), number.alias("no"), F.col("end"), F.col("kind"))
     text = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
     listed = lambda c: F.array_join(F.transform(F.sort_array(c), text), ",")
@@ -308,11 +345,10 @@ def mask(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
     for kind in KINDS:
 
         def put(hit: Column, i: Column) -> Column:
+            before, after = F.substring(F.get(gaps, i), -_BEFORE, _BEFORE), F.substring(F.get(gaps, i + 1), 1, _AFTER)
+            found = _accepted(model, F.lit(kind), votes(kind, hit, before, after).__getitem__)  # noqa: B023
             if kind in BASE:  # noqa: B023
-                found = is_valid(kind, hit)  # noqa: B023
-            else:
-                before, after = F.substring(F.get(gaps, i), -_BEFORE, _BEFORE), F.substring(F.get(gaps, i + 1), 1, _AFTER)
-                found = _accepted(model, F.lit(kind), votes(kind, hit, before, after).__getitem__)  # noqa: B023
+                found = is_valid(kind, hit) | found  # noqa: B023
             return F.concat(F.get(gaps, i), F.when(found, F.lit(f"[{kind.upper()}]")).otherwise(hit))  # noqa: B023
 
         joined = F.concat(F.array_join(F.transform(hits, put), ""), F.element_at(gaps, -1))
