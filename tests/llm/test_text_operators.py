@@ -263,6 +263,38 @@ def test_edits_and_next_texts(spark):
     assert got[8]["fingerprint"] == got[9]["fingerprint"] and got[8]["near_next"] == 1.0
 
 
+def plain_leaves(text):
+    """Leaves of a text by one walk over its characters' words, counted by their characters."""
+    out = Counter()
+    for paragraph in text.splitlines(keepends=True):
+        leaf, words = "", 0
+        for word in re.findall(r"\s*\S*[ \t]*\n?", paragraph):
+            leaf, words, bare = leaf + word, words + 1, word.strip()
+            if bare and (bare.endswith((".", "!", "?")) or words == 16 or zlib.crc32(bare.encode()) % 8 == 0):
+                out[leaf] += len(leaf)
+                leaf, words = "", 0
+        if leaf:
+            out[leaf] += len(leaf)
+    return out
+
+
+def plain_likeness(a, b):
+    x, y = plain_leaves(a), plain_leaves(b)
+    return 1.0 if a == b else 2 * sum((x & y).values()) / max(1, len(a) + len(b))
+
+
+def test_likeness_equals_a_plain_form(spark):
+    given = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = {r["doc_id"]: r for r in o8.fingerprint_neighbours(given).collect()}
+    texts = [(r["doc_id"], r["text"] or "") for r in given.orderBy("doc_id").collect()]
+    assert len(got) == len(texts)
+    for i, (key, text) in enumerate(texts):
+        following = texts[(i + 1) % len(texts)][1]
+        changed = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        assert got[key]["near_edited"] == pytest.approx(plain_likeness(text, changed), abs=1e-12)
+        assert got[key]["near_next"] == pytest.approx(plain_likeness(text, following), abs=1e-12)
+
+
 def test_awkward_rows_have_fingerprints(spark):
     docs = cases.table(spark)
     assert o8.fingerprint_neighbours(docs).count() == len(cases.rows())
