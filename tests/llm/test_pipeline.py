@@ -74,6 +74,6 @@ def test_stages_take_awkward_rows_and_none(spark):
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()

@@ -15,7 +15,7 @@ from glyphledger.llm import op06_language_model as o6
 from glyphledger.llm import op08_fingerprints as o8
 from glyphledger.llm import op09_language as o9
 from glyphledger.llm import op10_licenses as o10
-from glyphledger.llm.queries import tokenizer_path
+from glyphledger.llm.queries import op9_language_id, tokenizer_path
 from tests.llm import cases
 
 SF = "/root/testdata/sf0.001"
@@ -327,6 +327,47 @@ def test_held_out_accuracy(spark):
     assert o9.accept(docs, profiles).count() == docs.count()
 
 
+def plain_grams(text):
+    """Counts of one to three characters of a lower-cased text, runs of anything but letters as one gap."""
+    seq = [1]
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            seq.append(ord(c) + 1)
+        elif seq[-1] != 1:
+            seq.append(1)
+    name = lambda part: sum(x << 21 * (len(part) - 1 - i) for i, x in enumerate(part))
+    grams = [seq[i : i + n] for n in (1, 2, 3) for i in range(len(seq) - n + 1)]
+    return Counter(name(g) for g in grams if g != [1])
+
+
+def plain_ranks(counts):
+    return {g: i for i, (g, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[: o9.TOP])}
+
+
+def test_predictions_equal_plain_out_of_place(spark):
+    got = {r["doc_id"]: r for r in op9_language_id(spark, "/root/testdata/sf0.001").collect()}
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    assert len(got) == len(rows)
+    learned: dict[str, Counter] = {}
+    for r in rows:
+        held = zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2
+        assert got[r["doc_id"]]["held_out"] == held
+        if not held and r["lang"] is not None and r["text"] is not None:
+            learned.setdefault(r["lang"], Counter()).update(plain_grams(r["text"]))
+    profiles = {lang: plain_ranks(c) for lang, c in learned.items()}
+    for r in rows:
+        mine = plain_ranks(plain_grams(r["text"]))
+        want = ("und", 0.0)
+        if mine:
+            apart = {
+                lang: sum(abs(p[g] - i) if g in p else o9.TOP for g, i in mine.items()) for lang, p in profiles.items()
+            }
+            best = min(sorted(apart), key=apart.get)
+            want = (best, 1 - apart[best] / (o9.TOP * len(mine)))
+        assert got[r["doc_id"]]["lang_pred"] == want[0]
+        assert got[r["doc_id"]]["score"] == pytest.approx(want[1], abs=1e-12)
+
+
 def test_unlearned_languages_and_random_letters_go(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     profiles = o9.Profiles.collect(o9.learn_profiles(o9.training_rows(docs)))
