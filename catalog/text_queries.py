@@ -72,11 +72,20 @@ ASSET_TEXT = "concat(CASE s_suppkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'OTTO' EL
   SELECT s_suppkey, 4 + s_suppkey * 37 % 1500 + 1 AS size, CASE WHEN 4 + s_suppkey * 37 % 1500 + 1 < 1024 THEN 'file_too_small' WHEN s_suppkey % 3 = 2 THEN 'wrong_format_is_woff' END AS reason FROM supplier))""",
 )
 def asset_files(spark, sf):
-    """A binary file a supplier, written from the table; size and header are read from the files."""
-    path = scratch_path(spark, "assets")
-    table(spark, sf, "supplier").selectExpr("s_suppkey", f"{ASSET_TEXT} AS value").write.partitionBy("s_suppkey").text(path)
-    found = files.sniff_assets(files.read_assets(spark, path))
-    key = F.regexp_extract("path", r"s_suppkey=(\d+)/", 1).cast("long")
+    """A binary file a supplier, written from the table; size and header are read from the files.
+
+    The files are dealt over all tasks, and a folder holds those of a thousand keys, so neither
+    the writing nor the listing of many small files waits for one task or for the driver.
+    """
+    root = scratch_path(spark, "assets")
+    rows = table(spark, sf, "supplier").selectExpr(
+        "cast(s_suppkey div 1000 AS string) AS project",
+        "concat('s_suppkey=', cast(s_suppkey AS string), '.ttf') AS path",
+        f"concat({ASSET_TEXT}, '\n') AS content",
+    )
+    _write_tree(rows.repartition(spark.sparkContext.defaultParallelism, "path"), root)
+    found = files.sniff_assets(files.read_assets(spark, root))
+    key = F.regexp_extract("path", r"s_suppkey=(-?\d+)\.ttf", 1).cast("long")
     return found.select(key.alias("s_suppkey"), "size", "valid", "reason")
 
 

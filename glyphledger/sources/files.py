@@ -157,7 +157,9 @@ def read_assets(spark: SparkSession, root: str) -> DataFrame:
             yield pdf.assign(header=header)
 
     schema = "path string, size long, header string"
-    large = sizes.filter(F.col("size") >= MIN_ASSET_BYTES).repartition("path").mapInPandas(heads, schema)
+    # A given number of parts: paths are so short that the runtime would join them into one task.
+    spread = sizes.filter(F.col("size") >= MIN_ASSET_BYTES).repartition(spark.sparkContext.defaultParallelism, "path")
+    large = spread.mapInPandas(heads, schema)
     small = sizes.filter(F.col("size") < MIN_ASSET_BYTES).withColumn("header", F.lit(None).cast("string"))
     return small.unionByName(large)
 

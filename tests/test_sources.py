@@ -50,6 +50,14 @@ def test_sniff_assets(spark, tmp_path):
     }
 
 
+def test_headers_of_many_small_files_are_read_in_many_tasks(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"{i}.ttf").write_bytes(b"OTTO" + b"\0" * 2000)
+    got = files.read_assets(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    assert len(got) == 40 and {r["header"] for r in got} == {"4F54544F"}
+    assert len({r["task"] for r in got}) > 1
+
+
 def test_load_json_array_with_schema(spark, tmp_path):
     f = tmp_path / "r.json"
     f.write_text(json.dumps([{"a": "x", "n": 1}, {"a": None, "extra": 5}]))
