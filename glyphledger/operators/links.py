@@ -109,9 +109,11 @@ def scan_links(
 def fill_placeholders(text: Column) -> Column:
     """Put the project's ``public_path`` and ``assets_path`` into the placeholders of a text.
 
-    A placeholder whose path is unknown stays.
+    A placeholder whose path is unknown stays, that of the assets without its blanks.
     """
-    for option, value in (("path", F.col("public_path")), ("assetsPublicPath", F.col("assets_path"))):
+    bare = F.lit("<%=htmlWebpackPlugin.options.assetsPublicPath%>")
+    values = (("path", F.col("public_path")), ("assetsPublicPath", F.coalesce("assets_path", bare)))
+    for option, value in values:
         pattern = rf"<%=\s*htmlWebpackPlugin\.options\.{option}\s*%>"
         literal = F.regexp_replace(value, r"([\\$])", r"\\$1")
         text = F.when(value.isNotNull(), F.regexp_replace(text, F.lit(pattern), literal)).otherwise(text)

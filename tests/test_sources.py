@@ -85,6 +85,17 @@ def test_public_paths_priority(spark):
     assert got == {"lit": ("/lit/", "//s/n/"), "var": ("//c/n/", None), "pro": ("//c/n/p", None), "none": (None, None)}
 
 
+def test_templates_keep_an_unknown_assets_path_without_blanks(spark):
+    page = "<%= htmlWebpackPlugin.options.path %>a <%= htmlWebpackPlugin.options.assetsPublicPath %>b"
+    bare = "<%=htmlWebpackPlugin.options.assetsPublicPath%>"
+    pages = spark.createDataFrame([(p, "i.html", page) for p in ("none", "some", "all")], ["project", "path", "content"])
+    paths = spark.createDataFrame([("some", "/p/", None), ("all", "/p/", "$1/")], "project string, public_path string, assets_path string")
+    got = {r["project"]: r["content"] for r in files.expand_templates(pages, paths).collect()}
+    assert got == {
+        "none": f"<%= htmlWebpackPlugin.options.path %>a {bare}b", "some": f"/p/a {bare}b", "all": "/p/a $1/b",
+    }
+
+
 def test_follow_local_goes_one_hop(spark):
     rows = [
         ("p", "src/a.js", "import '../dist/iconfont.css'"),
