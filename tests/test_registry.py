@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from glyphledger.operators import conflicts as cf
 from glyphledger.operators import registry as rg
@@ -181,3 +182,21 @@ def test_positions_in_a_hot_key_over_many_partitions(spark):
         assert [at for _, at in sorted(found)] == list(range(len(found)))
     # No window runs over the rows of a key: its input is one row a key and partition.
     assert number_within(df.limit(0), ["k"], ["h"], "at").count() == 0
+
+
+def test_numbering_moves_no_text_and_counts_joined_rows_only(spark, tmp_path):
+    from catalog.fixtures import ORD, World
+
+    src = "/root/testdata/sf0.001"
+    for t in ("part", "supplier", "nation"):
+        spark.read.parquet(f"{src}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    items = spark.read.parquet(f"{src}/lineitem.parquet")
+    lost = items.limit(7).withColumn("l_partkey", F.lit(-1).cast("long")).union(items.limit(5).withColumn("l_suppkey", F.lit(None).cast("long")))
+    items.union(lost).write.parquet(f"{tmp_path}/lineitem.parquet")
+    w = World(spark, str(tmp_path))
+    n = items.count()
+    r = w.numbered.agg(F.count("ord"), F.countDistinct("ord"), F.min("ord"), F.max("ord")).first()
+    assert tuple(r) == (n, n, 0, n - 1)
+    stages = {f.rsplit("/", 1)[0] for f in w.numbered.inputFiles() if "/stage-" in f}
+    assert len(stages) == 1
+    assert set(spark.read.parquet(*stages).columns) == {*ORD.split(", "), "_p", "_m"}

@@ -71,6 +71,15 @@ def grp(key, no, kind, *pos, unmerge=None):
     return [(key, unmerge, no, kind, i, p, None, None) for i, p in enumerate(pos)]
 
 
+def test_sources_of_all_items_are_grouped_once(spark):
+    case = Case(spark, grp("U+E601", 0, "keep", 0, 1) + grp("U+E601", 1, "pua", 2, 3))
+    res, _ = case.resolved()
+    assert {r["asset_id"] for r in res.sources.filter("glyph_hash = 'h1'").collect()} == {"a1", "a2", "a3"}
+    assert {r["asset_id"] for r in res.sources.filter("glyph_hash = 'h3'").collect()} == {"a4", "a5", "a6", "a7"}
+    grouped = res.sources._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Aggregate [" in line and "asset_id" in line for line in grouped.split("\n")) == 3  # twice the registry's own, and this one
+
+
 def test_undecided_variants_all_get_new_codes(spark):
     case = Case(spark)
     _, got = case.resolved()
